@@ -24,11 +24,13 @@ TICKS = """ticks AS (
   FROM events)"""
 
 
-def metrics_cte(keyed: bool = False, src: str = "ticks") -> str:
+def metrics_cte(keyed: bool = False, src: str = "ticks", part: str | None = None,
+                seq: str = "seq") -> str:
     """ticks -> r (returns) -> m (all metrics + 24h stand-ins)."""
-    part = "PARTITION BY symbol " if keyed else ""
+    if part is None:
+        part = "PARTITION BY symbol " if keyed else ""
     return f"""p AS (
-  SELECT *, lag(price) OVER ({part}ORDER BY "timestamp", seq) AS prev_price FROM {src}),
+  SELECT *, lag(price) OVER ({part}ORDER BY "timestamp", {seq}) AS prev_price FROM {src}),
 r AS (
   SELECT * EXCLUDE (prev_price),
     CASE WHEN prev_price IS NOT NULL AND prev_price > 0
@@ -79,6 +81,37 @@ def with_latest(body: str) -> str:
     return f"WITH {TICKS},\n{metrics_cte()},\n{LATEST}\n{body}"
 
 
+CANDLES = f"""candles AS (
+  SELECT 'S' || CAST(symbol AS VARCHAR) AS symbol, 'hourly' AS interval,
+    "timestamp" - ("timestamp" % 3600) AS time,
+    arg_min(price, row("timestamp", seq)) AS open, max(price) AS high, min(price) AS low,
+    arg_max(price, row("timestamp", seq)) AS close,
+    CAST(count(*) AS DOUBLE) AS volumefrom, sum(price) AS volumeto
+  FROM ticks GROUP BY ALL),
+cn AS (
+  SELECT time AS "timestamp", make_timestamp(time * 1000000) AS datetime,
+    strftime(make_timestamp(time * 1000000), '%Y-%m-%d') AS date, symbol, interval,
+    close AS price, open, high, low, volumefrom AS volume, volumeto
+  FROM candles)"""
+
+QUOTES = """q AS (
+  SELECT event_id AS seq, CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp",
+    strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS datetime,
+    'S' || CAST(user_id AS VARCHAR) AS symbol, 'USD' AS currency, value AS price,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 1 END AS open24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 2 END AS high24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 3 END AS low24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 4 END AS volume24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 5 END AS volumeto24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 6 END AS change24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 7 END AS changepct24h,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 8 END AS market_cap,
+    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 9 END AS supply
+  FROM events WHERE event_id % 50 <> 0)"""
+
+HISTORY_SELECT = METRIC_SELECT + ", date"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["tick_metrics"] = with_metrics(METRIC_SELECT + " FROM m")
@@ -142,4 +175,57 @@ SELECT symbol, "timestamp" - ("timestamp" % {sec}) AS time,
   arg_max(price, row("timestamp", seq)) AS close,
   CAST(count(*) AS DOUBLE) AS volumefrom, {R2('sum(price)')} AS volumeto
 FROM ticks GROUP BY ALL"""
+    # --- ingest side
+    q["tick_parse"] = f"""WITH {TICKS}
+SELECT seq, "timestamp", datetime, price FROM ticks"""
+    q["tick_serialize"] = f"""WITH {TICKS}
+SELECT seq, CAST(to_json({{'timestamp': "timestamp", 'datetime': datetime, 'price': price}}) AS VARCHAR) AS value
+FROM ticks"""
+    q["json_ticks_roundtrip"] = q["dashboard_projection"]
+    q["quote_flatten"] = f"""WITH {QUOTES}
+SELECT seq, "timestamp", datetime, symbol, currency, price FROM q"""
+    q["quote_defaults"] = f"""WITH {QUOTES}
+SELECT seq, open24h, high24h, low24h, volume24h, volumeto24h, change24h, changepct24h,
+  market_cap, supply FROM q"""
+    q["feed_health"] = """SELECT count(*) FILTER (WHERE event_id % 50 <> 0) AS messages,
+  count(*) FILTER (WHERE event_id % 50 = 0) AS errors,
+  count(*) FILTER (WHERE event_id % 50 <> 0) * 100.0 / count(*) AS success_rate_pct
+FROM events"""
+    q["candle_parse"] = f"""WITH {TICKS},
+{CANDLES}
+SELECT symbol, interval, time, open, high, low, close, volumefrom, {R2('volumeto')} AS volumeto
+FROM candles"""
+    q["candle_normalize"] = f"""WITH {TICKS},
+{CANDLES}
+SELECT "timestamp", datetime, date, symbol, interval, price, open, high, low, volume,
+  {R2('volumeto')} AS volumeto FROM cn"""
+    q["candle_metrics"] = f"""WITH {TICKS},
+{CANDLES},
+{metrics_cte(src="cn", part='PARTITION BY symbol, interval ', seq='"timestamp"')}
+SELECT symbol, interval, "timestamp", price, {R6('log_return')} AS log_return,
+  {R6('price_change_pct')} AS price_change_pct,
+  {R6('volatility_1h')} AS volatility_1h, {R6('volatility_24h')} AS volatility_24h,
+  {R6('price_ma_1h')} AS price_ma_1h, {R6('price_ma_24h')} AS price_ma_24h FROM m"""
+    q["quality_check"] = f"""WITH {TICKS},
+qi AS (SELECT seq, "timestamp", CASE seq % 11 WHEN 0 THEN 0.0 WHEN 1 THEN -price
+  WHEN 2 THEN NULL ELSE price END AS price FROM ticks)
+SELECT seq, price, CASE WHEN "timestamp" IS NULL THEN 'null_timestamp'
+  WHEN price IS NULL THEN 'null_price' WHEN price <= 0 THEN 'non_positive_price' END AS reject_reason
+FROM qi"""
+    q["schema_guard"] = with_metrics(f"""SELECT date, event_time, datetime, price,
+  {R6('volatility_1h')} AS volatility_1h, {R6('volatility_24h')} AS volatility_24h,
+  {R2('volume24h')} AS volume24h, high24h, low24h FROM m""")
+    q["history_union"] = f"""WITH {TICKS},
+{CANDLES}
+SELECT 'stream' AS source, "timestamp", datetime, date, CAST(symbol AS VARCHAR) AS symbol,
+  NULL::VARCHAR AS interval, price FROM ticks
+UNION ALL
+SELECT 'bulk', "timestamp", strftime(datetime, '%Y-%m-%dT%H:%M:%SZ'), CAST(date AS DATE), symbol,
+  interval, price FROM cn"""
+    # --- sinks, read back
+    q["history_write_read"] = with_metrics(HISTORY_SELECT + " FROM m")
+    q["history_scan_pruned"] = with_metrics(
+        HISTORY_SELECT + " FROM m WHERE date >= DATE '2024-01-24'")
+    q["analysis_roundtrip"] = q["daily_stats"]
+    q["candle_write_read"] = q["candle_normalize"]
     return q

@@ -13,10 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volspark.functions import round2, round6
+from volspark import sinks
 from volspark.operators import analysis as A
+from volspark.operators import clean as C
 from volspark.operators import series as S
-from volspark.operators.metrics import STANDIN_24H, tick_metrics
-from volspark.session import ensure_conf
+from volspark.operators.metrics import STANDIN_24H, candle_metrics, tick_metrics
+from volspark.schemas import (
+    ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, QUOTE_SCHEMA,
+)
+from volspark.session import ensure_conf, scratch_path
+from volspark.sources import files
+from volspark.sources import fixtures as FX
 from volspark.sources.fixtures import ticks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -93,9 +100,90 @@ def registry() -> dict[str, QueryFn]:
     q["candle_minute"] = lambda s, d: report(A.candles(ticks(s, d), 60))
     q["candle_hour"] = lambda s, d: report(A.candles(ticks(s, d), 3600))
     q["sql_avg_price_by_date"] = _sql_avg_price_by_date
+    # --- ingest side
+    q["tick_parse"] = lambda s, d: C.parse_ticks(FX.tick_json(ticks(s, d)), keep=("seq",)).select(
+        "seq", "timestamp", "datetime", "price")
+    q["tick_serialize"] = lambda s, d: FX.tick_json(ticks(s, d))
+    q["json_ticks_roundtrip"] = _json_ticks_roundtrip
+    q["quote_flatten"] = lambda s, d: _quotes(s, d).select(
+        "seq", "timestamp", "datetime", "symbol", "currency", "price")
+    q["quote_defaults"] = lambda s, d: _quotes(s, d).select(
+        "seq", "open24h", "high24h", "low24h", "volume24h", "volumeto24h", "change24h",
+        "changepct24h", "market_cap", "supply")
+    q["feed_health"] = lambda s, d: A.feed_health(
+        FX.quote_envelopes(FX.read_table(s, d, "events"))
+        .select(F.from_json("body", QUOTE_SCHEMA)["Response"].alias("Response")))
+    q["candle_parse"] = lambda s, d: report(_candle_raw(s, d))
+    q["candle_normalize"] = lambda s, d: report(_candles(s, d))
+    q["candle_metrics"] = lambda s, d: report(candle_metrics(_candles(s, d)).select(
+        "symbol", "interval", "timestamp", "price", "log_return", "price_change_pct",
+        "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h"))
+    q["quality_check"] = lambda s, d: C.quality_check(
+        FX.quality_input(ticks(s, d)).select("seq", "timestamp", "price")).select(
+        "seq", "price", "reject_reason")
+    q["schema_guard"] = lambda s, d: report(
+        A.require_columns(metrics(s, d), ANALYSIS_REQUIRED).select(*ANALYSIS_REQUIRED))
+    q["history_union"] = lambda s, d: C.history_union(
+        ticks(s, d).select("timestamp", "datetime", "date", "symbol", "price"),
+        _candles(s, d).select("timestamp", "datetime", "date", "symbol", "interval", "price"))
+    # --- sinks, read back
+    q["history_write_read"] = lambda s, d: report(_history(s, d).select(*METRIC_COLS, "date"))
+    q["history_scan_pruned"] = lambda s, d: report(
+        _history(s, d, date_from="2024-01-24").select(*METRIC_COLS, "date"))
+    q["analysis_roundtrip"] = _analysis_roundtrip
+    q["candle_write_read"] = _candle_write_read
+    q["volume_audit"] = _volume_audit
     return q
 
 
+def _quotes(spark, sf_dir):
+    return C.flatten_quotes(FX.quote_envelopes(FX.read_table(spark, sf_dir, "events")),
+                            keep=("seq",))
+
+
+def _candle_raw(spark, sf_dir):
+    ensure_conf(spark)
+    return C.parse_candle_responses(FX.candle_responses(ticks(spark, sf_dir)))
+
+
+def _candles(spark, sf_dir):
+    return C.normalize_candles(_candle_raw(spark, sf_dir))
+
+
+def _json_ticks_roundtrip(spark, sf_dir):
+    """S2 + S8: dashboard JSON lines written, then read with the schema."""
+    path = scratch_path(spark, "dashboard")
+    sinks.write_dashboard(metrics(spark, sf_dir), path)
+    back = files.read_json_ticks(spark, path, DASHBOARD_SCHEMA).drop(files.CORRUPT)
+    return report(back)
+
+
+def _history(spark, sf_dir, **kw):
+    """S7 + S3: date-partitioned history written, then scanned."""
+    path = scratch_path(spark, "history")
+    sinks.write_history(metrics(spark, sf_dir), path)
+    return files.read_history(spark, path, **kw)
+
+
+def _analysis_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "daily_stats")
+    sinks.write_result(A.daily_stats(metrics(spark, sf_dir)), path)
+    return report(spark.read.parquet(path))
+
+
+def _candle_write_read(spark, sf_dir):
+    path = scratch_path(spark, "candles")
+    sinks.write_candles(_candles(spark, sf_dir), path)
+    return report(spark.read.parquet(path).select(*CANDLE_COLUMNS))
+
+
+def _volume_audit(spark, sf_dir):
+    """Bytes of a written history against the minimum volume."""
+    path = scratch_path(spark, "history")
+    sinks.write_history(metrics(spark, sf_dir), path)
+    return files.storage_volume(spark, path, HISTORY_MIN_GB)
+
+
 def _dashboard(m: DataFrame) -> DataFrame:
     from volspark.schemas import DASHBOARD_COLUMNS
     return m.select(*DASHBOARD_COLUMNS)

@@ -1,0 +1,40 @@
+"""Sinks (S7-S10): every write is idempotent for its unit of work.
+
+* history: Parquet partitioned by ``date``; dynamic partition overwrite so a
+  re-run or replay replaces the partitions it touches instead of appending
+  duplicates;
+* dashboard staging: JSON lines (null fields are omitted by the JSON writer,
+  so readers use ``DASHBOARD_SCHEMA``);
+* analysis results: Parquet, overwrite;
+* candles: snappy Parquet partitioned by (symbol, interval).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from volspark.schemas import DASHBOARD_COLUMNS
+
+
+def write_history(df: DataFrame, path: str, partition_cols=("date",), *,
+                  mode: str = "overwrite") -> None:
+    """Date-partitioned history; overwrite is per partition (dynamic)."""
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_cols).parquet(path))
+
+
+def write_dashboard(df: DataFrame, path: str, *, mode: str = "append") -> None:
+    """The 13 dashboard columns as JSON lines."""
+    df.select(*DASHBOARD_COLUMNS).write.mode(mode).json(path)
+
+
+def write_result(df: DataFrame, path: str) -> None:
+    """An analysis result, replaced as a whole."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def write_candles(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+    """Snappy Parquet, one directory per (symbol, interval)."""
+    (df.write.mode(mode).option("compression", "snappy")
+       .option("partitionOverwriteMode", "dynamic")
+       .partitionBy("symbol", "interval").parquet(path))

@@ -36,3 +36,71 @@ def events_to_ticks(events: DataFrame) -> DataFrame:
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_to_ticks(read_table(spark, sf_dir, "events"))
+
+
+# --- derived inputs for the ingest operators (FIXTURES.md §2) -------------------
+
+QUOTE_CURRENCY = "USD"
+CANDLE_PAGE = 2000          # candles per API response page
+
+
+def tick_json(ticks_df: DataFrame) -> DataFrame:
+    """(seq, value): each tick serialized as one JSON message."""
+    return ticks_df.select(
+        "seq", F.to_json(F.struct("timestamp", "datetime", "price")).alias("value"))
+
+
+def quote_envelopes(events: DataFrame) -> DataFrame:
+    """(seq, timestamp, body): one nested quote envelope per event.
+
+    symbol = 'S' || user_id, currency USD, PRICE = value, the other fields
+    value + i (i = 1..9); event_id % 7 = 0 leaves the other fields out and
+    event_id % 50 = 0 is an error envelope.
+    """
+    from volspark.schemas import QUOTE_TO_TICK
+    t = F.unix_timestamp(F.col("ts")).cast("long")
+    v = F.col("value")
+    full = F.struct(*[(v if i == 0 else v + F.lit(float(i))).alias(q)
+                      for i, (q, _) in enumerate(QUOTE_TO_TICK)])
+    short = F.struct(v.alias("PRICE"))
+    sym = F.concat(F.lit("S"), F.col("user_id").cast("string"))
+    raw_full = F.to_json(F.create_map(sym, F.create_map(F.lit(QUOTE_CURRENCY), full)))
+    raw_short = F.to_json(F.create_map(sym, F.create_map(F.lit(QUOTE_CURRENCY), short)))
+    raw = F.when(F.col("event_id") % 7 == 0, raw_short).otherwise(raw_full)
+    ok_body = F.concat(F.lit('{"RAW":'), raw, F.lit("}"))
+    err_body = F.lit('{"Response":"Error","Message":"rate limit exceeded"}')
+    body = F.when(F.col("event_id") % 50 == 0, err_body).otherwise(ok_body)
+    return events.select(F.col("event_id").alias("seq"), t.alias("timestamp"), body.alias("body"))
+
+
+def candle_responses(ticks_df: DataFrame, seconds: int = 3600,
+                     interval: str = "hourly") -> DataFrame:
+    """(symbol, interval, body): candle API responses of at most 2000 candles.
+
+    Candles come from ticks (A7); each (symbol, page) becomes one Success
+    response, and each symbol also gets one Error response to skip. Pages
+    bound every collected group to CANDLE_PAGE rows.
+    """
+    from volspark.operators.analysis import candles
+    c = candles(ticks_df, seconds).withColumn(
+        "symbol", F.concat(F.lit("S"), F.col("symbol").cast("string")))
+    page = F.floor(F.col("time") / F.lit(seconds * CANDLE_PAGE))
+    item = F.struct("time", "open", "high", "low", "close", "volumefrom", "volumeto")
+    pages = (c.groupBy("symbol", page.alias("_page"))
+              .agg(F.sort_array(F.collect_list(item)).alias("_items")))
+    ok = pages.select(
+        "symbol", F.lit(interval).alias("interval"),
+        F.to_json(F.struct(F.lit("Success").alias("Response"), F.lit("").alias("Message"),
+                           F.struct(F.col("_items").alias("Data")).alias("Data"))).alias("body"))
+    err = (c.select("symbol").distinct()
+             .select("symbol", F.lit(interval).alias("interval"),
+                     F.lit('{"Response":"Error","Message":"limit"}').alias("body")))
+    return ok.unionByName(err)
+
+
+def quality_input(ticks_df: DataFrame) -> DataFrame:
+    """Ticks with dirty prices: seq % 11 = 0 -> 0, 1 -> -price, 2 -> NULL."""
+    m = F.col("seq") % 11
+    p = (F.when(m == 0, F.lit(0.0)).when(m == 1, -F.col("price"))
+          .when(m == 2, F.lit(None).cast("double")).otherwise(F.col("price")))
+    return ticks_df.withColumn("price", p)
