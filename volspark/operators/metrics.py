@@ -65,6 +65,10 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     keys = list(keys)
     frames = [h * HOUR for h in hours] + [s for (_, _, s) in (extra or {}).values()]
     width = bucket_seconds or bucket_width(frames)
+    # outputs replace input columns of the same name (e.g. recomputing history)
+    outputs = ["log_return", "price_change_pct", *(extra or {})]
+    outputs += [f"{m}_{h}h" for h in hours for m in ("volatility", "price_ma")]
+    df = df.drop(*[c for c in outputs if c in df.columns])
     if price_col != "price":
         df = df.withColumnRenamed(price_col, "price")
     tie = seq_col

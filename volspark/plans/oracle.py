@@ -228,4 +228,8 @@ SELECT 'bulk', "timestamp", strftime(datetime, '%Y-%m-%dT%H:%M:%SZ'), CAST(date
         HISTORY_SELECT + " FROM m WHERE date >= DATE '2024-01-24'")
     q["analysis_roundtrip"] = q["daily_stats"]
     q["candle_write_read"] = q["candle_normalize"]
+    # --- streaming: the stream result equals the batch metrics
+    for k in ("stream_tick_metrics", "stream_restart", "stream_late_ticks", "stream_replay"):
+        q[k] = q["tick_metrics"]
+    q["stream_fanout"] = q["dashboard_projection"]
     return q

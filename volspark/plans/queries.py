@@ -7,6 +7,7 @@ its input with Spark. Metric outputs go through the comparison rounding of
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from volspark import sinks
 from volspark.operators import analysis as A
 from volspark.operators import clean as C
 from volspark.operators import series as S
+from volspark.plans import streams as ST
 from volspark.operators.metrics import STANDIN_24H, candle_metrics, tick_metrics
 from volspark.schemas import (
     ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, QUOTE_SCHEMA,
@@ -133,9 +135,28 @@ def registry() -> dict[str, QueryFn]:
     q["analysis_roundtrip"] = _analysis_roundtrip
     q["candle_write_read"] = _candle_write_read
     q["volume_audit"] = _volume_audit
+    # --- streaming
+    q["stream_tick_metrics"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d))
+    q["stream_restart"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d, restart=True))
+    q["stream_late_ticks"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d, late=True))
+    q["stream_replay"] = lambda s, d: _stream_metrics(s, ST.replayed(s, d))
+    q["stream_fanout"] = _stream_fanout
+    q["stream_metrics_per_batch"] = lambda s, d: report(
+        s.read.parquet(ST.per_batch(s, d)).select("ingest_batch", *METRIC_COLS))
     return q
 
 
+def _stream_metrics(spark, base):
+    return report(spark.read.parquet(os.path.join(base, "metrics")).select(*METRIC_COLS))
+
+
+def _stream_fanout(spark, sf_dir):
+    """ST2: the second sink of the same batches, dashboard JSON, read back."""
+    base = ST.rolling_stream(spark, sf_dir)
+    back = files.read_json_ticks(spark, os.path.join(base, "dashboard"), DASHBOARD_SCHEMA)
+    return report(back.drop(files.CORRUPT, "date"))
+
+
 def _quotes(spark, sf_dir):
     return C.flatten_quotes(FX.quote_envelopes(FX.read_table(spark, sf_dir, "events")),
                             keep=("seq",))

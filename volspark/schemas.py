@@ -109,3 +109,7 @@ DASHBOARD_SCHEMA = T.StructType([
     T.StructField("high24h", T.DoubleType(), True),
     T.StructField("low24h", T.DoubleType(), True),
 ])
+
+# Tick messages on the file/Kafka stream carry a tie-breaker ``seq`` (Kafka:
+# partition/offset; test data: event_id) next to the 12 tick fields.
+STREAM_TICK_SCHEMA = T.StructType(TICK_SCHEMA.fields + [T.StructField("seq", T.LongType(), True)])
