@@ -98,7 +98,8 @@ def money0(c) -> Column:
 def fixed6(c) -> Column:
     """Six decimals without grouping, or ``N/A`` on null."""
     c = as_col(c)
-    return F.coalesce(F.format_string("%.6f", c), F.lit("N/A"))
+    # format_string renders NULL as the text "null": test for null first
+    return F.coalesce(F.when(c.isNotNull(), F.format_string("%.6f", c)), F.lit("N/A"))
 
 
 def display_time(iso_text) -> Column:
