@@ -78,11 +78,13 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
                     else F.struct("price"))
         df = df.withColumn(tie, tie_expr)
     base = add_series_bucket(df, keys, time_col, width)
-    prev = with_previous(base, time_col, tie, "price", "_prev")
+    lookahead = max(frames) // width - 1
+    prev = with_previous(base, time_col, tie, "price", "_prev", lookahead=lookahead)
     rets = (prev.withColumn("log_return", log_return("price", "_prev"))
                 .withColumn("price_change_pct", change_pct("price", "_prev"))
                 .drop("_prev"))
-    framed = rolling(rets, time_col, _metric_aggs(hours, extra), width)
+    framed = rolling(rets, time_col, _metric_aggs(hours, extra), width,
+                     order_cols=[time_col, tie])
     out = framed
     for h in hours:
         out = (out.withColumn(f"volatility_{h}h", F.coalesce(

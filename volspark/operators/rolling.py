@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 
 SK = "_sk"   # series key: struct of the key columns (null fields group together)
 BK = "_b"    # bucket index
+TG = "_targets"  # non-empty buckets ahead whose frames reach back to this one
+FIRST = "_first"  # first row of its bucket in (time, seq) order
 
 
 @dataclass(frozen=True)
@@ -70,11 +72,13 @@ def _series(df: DataFrame) -> list[str]:
 
 
 def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
-                  out_col: str) -> DataFrame:
+                  out_col: str, lookahead: int = 0) -> DataFrame:
     """Previous ``value_col`` in (time, seq) order within the series.
 
     ``df`` must carry the series key and bucket columns. Output is
-    hash-partitioned by (series, bucket).
+    hash-partitioned by (series, bucket). With ``lookahead`` > 0 each row
+    also gets ``_targets``: the non-empty buckets in (b, b + lookahead], taken
+    from the same small per-bucket table (used by ``rolling``).
     """
     sk = _series(df)
     part = sk + [BK]
@@ -82,17 +86,21 @@ def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
     # one row per non-empty bucket: its last value, then the previous bucket's
     last = (df.groupBy(*part)
               .agg(F.max_by(F.col(value_col), order).alias("_last")))
-    carry = (last.withColumn("_carry",
-                             F.lag("_last").over(Window.partitionBy(*sk).orderBy(BK)))
-                 .select(*part, "_carry"))
+    wb = Window.partitionBy(*sk).orderBy(BK)
+    carry = last.withColumn("_carry", F.lag("_last").over(wb))
+    extra = []
+    if lookahead > 0:
+        carry = carry.withColumn(TG, F.collect_list(BK).over(wb.rangeBetween(1, lookahead)))
+        extra = [TG]
+    carry = carry.select(*part, "_carry", *extra)
     # explicit repartition: join and window then share one exchange
     rows = df.repartition(*part).join(carry, part, "inner")
     w = Window.partitionBy(*part).orderBy(F.col(time_col), F.col(seq_col))
-    return (rows.withColumn(out_col, F.lag(F.col(value_col), 1).over(w))
-                .withColumn("_first", F.row_number().over(w) == 1)
-                .withColumn(out_col, F.when(F.col("_first"), F.col("_carry"))
-                                      .otherwise(F.col(out_col)))
-                .drop("_carry", "_first"))
+    out = rows.select("*", F.lag(F.col(value_col), 1).over(w).alias("_lag"),
+                      (F.row_number().over(w) == 1).alias(FIRST))
+    out = out.withColumn(out_col, F.when(F.col(FIRST), F.col("_carry")).otherwise(F.col("_lag")))
+    out = out.drop("_carry", "_lag")
+    return out if lookahead > 0 else out.drop(FIRST)
 
 
 def _part_expr(kind: str, col: Column) -> Column:
@@ -127,11 +135,15 @@ def _merge(kind: str, parts: list[Column]) -> Column:
 
 
 def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
-            width: int) -> DataFrame:
+            width: int, order_cols=None) -> DataFrame:
     """Add one column per ``FrameAgg``; ``df`` carries series key and bucket.
 
     ``time_col`` must be integral seconds (a long) and non-null.
+    ``order_cols`` is the order ``df`` is already sorted in within a bucket
+    (from ``with_previous``); the per-bucket totals reuse it, so they add no
+    sort and no window operator of their own.
     """
+    order_cols = list(order_cols or [time_col])
     frames = sorted({a.seconds for a in aggs})
     for f in frames:
         if f <= 0 or f % width:
@@ -151,48 +163,75 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
             part("count", a.column, a.seconds)
 
     roles = {f: i + 1 for i, f in enumerate(frames)}
+    mid_role = len(frames) + 1
     value_cols = sorted({c for (_, c, _) in parts})
     sk = _series(df)
     part_cols = sk + [BK]
+    spans = {key: key[2] // width for key in parts}
+    mid_parts = {key: p for key, p in parts.items() if spans[key] > 1}
+    tname = {key: f"_t_{key[0]}_{key[1]}" for key in mid_parts}
+    summaries = TG in df.columns and bool(mid_parts)
+    if TG in df.columns and not summaries:
+        df = df.drop(TG)
 
     # -- expansion: own row (role 0) plus one shifted copy per frame length
-    gen = [F.struct(F.lit(0).alias("_role"), F.col(BK).alias("_tb"),
-                    F.col(time_col).alias("_okey"))]
+    def gen_struct(role, tb, okey, k):
+        return F.struct(F.lit(role).alias("_role"), tb.alias("_tb"), okey.alias("_okey"),
+                        F.lit(k).cast("long").alias("_k") if isinstance(k, int) else k.alias("_k"))
+
+    gen = [gen_struct(0, F.col(BK), F.col(time_col), 0)]
     for f in frames:
-        gen.append(F.struct(F.lit(roles[f]).alias("_role"),
-                            (F.col(BK) + F.lit(f // width)).alias("_tb"),
-                            (F.col(time_col) + F.lit(f)).alias("_okey")))
-    payload = [c for c in df.columns if c not in (SK, BK)]
-    exploded = df.withColumn("_g", F.explode(F.array(*gen)))
-    own = F.col("_g._role") == 0
+        gen.append(gen_struct(roles[f], F.col(BK) + F.lit(f // width),
+                              F.col(time_col) + F.lit(f), 0))
+    gen_arr = F.array(*gen)
+    if summaries:
+        # bucket totals on every row (whole-partition window: the rows are
+        # already partitioned and sorted by bucket, so no exchange, no sort)
+        wb = (Window.partitionBy(*part_cols).orderBy(*order_cols)
+              .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        tot = {}
+        for key in mid_parts:       # totals do not depend on the frame length
+            kind, column, _ = key
+            tot[tname[key]] = _part_expr(kind, F.col(column)).over(wb).alias(tname[key])
+        df = df.select("*", *tot.values())
+        if FIRST not in df.columns:
+            df = df.withColumn(FIRST, F.row_number().over(
+                Window.partitionBy(*part_cols).orderBy(*order_cols)) == 1)
+        first = F.col(FIRST)
+        # one row per bucket sends its totals to the non-empty buckets whose
+        # middle it belongs to (at most span - 1 of them)
+        summ = F.transform(F.col(TG), lambda t: gen_struct(
+            mid_role, t, F.col(time_col), t - F.col(BK)))
+        gen_arr = F.when(first, F.concat(gen_arr, summ)).otherwise(gen_arr)
+    payload = [c for c in df.columns
+               if c not in (SK, BK, TG, FIRST) and not c.startswith("_t_")]
+    exploded = df.withColumn("_g", F.explode(gen_arr))
+    role = F.col("_g._role")
     cols = [F.col(c) for c in sk] + [
-        F.col("_g._tb").alias(BK), F.col("_g._role").alias("_role"),
-        F.col("_g._okey").alias("_okey")]
+        F.col("_g._tb").alias(BK), role.alias("_role"), F.col("_g._okey").alias("_okey"),
+        F.col("_g._k").alias("_k")]
     for c in payload:
-        if c in value_cols:
-            cols.append(F.col(c))
-        else:  # copies carry only the values the frames need
-            cols.append(F.when(own, F.col(c)).alias(c))
+        if c in value_cols:    # copies carry only the values the frames need
+            cols.append(F.when(role != mid_role, F.col(c)).alias(c))
+        else:
+            cols.append(F.when(role == 0, F.col(c)).alias(c))
+    if summaries:
+        cols += [F.when(role == mid_role, F.col(t)).alias(t) for t in sorted(set(tname.values()))]
     ex = exploded.select(*cols).repartition(*part_cols)
     is_own = F.col("_role") == 0
 
-    # -- middle: per-bucket totals, then whole buckets strictly inside the
-    #    frame. ``df`` comes hash-partitioned by (series, bucket) from
-    #    ``with_previous``, so the totals need no exchange of rows.
-    totals_aggs = {}
-    for (kind, column, seconds) in parts:
-        tname = f"_t_{kind}_{column}"
-        totals_aggs[tname] = _part_expr(kind, F.col(column)).alias(tname)
-    totals = df.groupBy(*part_cols).agg(*totals_aggs.values())
-    mid_cols = []
-    for (kind, column, seconds), pname in parts.items():
-        span = seconds // width
-        if span <= 1:
-            continue
-        wmid = Window.partitionBy(*sk).orderBy(BK).rangeBetween(-(span - 1), -1)
-        mid_cols.append(_combine_expr(kind, F.col(f"_t_{kind}_{column}")).over(wmid)
-                        .alias(f"{pname}_m"))
-    middle = totals.select(*part_cols, *mid_cols) if mid_cols else None
+    middle = None
+    if mid_parts and not summaries:
+        # totals table path: per-bucket totals, then whole buckets strictly
+        # inside the frame; ``df`` comes hash-partitioned by (series, bucket)
+        tot = {tname[k]: _part_expr(k[0], F.col(k[1])).alias(tname[k]) for k in mid_parts}
+        totals = df.groupBy(*part_cols).agg(*tot.values())
+        mid_cols = []
+        for key, pname in mid_parts.items():
+            wmid = Window.partitionBy(*sk).orderBy(BK).rangeBetween(-(spans[key] - 1), -1)
+            mid_cols.append(_combine_expr(key[0], F.col(tname[key])).over(wmid)
+                            .alias(f"{pname}_m"))
+        middle = totals.select(*part_cols, *mid_cols)
 
     # -- prefix (ascending running aggregate of own rows) and suffix
     #    (descending running aggregate of the shifted copies)
@@ -200,8 +239,12 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     desc = (Window.partitionBy(*part_cols).orderBy(F.col("_okey").desc())
             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    # whole bucket, on the ascending spec: same window operator, no new sort
+    whole = (Window.partitionBy(*part_cols).orderBy(F.col("_okey").asc())
+             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     win_cols = []
-    for (kind, column, seconds), pname in parts.items():
+    for key, pname in parts.items():
+        kind, column, seconds = key
         v = F.col(column)
         if kind == "sumsq":
             v = v * v
@@ -212,17 +255,21 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
         win_cols.append(fn(F.when(is_own, v)).over(asc).alias(f"{pname}_a"))
         win_cols.append(fn(F.when(F.col("_role") == roles[seconds], v)).over(desc)
                         .alias(f"{pname}_d"))
+        if summaries and key in mid_parts:
+            inside = (F.col("_role") == mid_role) & (F.col("_k") <= spans[key] - 1)
+            win_cols.append(_combine_expr(kind, F.when(inside, F.col(tname[key])))
+                            .over(whole).alias(f"{pname}_m"))
     framed = ex.select("*", *win_cols).filter(is_own)
 
     if middle is not None:
         framed = framed.join(middle, part_cols, "left")
 
     out = []
-    for (kind, column, seconds), pname in parts.items():
+    for key, pname in parts.items():
         ps = [F.col(f"{pname}_a"), F.col(f"{pname}_d")]
-        if seconds // width > 1:
+        if key in mid_parts:
             ps.append(F.col(f"{pname}_m"))
-        out.append(_merge(kind, ps).alias(pname))
+        out.append(_merge(key[0], ps).alias(pname))
     merged = framed.select(*payload, *part_cols, *out)
 
     final = []

@@ -42,6 +42,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF}.items():
         builder = builder.config(k, v)
+    if os.environ.get("VOLSPARK_EVENTLOG"):        # profiling: stage times on disk
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", os.environ["VOLSPARK_EVENTLOG"])
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_conf(spark)
