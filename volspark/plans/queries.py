@@ -23,7 +23,7 @@ from volspark.operators.metrics import STANDIN_24H, candle_metrics, tick_metrics
 from volspark.schemas import (
     ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, QUOTE_SCHEMA,
 )
-from volspark.session import ensure_conf, scratch_path
+from volspark.session import ensure_conf, materialize, scratch_path
 from volspark.sources import files
 from volspark.sources import fixtures as FX
 from volspark.sources.fixtures import ticks
@@ -54,6 +54,10 @@ def metrics(spark: SparkSession, sf_dir: str, keys=(), **kw) -> DataFrame:
     return tick_metrics(ticks(spark, sf_dir), keys, extra=STANDIN_24H, **kw)
 
 
+def _mat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(metrics(spark, sf_dir))
+
+
 METRIC_COLS = ["seq", "timestamp", "price", "log_return", "price_change_pct",
                "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h",
                "volume24h", "high24h", "low24h"]
@@ -84,13 +88,14 @@ def registry() -> dict[str, QueryFn]:
     q["daily_stats_head"] = lambda s, d: report(A.daily_stats_head(metrics(s, d)))
     q["hourly_pattern"] = lambda s, d: report(A.hourly_pattern(metrics(s, d)))
     q["peak_hour"] = lambda s, d: report(A.peak_hour(metrics(s, d)))
+    # multi-pass analyses (sketch, band, filter) read materialized metrics
     q["spike_threshold"] = lambda s, d: report(
-        A.spike_threshold(metrics(s, d)).withColumnRenamed("quantile", "threshold"))
+        A.spike_threshold(_mat(s, d)).withColumnRenamed("quantile", "threshold"))
     q["spike_threshold_approx"] = lambda s, d: report(
         A.spike_threshold(metrics(s, d), exact=False).withColumnRenamed("quantile", "threshold"))
-    q["volatility_spikes"] = lambda s, d: report(A.volatility_spikes(metrics(s, d)))
-    q["top_spikes"] = lambda s, d: report(A.top_spikes(metrics(s, d)))
-    q["analysis_summary"] = lambda s, d: A.analysis_summary(metrics(s, d))
+    q["volatility_spikes"] = lambda s, d: report(A.volatility_spikes(_mat(s, d)))
+    q["top_spikes"] = lambda s, d: report(A.top_spikes(_mat(s, d)))
+    q["analysis_summary"] = lambda s, d: A.analysis_summary(_mat(s, d))
     q["event_time_enrich"] = lambda s, d: ticks(s, d).select("seq", "timestamp", "event_time", "date")
     q["dashboard_projection"] = lambda s, d: report(_dashboard(metrics(s, d)))
     q["latest_n"] = lambda s, d: S.latest_n(ticks(s, d)).select("seq", "timestamp", "price")

@@ -84,3 +84,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = root[len("file:"):]
     path = os.path.join(root, "volspark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def materialize(df):
+    """Cut lineage of an intermediate that several jobs read.
+
+    A reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
+    executor loss, unlike a local checkpoint); the caller's later passes read
+    it instead of recomputing the whole plan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
