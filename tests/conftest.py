@@ -14,10 +14,8 @@ def spark(tmp_path_factory):
     from volspark.session import local_session
     s = local_session(shuffle_partitions=8)
     # tests only: the checkpoint folder is unset locally, so use a temp one
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = str(tmp_path_factory.mktemp("ckpt"))
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
 
 

@@ -80,19 +80,23 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     base = add_series_bucket(df, keys, time_col, width)
     lookahead = max(frames) // width - 1
     prev = with_previous(base, time_col, tie, "price", "_prev", lookahead=lookahead)
-    rets = (prev.withColumn("log_return", log_return("price", "_prev"))
-                .withColumn("price_change_pct", change_pct("price", "_prev"))
-                .drop("_prev"))
+    # one select per step: each withColumn would re-analyze the whole plan
+    keep = [c for c in prev.columns if c != "_prev"]
+    rets = prev.select(*keep, log_return("price", "_prev").alias("log_return"),
+                       change_pct("price", "_prev").alias("price_change_pct"))
     framed = rolling(rets, time_col, _metric_aggs(hours, extra), width,
                      order_cols=[time_col, tie])
-    out = framed
+    helper = {c for h in hours for c in (f"_nr{h}", f"_sr{h}", f"_qr{h}", f"_np{h}", f"_sp{h}")}
+    helper |= {SK, BK}
+    metric_cols = []
     for h in hours:
-        out = (out.withColumn(f"volatility_{h}h", F.coalesce(
-                    sample_stddev(f"_nr{h}", f"_sr{h}", f"_qr{h}"), F.lit(0.0)))
-                  .withColumn(f"price_ma_{h}h", F.coalesce(
-                    F.col(f"_sp{h}") / F.col(f"_np{h}"), F.col("price"))))
-    helper = [c for h in hours for c in (f"_nr{h}", f"_sr{h}", f"_qr{h}", f"_np{h}", f"_sp{h}")]
-    out = out.drop(*helper, SK, BK)  # drop ignores absent names
+        metric_cols += [
+            F.coalesce(sample_stddev(f"_nr{h}", f"_sr{h}", f"_qr{h}"), F.lit(0.0))
+             .alias(f"volatility_{h}h"),
+            F.coalesce(F.col(f"_sp{h}") / F.col(f"_np{h}"), F.col("price"))
+             .alias(f"price_ma_{h}h"),
+        ]
+    out = framed.select(*[c for c in framed.columns if c not in helper], *metric_cols)
     if seq_col is None:
         out = out.drop(tie)
     if price_col != "price":

@@ -60,9 +60,9 @@ def bucket_width(seconds: list[int]) -> int:
 
 def add_series_bucket(df: DataFrame, keys, time_col: str, width: int) -> DataFrame:
     """Add the bucket index and, for keyed series, the series key column."""
-    if keys:
-        df = df.withColumn(SK, F.struct(*[F.col(k) for k in keys]))
-    return df.withColumn(BK, F.floor(F.col(time_col) / F.lit(width)).cast("long"))
+    new = [F.struct(*[F.col(k) for k in keys]).alias(SK)] if keys else []
+    new.append(F.floor(F.col(time_col) / F.lit(width)).cast("long").alias(BK))
+    return df.select("*", *new)
 
 
 def _series(df: DataFrame) -> list[str]:
@@ -87,20 +87,17 @@ def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
     last = (df.groupBy(*part)
               .agg(F.max_by(F.col(value_col), order).alias("_last")))
     wb = Window.partitionBy(*sk).orderBy(BK)
-    carry = last.withColumn("_carry", F.lag("_last").over(wb))
-    extra = []
-    if lookahead > 0:
-        carry = carry.withColumn(TG, F.collect_list(BK).over(wb.rangeBetween(1, lookahead)))
-        extra = [TG]
-    carry = carry.select(*part, "_carry", *extra)
+    extra = [F.collect_list(BK).over(wb.rangeBetween(1, lookahead)).alias(TG)] if lookahead > 0 else []
+    carry = last.select(*part, F.lag("_last").over(wb).alias("_carry"), *extra)
     # explicit repartition: join and window then share one exchange
     rows = df.repartition(*part).join(carry, part, "inner")
     w = Window.partitionBy(*part).orderBy(F.col(time_col), F.col(seq_col))
     out = rows.select("*", F.lag(F.col(value_col), 1).over(w).alias("_lag"),
                       (F.row_number().over(w) == 1).alias(FIRST))
-    out = out.withColumn(out_col, F.when(F.col(FIRST), F.col("_carry")).otherwise(F.col("_lag")))
-    out = out.drop("_carry", "_lag")
-    return out if lookahead > 0 else out.drop(FIRST)
+    keep = [c for c in out.columns if c not in ("_carry", "_lag")
+            and not (c == FIRST and lookahead <= 0)]
+    return out.select(*keep, F.when(F.col(FIRST), F.col("_carry"))
+                      .otherwise(F.col("_lag")).alias(out_col))
 
 
 def _part_expr(kind: str, col: Column) -> Column:
@@ -195,8 +192,8 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
             tot[tname[key]] = _part_expr(kind, F.col(column)).over(wb).alias(tname[key])
         df = df.select("*", *tot.values())
         if FIRST not in df.columns:
-            df = df.withColumn(FIRST, F.row_number().over(
-                Window.partitionBy(*part_cols).orderBy(*order_cols)) == 1)
+            df = df.select("*", (F.row_number().over(
+                Window.partitionBy(*part_cols).orderBy(*order_cols)) == 1).alias(FIRST))
         first = F.col(FIRST)
         # one row per bucket sends its totals to the non-empty buckets whose
         # middle it belongs to (at most span - 1 of them)
@@ -205,7 +202,7 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
         gen_arr = F.when(first, F.concat(gen_arr, summ)).otherwise(gen_arr)
     payload = [c for c in df.columns
                if c not in (SK, BK, TG, FIRST) and not c.startswith("_t_")]
-    exploded = df.withColumn("_g", F.explode(gen_arr))
+    exploded = df.select("*", F.explode(gen_arr).alias("_g"))
     role = F.col("_g._role")
     cols = [F.col(c) for c in sk] + [
         F.col("_g._tb").alias(BK), role.alias("_role"), F.col("_g._okey").alias("_okey"),
