@@ -120,3 +120,12 @@ def test_no_single_partition_exchange_on_rows(spark):
         if "Window [" in line and "lag(price" in line:
             assert "windowspecdefinition(_b" in line, line
     assert "RangeFrame, -86400" not in plan     # no sliding 24h frame over rows
+
+
+def test_untimed_rows_are_kept(spark):
+    df = spark.createDataFrame([(0, 1.0, 1), (None, 2.0, 2), (60, 2.0, 3)],
+                               "timestamp long, price double, seq long")
+    got = {r.seq: r for r in tick_metrics(df).collect()}
+    assert set(got) == {1, 2, 3}
+    assert got[2].log_return is None and got[2].volatility_24h is None
+    assert abs(got[3].log_return - math.log(2.0)) < 1e-12

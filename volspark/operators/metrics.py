@@ -59,8 +59,8 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     ``seq_col`` breaks ties between equal timestamps for the previous price;
     when None, ``struct(datetime, price)`` is used if present (N7).
     ``extra`` maps output name -> (kind, column, seconds) for more frames.
-    Rows with a NULL ``time_col`` cannot be placed in a frame: quarantine
-    them first (``quality_check``).
+    Rows with a NULL ``time_col`` cannot be placed in time: they are kept,
+    with NULL metrics (``quality_check`` flags them for quarantine).
     """
     keys = list(keys)
     frames = [h * HOUR for h in hours] + [s for (_, _, s) in (extra or {}).values()]
@@ -77,6 +77,8 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
         tie_expr = (F.struct("datetime", "price") if "datetime" in df.columns
                     else F.struct("price"))
         df = df.withColumn(tie, tie_expr)
+    untimed = df.filter(F.col(time_col).isNull())
+    df = df.filter(F.col(time_col).isNotNull())
     base = add_series_bucket(df, keys, time_col, width)
     lookahead = max(frames) // width - 1
     prev = with_previous(base, time_col, tie, "price", "_prev", lookahead=lookahead)
@@ -97,6 +99,8 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
              .alias(f"price_ma_{h}h"),
         ]
     out = framed.select(*[c for c in framed.columns if c not in helper], *metric_cols)
+    # untimed rows come back whole, metrics NULL (a cheap filtered scan)
+    out = out.unionByName(untimed, allowMissingColumns=True)
     if seq_col is None:
         out = out.drop(tie)
     if price_col != "price":

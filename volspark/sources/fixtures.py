@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volspark.functions import event_date, event_time, hour_of_day, iso_datetime
+from volspark.session import ensure_conf
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # epoch seconds of the TIMESTAMP_NTZ column, dates and hours are UTC by
+    # contract: pin the session zone before any expression is built
+    ensure_conf(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
