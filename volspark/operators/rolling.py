@@ -87,8 +87,15 @@ def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
     last = (df.groupBy(*part)
               .agg(F.max_by(F.col(value_col), order).alias("_last")))
     wb = Window.partitionBy(*sk).orderBy(BK)
-    extra = [F.collect_list(BK).over(wb.rangeBetween(1, lookahead)).alias(TG)] if lookahead > 0 else []
+    extra = []
+    if lookahead > 0:
+        ahead = F.collect_list(BK).over(wb.rangeBetween(1, lookahead))
+        extra = [ahead.alias(TG)]
     carry = last.select(*part, F.lag("_last").over(wb).alias("_carry"), *extra)
+    if lookahead and lookahead <= 63:
+        # compact form joined to every row: bit k-1 set = bucket b + k non-empty
+        carry = carry.withColumn(TG, F.expr(
+            f"aggregate({TG}, 0L, (acc, x) -> acc | (1L << CAST(x - {BK} - 1 AS INT)))"))
     # explicit repartition: join and window then share one exchange
     rows = df.repartition(*part).join(carry, part, "inner")
     w = Window.partitionBy(*part).orderBy(F.col(time_col), F.col(seq_col))
@@ -197,7 +204,14 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
         first = F.col(FIRST)
         # one row per bucket sends its totals to the non-empty buckets whose
         # middle it belongs to (at most span - 1 of them)
-        summ = F.transform(F.col(TG), lambda t: gen_struct(
+        if dict(df.dtypes)[TG] == "bigint":      # bit mask of buckets ahead
+            span_max = max(spans[k] for k in mid_parts)
+            ahead = F.expr(
+                f"transform(filter(sequence(1, {span_max - 1}), "
+                f"k -> (({TG} >> (k - 1)) & 1L) = 1L), k -> {BK} + k)")
+        else:
+            ahead = F.col(TG)
+        summ = F.transform(ahead, lambda t: gen_struct(
             mid_role, t, F.col(time_col), t - F.col(BK)))
         gen_arr = F.when(first, F.concat(gen_arr, summ)).otherwise(gen_arr)
     payload = [c for c in df.columns
