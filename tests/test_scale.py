@@ -19,7 +19,8 @@ def test_hot_series_spreads_over_buckets(spark):
         (F.col("id") * 37).alias("timestamp"), F.col("id").alias("seq"),
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50 + 2).alias("symbol"),
         (F.col("id") % 97 + 1).cast("double").alias("price"))
-    m = tick_metrics(df, ("symbol",))
+    # symbol 1 (1,000 rows) is hot for a 500-row threshold: bucketed path
+    m = tick_metrics(df, ("symbol",), hot_key_rows=500)
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(key)
     spark.conf.set(key, "false")     # tiny data: AQE would merge all partitions
@@ -68,3 +69,21 @@ def test_landed_candle_and_quote_files(spark):
     from volspark.operators.clean import flatten_quotes
     q = flatten_quotes(files.read_quotes(spark, qd), keep=("seq",)).first()
     assert (q.symbol, q.currency, q.price, q.timestamp) == ("BTC", "USD", 3.0, 5)
+
+
+def test_hot_and_cold_keys_together_equal_window_form(spark):
+    from volspark.operators.metrics import STANDIN_24H
+    data = [(i * 613 % 200000, float(1 + (i * 7) % 40), i, 0 if i % 2 else 1 + i % 9)
+            for i in range(900)]
+    data += [(None, 5.0, 10_000, 3)]
+    df = spark.createDataFrame(data, "timestamp long, price double, seq long, symbol long")
+    got = {r.seq: r for r in tick_metrics(df, ("symbol",), extra=STANDIN_24H,
+                                          hot_key_rows=100).collect()}
+    timed = df.filter("timestamp is not null")
+    want = {r.seq: r for r in tick_metrics_window(timed, ("symbol",), extra=STANDIN_24H).collect()}
+    assert set(got) == set(want) | {10_000}
+    assert got[10_000].volatility_24h is None
+    for k, w in want.items():
+        for c in ("log_return", "volatility_1h", "volatility_24h", "price_ma_24h", "high24h"):
+            a, b = got[k][c], w[c]
+            assert (a is None and b is None) or abs(a - b) < 1e-9, (k, c, a, b)

@@ -50,11 +50,21 @@ def _metric_aggs(hours, extra):
     return aggs
 
 
+HOT_KEY_ROWS = 10_000     # keyed series above this many rows take the bucketed path
+
+
 def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
                  seq_col: str | None = "seq", price_col: str = "price",
                  hours=(1, 24), extra: dict | None = None,
-                 bucket_seconds: int | None = None) -> DataFrame:
-    """All metrics in one distributed pass (see ``rolling``).
+                 bucket_seconds: int | None = None,
+                 hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+    """All metrics, distributed (see ``rolling``).
+
+    Keyed input is split by rows per series (one partial aggregate): series
+    with at most ``hot_key_rows`` rows use plain per-series windows (one
+    shuffle, bounded per series); hot series use the bucketed engine, which
+    spreads them over (series, hour) tasks. ``hot_key_rows=None`` sends every
+    series to the bucketed engine. Both paths give identical results.
 
     ``seq_col`` breaks ties between equal timestamps for the previous price;
     when None, ``struct(datetime, price)`` is used if present (N7).
@@ -63,6 +73,9 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     with NULL metrics (``quality_check`` flags them for quarantine).
     """
     keys = list(keys)
+    if keys and hot_key_rows is not None and seq_col is not None:
+        return _split_hot(df, keys, time_col, seq_col, price_col, hours, extra,
+                          bucket_seconds, hot_key_rows)
     frames = [h * HOUR for h in hours] + [s for (_, _, s) in (extra or {}).values()]
     width = bucket_seconds or bucket_width(frames)
     # outputs replace input columns of the same name (e.g. recomputing history)
@@ -108,6 +121,31 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     return out
 
 
+def _split_hot(df, keys, time_col, seq_col, price_col, hours, extra, bucket_seconds, limit):
+    """Cold series: per-series windows; hot series: bucketed engine."""
+    outputs = ["log_return", "price_change_pct", *(extra or {})]
+    outputs += [f"{m}_{h}h" for h in hours for m in ("volatility", "price_ma")]
+    df = df.drop(*[c for c in outputs if c in df.columns])
+    if price_col != "price":
+        df = df.withColumnRenamed(price_col, "price")
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    cond = [df[k].eqNullSafe(counts[k]) for k in keys]
+    tagged = df.join(counts, cond, "left").select(df["*"], counts["_n"])
+    hot = tagged.filter(F.col("_n") > limit).drop("_n")
+    cold = tagged.filter(~(F.col("_n") > limit)).drop("_n")
+    cold_timed = cold.filter(F.col(time_col).isNotNull())
+    cold_out = tick_metrics_window(cold_timed, keys, time_col=time_col, seq_col=seq_col,
+                                   hours=hours, extra=extra)
+    cold_out = cold_out.unionByName(cold.filter(F.col(time_col).isNull()),
+                                    allowMissingColumns=True)
+    hot_out = tick_metrics(hot, keys, time_col=time_col, seq_col=seq_col, hours=hours,
+                           extra=extra, bucket_seconds=bucket_seconds, hot_key_rows=None)
+    out = hot_out.unionByName(cold_out.select(*hot_out.columns))
+    if price_col != "price":
+        out = out.withColumnRenamed("price", price_col)
+    return out
+
+
 def tick_metrics_window(df: DataFrame, keys=(), *, time_col="timestamp", seq_col="seq",
                         hours=(1, 24), extra: dict | None = None) -> DataFrame:
     """The literal window form (one RANGE window per frame).
