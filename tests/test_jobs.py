@@ -24,7 +24,6 @@ def test_batch_analysis_job(spark):
 def test_stream_pipeline_processing_time_trigger(spark):
     """ST1: the production entry point with a processing-time trigger."""
     import os
-    from pyspark.sql import functions as F
     from volspark.plans.jobs import stream_pipeline
     root = scratch_path(spark, "pipe")
     src = os.path.join(root, "in")
