@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on. UTC is part of the contract: dates and
 # hour-of-day are defined in UTC (the reference labels its output UTC).
@@ -19,6 +19,8 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_scratch_homes: set[str] = set()     # scratch folders registered for removal
+
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -59,38 +61,58 @@ def ensure_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, as a URI or path.
 
-    On a cluster this must be set to shared storage. Only when it is unset
-    (local tests) is a fresh temporary folder made and registered with the
-    SparkContext (``spark.checkpoint.dir`` itself is a core setting that a
-    running session may not change).
+    On a cluster the setting is required: a driver-local folder would be
+    invisible to the executors, so an unset value raises. A session with a
+    ``local`` master (tests, benchmarks) gets a fresh temporary folder.
     """
     sc = spark.sparkContext
+    local = sc.master == "local" or sc.master.startswith("local[")
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="volspark-ckpt-"))
-        root = sc.getCheckpointDir()
+        if not local:
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that "
+                             "the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="volspark-ckpt-")
+        sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
-    return root.rstrip("/")
+    return (root.removeprefix("file://") if local else root).rstrip("/")
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Make folder ``path`` and have the JVM remove it when the application ends."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "volspark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    """A fresh path below this application's own scratch folder on shared storage.
+
+    The application folder is removed when the application ends.
+    """
+    home = f"{checkpoint_root(spark)}/volspark-scratch/{spark.sparkContext.applicationId}"
+    if home not in _scratch_homes:
+        _delete_on_exit(spark, home)
+        _scratch_homes.add(home)
+    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df):
-    """Cut lineage of an intermediate that several jobs read.
+def keep(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it back.
 
-    A reliable checkpoint into the shared ``spark.checkpoint.dir`` (survives
-    executor loss, unlike a local checkpoint); the caller's later passes read
-    it instead of recomputing the whole plan.
+    Cuts lineage with a column-pruned, splittable table that survives the loss
+    of any executor; later passes read only the columns they need.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage of an intermediate that several jobs read (see :func:`keep`)."""
+    return keep(df, "materialized")
