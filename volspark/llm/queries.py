@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import simhash
+from volspark.llm import packing, simhash
 from volspark.session import ensure_conf
 
 
@@ -23,9 +23,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens, one row per piece."""
+    placed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer or packing.vocabulary())
+    return placed.withColumnRenamed("id", "doc_id")
+
+
 def registry():
     """Query name -> callable(spark, sf_dir)."""
-    return {"op2_simhash": op2_simhash}
+    return {"op2_simhash": op2_simhash, "op4_packing": op4_packing}
 
 
 def oracle_sql() -> dict[str, str]:
