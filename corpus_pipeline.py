@@ -10,9 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import simhash
+from volspark.llm import langid, packing, simhash
 from volspark.session import ensure_conf, keep
 
+MIN_LANGUAGE_SCORE = 0.3        # with four languages 0.25 is an even guess
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language cannot be told: no letter, or about as likely in any language."""
+    model = langid.Model(langid.training_samples(docs))
+    told = (langid.identify(docs, model)
+            .where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)))
+    return docs.join(told.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each SimHash group: the one with the smallest id."""
@@ -21,8 +31,15 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi")
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as sequences of 2048 tokens, one row per piece."""
+    return packing.pack(docs, packing.vocabulary()).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
+    ("language_id", language_id),
     ("simhash_near_dedup", near_dedup),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 ORACLE_SQL = None

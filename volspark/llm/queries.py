@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import packing, simhash
+from volspark.llm import langid, packing, simhash
 from volspark.session import ensure_conf
 
 
@@ -29,9 +29,18 @@ def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return placed.withColumnRenamed("id", "doc_id")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, trained on the three quarters that may train."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.Model(langid.training_samples(docs))
+    return langid.identify(docs, model).select(
+        F.col("id").alias("doc_id"), (~langid.trainable("id")).alias("held_out"), "lang_pred", "score")
+
+
 def registry():
     """Query name -> callable(spark, sf_dir)."""
-    return {"op2_simhash": op2_simhash, "op4_packing": op4_packing}
+    return {"op2_simhash": op2_simhash, "op4_packing": op4_packing,
+            "op5_langid": op5_langid}
 
 
 def oracle_sql() -> dict[str, str]:
