@@ -19,9 +19,10 @@ MIN_LANGUAGE_SCORE = 0.3        # with four languages 0.25 is an even guess
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language cannot be told: no letter, or about as likely in any language."""
     model = langid.Model(langid.training_samples(docs))
-    told = (langid.identify(docs, model)
-            .where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE_SCORE)))
-    return docs.join(told.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    found = langid.language_of(F.col("text"), model, spark)
+    told = docs.select(F.struct("*").alias("doc"), found.alias("found")).where(
+        (F.col("found.lang_pred") != langid.UNDETERMINED) & (F.col("found.score") >= MIN_LANGUAGE_SCORE))
+    return told.select("doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

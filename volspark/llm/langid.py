@@ -27,9 +27,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SAMPLE_CHARS = 30_000
@@ -202,20 +202,23 @@ def training_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return {k: " ".join(v)[:sample_chars] for k, v in samples.items()}
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))   # bounded, see the module docstring
+def language_of(text: Column, model: Model, spark: SparkSession) -> Column:
+    """struct(lang_pred, score) of a text column; narrow, so that rows need no join to be judged."""
+    shared = spark.sparkContext.broadcast(vars(model))       # bounded, see the module docstring
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("lang_pred string, score double")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Model({})
         vars(own).update(shared.value)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                rows = batch.slice(at, 2000)
-                languages, scores = own.predict(rows.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                    names=["id", "lang_pred", "score"])
-
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-            .mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, lang_pred string, score double"))
+        for texts in batches:
+            found = [own.predict(texts.iloc[at:at + 2000].tolist()) for at in range(0, len(texts), 2000)]
+            yield pd.DataFrame({"lang_pred": [x for names, _ in found for x in names],
+                                "score": [x for _, scores in found for x in scores]})
+
+    return judge(text)
+
+
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every document."""
+    found = language_of(F.col(text_col), model, docs.sparkSession)
+    return docs.select(F.col(id_col).alias("id"), found.alias("found")).select("id", "found.*")
