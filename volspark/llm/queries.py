@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import langid, packing, simhash
+from volspark.llm import langid, packing, quality, simhash
 from volspark.session import ensure_conf
 
 
@@ -37,10 +37,20 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (~langid.trainable("id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, trained on the four fifths that may train."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        F.col("id").alias("doc_id"), (~quality.trainable("id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def registry():
     """Query name -> callable(spark, sf_dir)."""
     return {"op2_simhash": op2_simhash, "op4_packing": op4_packing,
-            "op5_langid": op5_langid}
+            "op5_langid": op5_langid,
+            "op9_quality": op9_quality}
 
 
 def oracle_sql() -> dict[str, str]:
