@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import langid, packing, simhash
+from volspark.llm import decontam, langid, packing, simhash
 from volspark.session import ensure_conf, keep
 
 MIN_LANGUAGE_SCORE = 0.3        # with four languages 0.25 is an even guess
@@ -32,6 +32,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(kept, "doc_id", "left_semi")
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in which a window of 10 words of a benchmark item occurs."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontam.found_in(F.col("text"), decontam.phrase_blocks(benchmark), spark)
+    judged = docs.select(F.struct("*").alias("doc"), found.alias("found"))
+    return judged.where(F.size("found.spans") == 0).select("doc.*")
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as sequences of 2048 tokens, one row per piece."""
     return packing.pack(docs, packing.vocabulary()).withColumnRenamed("id", "doc_id")
@@ -40,6 +48,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("language_id", language_id),
     ("simhash_near_dedup", near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("best_fit_packing", best_fit_packing),
 ]
 

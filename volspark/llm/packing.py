@@ -292,7 +292,7 @@ def _plan(histogram: dict[int, int], capacity: int, groups: int,
 
 
 def place(pieces: DataFrame, length_col: str = "length", order: tuple[str, ...] = ("id", "piece"),
-          capacity: int = CAPACITY, groups: int = 32, window_rows: int = 50_000) -> DataFrame:
+          capacity: int = CAPACITY, groups: int = 32, window_rows: int = 1000) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset`` (both long, gapless offsets from 0).
 
     ``pieces`` is read twice and should be stored. Lengths lie in 1..capacity.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import langid, packing, quality, simhash
+from volspark.llm import decontam, langid, packing, quality, simhash
 from volspark.session import ensure_conf
 
 
@@ -37,6 +37,44 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (~langid.trainable("id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside an occurrence of a benchmark window of 10 words."""
+    found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP8_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS phrase
+    FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)),
+o AS (
+    SELECT doc_id, i, k, item_id
+    FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d)
+          CROSS JOIN (SELECT DISTINCT k FROM p) WHERE i + k - 1 <= len(w))
+    JOIN p USING (phrase, k)),
+h AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM o) GROUP BY doc_id),
+t AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, trained on the four fifths that may train."""
     docs = _table(spark, sf_dir, "documents")
@@ -50,9 +88,10 @@ def registry():
     """Query name -> callable(spark, sf_dir)."""
     return {"op2_simhash": op2_simhash, "op4_packing": op4_packing,
             "op5_langid": op5_langid,
+            "op8_decontam": op8_decontam,
             "op9_quality": op9_quality}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return {"op8_decontam": OP8_SQL}
