@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import decontam, langid, packing, simhash
+from volspark.llm import decontam, langid, packing, secrets, simhash
 from volspark.session import ensure_conf, keep
 
 MIN_LANGUAGE_SCORE = 0.3        # with four languages 0.25 is an even guess
@@ -40,6 +40,18 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return judged.where(F.size("found.spans") == 0).select("doc.*")
 
 
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret in the texts by a marker; ``n_chars`` follows."""
+    found = secrets.find(docs.withColumn("doc", F.struct("*")), carry=("doc",))
+    text = F.col("doc.text")
+    clean = secrets.redact(text, F.array_sort(F.concat("base", "added")))
+    return found.select("doc", clean.alias("clean")).select(
+        [F.col("clean").alias("text") if c == "text"
+         else F.when(text.eqNullSafe(F.col("clean")), F.col("doc.n_chars"))
+         .otherwise(F.length("clean")).cast(t).alias(c) if c == "n_chars"
+         else F.col(f"doc.{c}") for c, t in docs.dtypes])
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents as sequences of 2048 tokens, one row per piece."""
     return packing.pack(docs, packing.vocabulary()).withColumnRenamed("id", "doc_id")
@@ -49,6 +61,7 @@ STAGES = [
     ("language_id", language_id),
     ("simhash_near_dedup", near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
     ("best_fit_packing", best_fit_packing),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import decontam, langid, packing, quality, simhash
+from volspark.llm import decontam, langid, packing, quality, secrets, simhash
 from volspark.session import ensure_conf
 
 
@@ -37,6 +37,15 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (~langid.trainable("id")).alias("held_out"), "lang_pred", "score")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the three base kinds, and what the Markov models add."""
+    found = secrets.find(_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[secrets.count(F.col("base"), kind).alias(f"n_{kind}") for kind in secrets.KINDS[:3]], F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+        secrets.joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside an occurrence of a benchmark window of 10 words."""
     found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -88,6 +97,7 @@ def registry():
     """Query name -> callable(spark, sf_dir)."""
     return {"op2_simhash": op2_simhash, "op4_packing": op4_packing,
             "op5_langid": op5_langid,
+            "op7_secrets": op7_secrets,
             "op8_decontam": op8_decontam,
             "op9_quality": op9_quality}
 
