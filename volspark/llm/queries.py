@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import decontam, langid, packing, quality, secrets, simhash
+from volspark.llm import decontam, langid, packing, quality, secrets, simhash, urls
 from volspark.session import ensure_conf
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page url by rule, or else by the character language-model ratio."""
+    return urls.judge(_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 3-word shingles, at most 3 differing bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
@@ -95,7 +100,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry():
     """Query name -> callable(spark, sf_dir)."""
-    return {"op2_simhash": op2_simhash, "op4_packing": op4_packing,
+    return {"op1_urls": op1_urls,
+            "op2_simhash": op2_simhash,
+            "op4_packing": op4_packing,
             "op5_langid": op5_langid,
             "op7_secrets": op7_secrets,
             "op8_decontam": op8_decontam,
