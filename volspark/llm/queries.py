@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import decontam, langid, packing, quality, secrets, simhash, urls
+from volspark.llm import decontam, embed_dedup, langid, packing, quality, secrets, simhash, urls
 from volspark.session import ensure_conf
 
 
@@ -28,6 +28,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id")
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of equal label at cosine 0.98 or more."""
+    found = embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents packed into sequences of 2048 tokens, one row per piece."""
     placed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer or packing.vocabulary())
@@ -102,6 +108,7 @@ def registry():
     """Query name -> callable(spark, sf_dir)."""
     return {"op1_urls": op1_urls,
             "op2_simhash": op2_simhash,
+            "op3_embeddings": op3_embeddings,
             "op4_packing": op4_packing,
             "op5_langid": op5_langid,
             "op7_secrets": op7_secrets,
