@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm import decontam, embed_dedup, langid, packing, quality, secrets, simhash, urls
-from volspark.session import ensure_conf
+from volspark.llm import (
+    decontam,
+    embed_dedup,
+    langid,
+    licenses,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    urls,
+    warc,
+)
+from volspark.session import ensure_conf, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +59,26 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), (~langid.trainable("id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written to shared storage and read back by its index."""
+    folder = scratch_path(spark, "warc")
+    index = warc.write(_table(spark, sf_dir, "pages"), folder)
+    return warc.read(index, folder, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP6_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, sha256(coalesce(html, '')) AS payload_digest,
+        CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: the three base kinds, and what the Markov models add."""
     found = secrets.find(_table(spark, sf_dir, "documents"))
@@ -104,6 +135,36 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document, by containment of their five-word shingles."""
+    return licenses.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP10_SQL = r"""
+WITH d AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(lower(coalesce(text, '')), '[^\pL\pN]+') IF x <> ''] AS w
+    FROM documents),
+t(license, text) AS (VALUES @),
+tw AS (
+    SELECT license, [x FOR x IN regexp_split_to_array(lower(text), '[^\pL\pN]+') IF x <> ''] AS w FROM t),
+ts AS (SELECT DISTINCT license, array_to_string(w[i:i + 4], ' ') AS s
+       FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM tw)),
+tc AS (SELECT license, count(*) AS n, CAST(pow(2, ceil(log2(count(*)))) AS BIGINT) AS c FROM ts GROUP BY license),
+o AS (SELECT doc_id, license, s, p, n, c
+      FROM (SELECT doc_id, i - 1 AS p, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))
+      JOIN ts USING (s) JOIN tc USING (license)),
+v AS (SELECT doc_id, license, k, count(DISTINCT s) / n AS containment
+      FROM (SELECT *, unnest([p // c, p // c - 1]) AS k FROM o) WHERE k >= 0
+      GROUP BY doc_id, license, k, n HAVING count(DISTINCT s) / n >= 0.8),
+g AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_windows,
+          max(containment) AS containment FROM v GROUP BY doc_id)
+SELECT doc_id, coalesce(licenses, '') AS licenses, CAST(coalesce(n_windows, 0) AS BIGINT) AS n_windows,
+    coalesce(containment, 0.0) AS containment
+FROM d LEFT JOIN g USING (doc_id)
+""".replace("@", ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES))
+
+
 def registry():
     """Query name -> callable(spark, sf_dir)."""
     return {"op1_urls": op1_urls,
@@ -111,11 +172,13 @@ def registry():
             "op3_embeddings": op3_embeddings,
             "op4_packing": op4_packing,
             "op5_langid": op5_langid,
+            "op6_warc": op6_warc,
             "op7_secrets": op7_secrets,
             "op8_decontam": op8_decontam,
-            "op9_quality": op9_quality}
+            "op9_quality": op9_quality,
+            "op10_licenses": op10_licenses}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op8_decontam": OP8_SQL}
+    return {"op6_warc": OP6_SQL, "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL}
