@@ -26,10 +26,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash group: the one with the smallest id."""
+    """Keep one document of each SimHash group: the one with the smallest id, once.
+
+    Rows without an id belong to no group and go.
+    """
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
     kept = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
