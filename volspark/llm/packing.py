@@ -89,8 +89,9 @@ class WordEncoder:
         if len(chunk) > CACHED_CHARS:
             return self._whole(chunk)
         core = chunk.rstrip(PUNCTUATION)
-        if core.isalpha() and max(core) <= "ɏ":
-            found = self._word(core.lower())
+        word = core.lower()
+        if core.isalpha() and word.isalpha() and max(core) <= "ɏ":
+            found = self._word(word)
             if len(core) < len(chunk):
                 found += self._word(chunk[len(core):])
         else:
