@@ -19,8 +19,7 @@ def test_hot_series_spreads_over_buckets(spark):
         (F.col("id") * 37).alias("timestamp"), F.col("id").alias("seq"),
         F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50 + 2).alias("symbol"),
         (F.col("id") % 97 + 1).cast("double").alias("price"))
-    # symbol 1 (1,000 rows) is hot for a 500-row threshold: bucketed path
-    m = tick_metrics(df, ("symbol",), hot_key_rows=500)
+    m = tick_metrics(df, ("symbol",))
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(key)
     spark.conf.set(key, "false")     # tiny data: AQE would merge all partitions
@@ -71,14 +70,13 @@ def test_landed_candle_and_quote_files(spark):
     assert (q.symbol, q.currency, q.price, q.timestamp) == ("BTC", "USD", 3.0, 5)
 
 
-def test_hot_and_cold_keys_together_equal_window_form(spark):
+def test_keyed_series_and_untimed_rows_equal_window_form(spark):
     from volspark.operators.metrics import STANDIN_24H
     data = [(i * 613 % 200000, float(1 + (i * 7) % 40), i, 0 if i % 2 else 1 + i % 9)
             for i in range(900)]
     data += [(None, 5.0, 10_000, 3)]
     df = spark.createDataFrame(data, "timestamp long, price double, seq long, symbol long")
-    got = {r.seq: r for r in tick_metrics(df, ("symbol",), extra=STANDIN_24H,
-                                          hot_key_rows=100).collect()}
+    got = {r.seq: r for r in tick_metrics(df, ("symbol",), extra=STANDIN_24H).collect()}
     timed = df.filter("timestamp is not null")
     want = {r.seq: r for r in tick_metrics_window(timed, ("symbol",), extra=STANDIN_24H).collect()}
     assert set(got) == set(want) | {10_000}
@@ -87,3 +85,34 @@ def test_hot_and_cold_keys_together_equal_window_form(spark):
         for c in ("log_return", "volatility_1h", "volatility_24h", "price_ma_24h", "high24h"):
             a, b = got[k][c], w[c]
             assert (a is None and b is None) or abs(a - b) < 1e-9, (k, c, a, b)
+
+
+def test_keyed_sumsq_frame(spark):
+    data = [(i * 613 % 9000, float(1 + i % 7), i, i % 3) for i in range(200)]
+    df = spark.createDataFrame(data, "timestamp long, price double, seq long, symbol long")
+    extra = {"sq1h": ("sumsq", "price", 3600)}
+    got = {r.seq: r.sq1h for r in tick_metrics(df, ("symbol",), extra=extra).collect()}
+    want = {r.seq: r.sq1h for r in tick_metrics_window(df, ("symbol",), extra=extra).collect()}
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want) and got.keys() == want.keys()
+
+
+def test_narrow_common_bucket_is_rejected(spark):
+    import pytest
+    df = spark.createDataFrame([(0, 1.0, 1)], "timestamp long, price double, seq long")
+    with pytest.raises(ValueError, match="bucket"):
+        tick_metrics(df, extra={"m": ("max", "price", 3601)})
+
+
+def test_keyed_plan_reads_twice_and_joins_by_bucket(spark):
+    """At most two scans, and no join or window over rows on the bare series key."""
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").selectExpr(
+        "unix_timestamp(ts) as timestamp", "event_id as seq", "user_id as symbol", "value as price")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = tick_metrics(df, ("symbol",))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("FileScan parquet") <= 2
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
+    assert joins and all("_b#" in line for line in joins), joins

@@ -50,21 +50,17 @@ def _metric_aggs(hours, extra):
     return aggs
 
 
-HOT_KEY_ROWS = 10_000     # keyed series above this many rows take the bucketed path
-
-
 def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
                  seq_col: str | None = "seq", price_col: str = "price",
                  hours=(1, 24), extra: dict | None = None,
-                 bucket_seconds: int | None = None,
-                 hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                 bucket_seconds: int | None = None) -> DataFrame:
     """All metrics, distributed (see ``rolling``).
 
-    Keyed input is split by rows per series (one partial aggregate): series
-    with at most ``hot_key_rows`` rows use plain per-series windows (one
-    shuffle, bounded per series); hot series use the bucketed engine, which
-    spreads them over (series, hour) tasks. ``hot_key_rows=None`` sends every
-    series to the bucketed engine. Both paths give identical results.
+    Every series, keyed or not, takes the same way: work is partitioned by
+    (series, bucket), so a hot series spreads over its buckets.
+    ``bucket_seconds`` is the width of a bucket (default: the widest that
+    divides every frame, at least ``rolling.MIN_BUCKET``); a narrower one splits
+    bursts further at the price of more per-bucket totals.
 
     ``seq_col`` breaks ties between equal timestamps for the previous price;
     when None, ``struct(datetime, price)`` is used if present (N7).
@@ -73,13 +69,11 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     with NULL metrics (``quality_check`` flags them for quarantine).
     """
     keys = list(keys)
-    if keys and hot_key_rows is not None and seq_col is not None:
-        return _split_hot(df, keys, time_col, seq_col, price_col, hours, extra,
-                          bucket_seconds, hot_key_rows)
-    frames = [h * HOUR for h in hours] + [s for (_, _, s) in (extra or {}).values()]
+    extra = extra or {}
+    frames = [h * HOUR for h in hours] + [s for (_, _, s) in extra.values()]
     width = bucket_seconds or bucket_width(frames)
     # outputs replace input columns of the same name (e.g. recomputing history)
-    outputs = ["log_return", "price_change_pct", *(extra or {})]
+    outputs = ["log_return", "price_change_pct", *extra]
     outputs += [f"{m}_{h}h" for h in hours for m in ("volatility", "price_ma")]
     df = df.drop(*[c for c in outputs if c in df.columns])
     if price_col != "price":
@@ -90,10 +84,8 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
         tie_expr = (F.struct("datetime", "price") if "datetime" in df.columns
                     else F.struct("price"))
         df = df.withColumn(tie, tie_expr)
-    untimed = df.filter(F.col(time_col).isNull())
-    df = df.filter(F.col(time_col).isNotNull())
-    base = add_series_bucket(df, keys, time_col, width)
     lookahead = max(frames) // width - 1
+    base = add_series_bucket(df, keys, time_col, width, F.col(tie), lookahead)
     prev = with_previous(base, time_col, tie, "price", "_prev", lookahead=lookahead)
     # one select per step: each withColumn would re-analyze the whole plan
     keep = [c for c in prev.columns if c != "_prev"]
@@ -103,17 +95,15 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
                      order_cols=[time_col, tie])
     helper = {c for h in hours for c in (f"_nr{h}", f"_sr{h}", f"_qr{h}", f"_np{h}", f"_sp{h}")}
     helper |= {SK, BK}
-    metric_cols = []
+    metric = {"log_return": F.col("log_return"), "price_change_pct": F.col("price_change_pct"),
+              **{name: F.col(name) for name in extra}}
     for h in hours:
-        metric_cols += [
-            F.coalesce(sample_stddev(f"_nr{h}", f"_sr{h}", f"_qr{h}"), F.lit(0.0))
-             .alias(f"volatility_{h}h"),
-            F.coalesce(F.col(f"_sp{h}") / F.col(f"_np{h}"), F.col("price"))
-             .alias(f"price_ma_{h}h"),
-        ]
-    out = framed.select(*[c for c in framed.columns if c not in helper], *metric_cols)
-    # untimed rows come back whole, metrics NULL (a cheap filtered scan)
-    out = out.unionByName(untimed, allowMissingColumns=True)
+        metric[f"volatility_{h}h"] = F.coalesce(
+            sample_stddev(f"_nr{h}", f"_sr{h}", f"_qr{h}"), F.lit(0.0))
+        metric[f"price_ma_{h}h"] = F.coalesce(F.col(f"_sp{h}") / F.col(f"_np{h}"), F.col("price"))
+    timed = F.col(time_col).isNotNull()
+    out = framed.select(*[c for c in framed.columns if c not in helper and c not in metric],
+                        *[F.when(timed, v).alias(name) for name, v in metric.items()])
     if seq_col is None:
         out = out.drop(tie)
     if price_col != "price":
@@ -121,38 +111,13 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
     return out
 
 
-def _split_hot(df, keys, time_col, seq_col, price_col, hours, extra, bucket_seconds, limit):
-    """Cold series: per-series windows; hot series: bucketed engine."""
-    outputs = ["log_return", "price_change_pct", *(extra or {})]
-    outputs += [f"{m}_{h}h" for h in hours for m in ("volatility", "price_ma")]
-    df = df.drop(*[c for c in outputs if c in df.columns])
-    if price_col != "price":
-        df = df.withColumnRenamed(price_col, "price")
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cond = [df[k].eqNullSafe(counts[k]) for k in keys]
-    tagged = df.join(counts, cond, "left").select(df["*"], counts["_n"])
-    hot = tagged.filter(F.col("_n") > limit).drop("_n")
-    cold = tagged.filter(~(F.col("_n") > limit)).drop("_n")
-    cold_timed = cold.filter(F.col(time_col).isNotNull())
-    cold_out = tick_metrics_window(cold_timed, keys, time_col=time_col, seq_col=seq_col,
-                                   hours=hours, extra=extra)
-    cold_out = cold_out.unionByName(cold.filter(F.col(time_col).isNull()),
-                                    allowMissingColumns=True)
-    hot_out = tick_metrics(hot, keys, time_col=time_col, seq_col=seq_col, hours=hours,
-                           extra=extra, bucket_seconds=bucket_seconds, hot_key_rows=None)
-    out = hot_out.unionByName(cold_out.select(*hot_out.columns))
-    if price_col != "price":
-        out = out.withColumnRenamed("price", price_col)
-    return out
-
-
 def tick_metrics_window(df: DataFrame, keys=(), *, time_col="timestamp", seq_col="seq",
                         hours=(1, 24), extra: dict | None = None) -> DataFrame:
     """The literal window form (one RANGE window per frame).
 
     Without keys this puts the whole series into ONE task and recomputes each
-    sliding frame per row; it is kept only as the brute-force check for small
-    fixtures in tests. Use ``tick_metrics`` for real data.
+    sliding frame per row: the brute-force check of small fixtures in tests,
+    used by nothing else. ``tick_metrics`` is the one for data.
     """
     keys = list(keys)
     wl = Window.partitionBy(*keys).orderBy(F.col(time_col), F.col(seq_col))
@@ -166,7 +131,8 @@ def tick_metrics_window(df: DataFrame, keys=(), *, time_col="timestamp", seq_col
                               F.coalesce(F.stddev_samp("log_return").over(w), F.lit(0.0)))
                   .withColumn(f"price_ma_{h}h",
                               F.coalesce(F.avg("price").over(w), F.col("price"))))
-    fns = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
+    fns = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count,
+           "sumsq": lambda c: F.sum(F.col(c) * F.col(c))}
     for name, (kind, column, sec) in (extra or {}).items():
         w = Window.partitionBy(*keys).orderBy(F.col(time_col)).rangeBetween(-sec, 0)
         out = out.withColumn(name, fns[kind](column).over(w))

@@ -54,14 +54,31 @@ class FrameAgg:
     seconds: int
 
 
+MIN_BUCKET = 60          # seconds; narrower buckets would mean more totals than rows
+UNTIMED = 1 << 40        # first bucket of rows without a time, after every real one
+UNTIMED_BUCKETS = 1024
+
+
 def bucket_width(seconds: list[int]) -> int:
-    return reduce(math.gcd, seconds)
+    """The widest bucket that divides every frame; at least ``MIN_BUCKET`` seconds."""
+    width = reduce(math.gcd, seconds)
+    if width < MIN_BUCKET:
+        raise ValueError(f"frames {sorted(set(seconds))} share no bucket of {MIN_BUCKET} s or more; "
+                         "choose frames with a larger common divisor or pass bucket_seconds")
+    return width
+
 
+def add_series_bucket(df: DataFrame, keys, time_col: str, width: int, spread: Column,
+                      lookahead: int) -> DataFrame:
+    """Add the bucket index and, for keyed series, the series key column.
 
-def add_series_bucket(df: DataFrame, keys, time_col: str, width: int) -> DataFrame:
-    """Add the bucket index and, for keyed series, the series key column."""
+    Rows without a time get buckets of their own, by a hash of ``spread`` and
+    too far apart to be in each other's frames, so they never meet in one task.
+    """
     new = [F.struct(*[F.col(k) for k in keys]).alias(SK)] if keys else []
-    new.append(F.floor(F.col(time_col) / F.lit(width)).cast("long").alias(BK))
+    apart = F.pmod(F.xxhash64(spread), F.lit(UNTIMED_BUCKETS)) * (lookahead + 2)
+    new.append(F.coalesce(F.floor(F.col(time_col) / F.lit(width)).cast("long"),
+                          F.lit(UNTIMED) + apart).alias(BK))
     return df.select("*", *new)
 
 
@@ -92,10 +109,6 @@ def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
         ahead = F.collect_list(BK).over(wb.rangeBetween(1, lookahead))
         extra = [ahead.alias(TG)]
     carry = last.select(*part, F.lag("_last").over(wb).alias("_carry"), *extra)
-    if lookahead and lookahead <= 63:
-        # compact form joined to every row: bit k-1 set = bucket b + k non-empty
-        carry = carry.withColumn(TG, F.expr(
-            f"aggregate({TG}, 0L, (acc, x) -> acc | (1L << CAST(x - {BK} - 1 AS INT)))"))
     # explicit repartition: join and window then share one exchange
     rows = df.repartition(*part).join(carry, part, "inner")
     w = Window.partitionBy(*part).orderBy(F.col(time_col), F.col(seq_col))
@@ -142,7 +155,8 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
             width: int, order_cols=None) -> DataFrame:
     """Add one column per ``FrameAgg``; ``df`` carries series key and bucket.
 
-    ``time_col`` must be integral seconds (a long) and non-null.
+    ``time_col`` must be integral seconds (a long); rows without a time stand
+    in buckets of their own and their values mean nothing.
     ``order_cols`` is the order ``df`` is already sorted in within a bucket
     (from ``with_previous``); the per-bucket totals reuse it, so they add no
     sort and no window operator of their own.
@@ -204,14 +218,7 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
         first = F.col(FIRST)
         # one row per bucket sends its totals to the non-empty buckets whose
         # middle it belongs to (at most span - 1 of them)
-        if dict(df.dtypes)[TG] == "bigint":      # bit mask of buckets ahead
-            span_max = max(spans[k] for k in mid_parts)
-            ahead = F.expr(
-                f"transform(filter(sequence(1, {span_max - 1}), "
-                f"k -> (({TG} >> (k - 1)) & 1L) = 1L), k -> {BK} + k)")
-        else:
-            ahead = F.col(TG)
-        summ = F.transform(ahead, lambda t: gen_struct(
+        summ = F.transform(F.col(TG), lambda t: gen_struct(
             mid_role, t, F.col(time_col), t - F.col(BK)))
         gen_arr = F.when(first, F.concat(gen_arr, summ)).otherwise(gen_arr)
     payload = [c for c in df.columns
