@@ -61,8 +61,8 @@ def sample_stddev(n, s, q) -> Column:
 
 
 def quote_value(field) -> Column:
-    """A missing or non-numeric quote field becomes 0.0, all as double."""
-    return F.coalesce(as_col(field).cast("double"), F.lit(0.0))
+    """Quote field text to double; missing, null and non-numeric become 0.0."""
+    return F.coalesce(as_col(field).try_cast("double"), F.lit(0.0))
 
 
 def round6(c) -> Column:
@@ -103,6 +103,6 @@ def fixed6(c) -> Column:
 
 
 def display_time(iso_text) -> Column:
-    """ISO datetime text (``...Z``) -> ``yyyy-MM-dd HH:mm:ss``."""
-    t = F.to_timestamp(F.regexp_replace(as_col(iso_text), "Z$", ""))
-    return F.date_format(t, "yyyy-MM-dd HH:mm:ss")
+    """ISO datetime text (``...Z``) -> ``yyyy-MM-dd HH:mm:ss``, ``N/A`` when it is not one."""
+    t = F.try_to_timestamp(F.regexp_replace(as_col(iso_text), "Z$", ""))
+    return F.coalesce(F.date_format(t, "yyyy-MM-dd HH:mm:ss"), F.lit("N/A"))

@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 
 from volspark.functions import hour_of_day
 from volspark.operators.quantile import quantile_approx, quantile_disc, threshold
-from volspark.schemas import SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, TOP_SPIKES
-
-SPIKE_COLUMNS = ["datetime", "date", "price", "volatility_24h", "volume24h", "high24h", "low24h"]
+from volspark.schemas import SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, TOP_SPIKES
 
 
 def require_columns(df: DataFrame, required) -> DataFrame:

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from volspark.functions import event_date, event_time, iso_datetime, quote_value
 from volspark.schemas import (
-    CANDLE_COLUMNS, CANDLE_RESPONSE_SCHEMA, QUOTE_SCHEMA, QUOTE_TO_TICK, TICK_FIELDS,
-    TICK_SCHEMA,
+    CANDLE_COLUMNS, CANDLE_RESPONSE_SCHEMA, QUOTE_SCHEMA, QUOTE_TO_TICK, TICK_SCHEMA,
 )
 
+MAX_TIMESTAMP = 4_102_444_799       # last second of the year 2099
 
-def parse_ticks(df: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
-    """JSON text -> the 12 typed tick fields (+ ``keep`` columns).
+
+def parse_ticks(df: DataFrame, value_col: str = "value", keep=(), schema=TICK_SCHEMA) -> DataFrame:
+    """JSON text -> the typed fields of ``schema`` (the 12 tick fields) + ``keep`` columns.
 
     Malformed text gives an all-null row and a wrong-typed field a null field
     (PERMISSIVE ``from_json``); nothing is dropped here (see quality_check).
@@ -22,8 +23,8 @@ def parse_ticks(df: DataFrame, value_col: str = "value", keep=()) -> DataFrame:
     v = F.col(value_col)
     if dict(df.dtypes).get(value_col) == "binary":
         v = v.cast("string")
-    parsed = df.select(*keep, F.from_json(v, TICK_SCHEMA).alias("_p"))
-    return parsed.select(*keep, *[F.col(f"_p.{c}").alias(c) for c in TICK_FIELDS])
+    parsed = df.select(*keep, F.from_json(v, schema).alias("_p"))
+    return parsed.select(*keep, *[F.col(f"_p.{c}").alias(c) for c in schema.fieldNames()])
 
 
 def enrich_ticks(df: DataFrame) -> DataFrame:
@@ -32,20 +33,34 @@ def enrich_ticks(df: DataFrame) -> DataFrame:
               .withColumn("date", event_date("event_time")))
 
 
-def quality_check(df: DataFrame) -> DataFrame:
+def quality_check(df: DataFrame, min_timestamp: int = 0,
+                  max_timestamp: int = MAX_TIMESTAMP) -> DataFrame:
     """Add ``reject_reason`` (NULL = good).
 
-    Rules: timestamp present, price present and > 0, volume24h >= 0 when the
-    column exists. One ``when`` chain; split with ``good``/``quarantined``.
+    Rules, first match wins: timestamp present and within
+    ``min_timestamp .. max_timestamp`` (seconds; milliseconds fall outside),
+    price present, finite and > 0; volume24h finite and >= 0 when the column
+    exists. Ticks with a price of zero or less are rejected, although the
+    metrics define values for them: no market trades there, so such a price is
+    a feed error. Split with ``good``/``quarantined``.
     """
-    reason = (F.when(F.col("timestamp").isNull(), F.lit("null_timestamp"))
-               .when(F.col("price").isNull(), F.lit("null_price"))
-               .when(F.col("price") <= 0, F.lit("non_positive_price")))
+    t, price = F.col("timestamp"), F.col("price").cast("double")
+    reason = (F.when(t.isNull(), F.lit("null_timestamp"))
+               .when((t < min_timestamp) | (t > max_timestamp), F.lit("timestamp_out_of_range"))
+               .when(price.isNull(), F.lit("null_price"))
+               .when(_not_finite(price), F.lit("non_finite_price"))
+               .when(price <= 0, F.lit("non_positive_price")))
     if "volume24h" in df.columns:
-        reason = reason.when(F.col("volume24h") < 0, F.lit("negative_volume"))
+        volume = F.col("volume24h").cast("double")
+        reason = (reason.when(_not_finite(volume), F.lit("non_finite_volume"))
+                  .when(volume < 0, F.lit("negative_volume")))
     return df.withColumn("reject_reason", reason)
 
 
+def _not_finite(c: Column) -> Column:
+    return F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
+
+
 def good(df: DataFrame) -> DataFrame:
     return df.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
@@ -59,8 +74,9 @@ def flatten_quotes(df: DataFrame, body_col: str = "body", *, time_col: str = "ti
     """S5 + P8: nested quote envelopes -> one tick row per (symbol, currency).
 
     Error envelopes (``Response = 'Error'``) and envelopes without RAW are
-    removed; absent or non-numeric fields become 0.0. ``time_col`` is the
-    poll time of the envelope (epoch seconds).
+    removed. A number may come as text (``"123.5"``); absent, null and
+    non-numeric fields become 0.0. ``time_col`` is the poll time of the
+    envelope (epoch seconds).
     """
     p = df.select(*keep, F.col(time_col).alias("timestamp"),
                   F.from_json(F.col(body_col), QUOTE_SCHEMA).alias("_q"))

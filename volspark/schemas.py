@@ -55,6 +55,9 @@ CANDLE_COLUMNS = [
 ANALYSIS_REQUIRED = ["date", "event_time", "datetime", "price",
                      "volatility_1h", "volatility_24h", "volume24h", "high24h", "low24h"]
 
+# Columns of a spike report, in order.
+SPIKE_COLUMNS = ["datetime", "date", "price", "volatility_24h", "volume24h", "high24h", "low24h"]
+
 # Spike threshold: the 99th percentile; approximate mode uses relative error 0.001.
 SPIKE_PERCENTILE = 0.99
 SPIKE_RELATIVE_ERROR = 0.001
@@ -63,8 +66,9 @@ LATEST_N = 1000
 HISTORY_MIN_GB = 3.0
 # -----------------------------------------------------------------------------
 
+# Text: a feed may quote its numbers; ``quote_value`` converts them.
 QUOTE_FIELDS_SCHEMA = T.StructType(
-    [T.StructField(q, T.DoubleType(), True) for q, _ in QUOTE_TO_TICK]
+    [T.StructField(q, T.StringType(), True) for q, _ in QUOTE_TO_TICK]
 )
 
 # {"Response": ..., "Message": ..., "RAW": {symbol: {currency: {PRICE: ...}}}}
@@ -112,4 +116,10 @@ DASHBOARD_SCHEMA = T.StructType([
 
 # Tick messages on the file/Kafka stream carry a tie-breaker ``seq`` (Kafka:
 # partition/offset; test data: event_id) next to the 12 tick fields.
+def stream_tick_schema(keys: dict[str, str] | None = None) -> T.StructType:
+    """The stream's fields plus one per series key (name -> type, e.g. ``{"symbol": "string"}``)."""
+    own = T.StructType.fromDDL(", ".join(f"`{k}` {t}" for k, t in keys.items())).fields if keys else []
+    return T.StructType(STREAM_TICK_SCHEMA.fields + own)
+
+
 STREAM_TICK_SCHEMA = T.StructType(TICK_SCHEMA.fields + [T.StructField("seq", T.LongType(), True)])

@@ -12,14 +12,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from volspark.schemas import DASHBOARD_COLUMNS
 
 
 def write_history(df: DataFrame, path: str, partition_cols=("date",), *,
                   mode: str = "overwrite") -> None:
-    """Date-partitioned history; overwrite is per partition (dynamic)."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    """Date-partitioned history; overwrite is per partition (dynamic).
+
+    Rows are rebalanced by the partition columns first: a date goes to one
+    writing task, or to several of the session's advisory size when it is large,
+    so the number of files follows the data, not tasks x dates.
+    """
+    (df.hint("rebalance", *[F.col(c) for c in partition_cols]).write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_cols).parquet(path))
 
 
@@ -35,6 +41,6 @@ def write_result(df: DataFrame, path: str) -> None:
 
 def write_candles(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """Snappy Parquet, one directory per (symbol, interval)."""
-    (df.write.mode(mode).option("compression", "snappy")
+    (df.hint("rebalance", F.col("symbol"), F.col("interval")).write.mode(mode).option("compression", "snappy")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy("symbol", "interval").parquet(path))

@@ -48,10 +48,17 @@ QUOTE_CURRENCY = "USD"
 CANDLE_PAGE = 2000          # candles per API response page
 
 
+def full_ticks(ticks_df: DataFrame) -> DataFrame:
+    """The 12 tick fields (and seq): the other nine are price + 1 .. price + 9."""
+    from volspark.schemas import TICK_FIELDS
+    rest = [(F.col("price") + F.lit(float(i + 1))).alias(c) for i, c in enumerate(TICK_FIELDS[3:])]
+    return ticks_df.select("seq", *TICK_FIELDS[:3], *rest)
+
+
 def tick_json(ticks_df: DataFrame) -> DataFrame:
-    """(seq, value): each tick serialized as one JSON message."""
-    return ticks_df.select(
-        "seq", F.to_json(F.struct("timestamp", "datetime", "price")).alias("value"))
+    """(seq, value): each tick serialized as one JSON message of the 12 fields."""
+    from volspark.schemas import TICK_FIELDS
+    return full_ticks(ticks_df).select("seq", F.to_json(F.struct(*TICK_FIELDS)).alias("value"))
 
 
 def quote_envelopes(events: DataFrame) -> DataFrame:
@@ -59,18 +66,29 @@ def quote_envelopes(events: DataFrame) -> DataFrame:
 
     symbol = 'S' || user_id, currency USD, PRICE = value, the other fields
     value + i (i = 1..9); event_id % 7 = 0 leaves the other fields out and
-    event_id % 50 = 0 is an error envelope.
+    event_id % 50 = 0 is an error envelope. event_id % 11 = 3 sends all numbers
+    as text, 4 junk text in OPEN24HOUR, 5 an explicit null in HIGH24HOUR.
     """
     from volspark.schemas import QUOTE_TO_TICK
     t = F.unix_timestamp(F.col("ts")).cast("long")
     v = F.col("value")
-    full = F.struct(*[(v if i == 0 else v + F.lit(float(i))).alias(q)
-                      for i, (q, _) in enumerate(QUOTE_TO_TICK)])
-    short = F.struct(v.alias("PRICE"))
+    kind = F.col("event_id") % 11
+
+    def field(i: int, q: str):
+        x = v if i == 0 else v + F.lit(float(i))
+        text = F.concat(F.lit('"'), x.cast("string"), F.lit('"'))
+        value = F.when(kind == 3, text).otherwise(x.cast("string"))
+        if q == "OPEN24HOUR":
+            value = F.when(kind == 4, F.lit('"n/a"')).otherwise(value)
+        if q == "HIGH24HOUR":
+            value = F.when(kind == 5, F.lit("null")).otherwise(value)
+        return F.concat(F.lit(f'"{q}":'), value)
+
+    fields = [field(i, q) for i, (q, _) in enumerate(QUOTE_TO_TICK)]
+    full, short = F.concat_ws(",", *fields), fields[0]
     sym = F.concat(F.lit("S"), F.col("user_id").cast("string"))
-    raw_full = F.to_json(F.create_map(sym, F.create_map(F.lit(QUOTE_CURRENCY), full)))
-    raw_short = F.to_json(F.create_map(sym, F.create_map(F.lit(QUOTE_CURRENCY), short)))
-    raw = F.when(F.col("event_id") % 7 == 0, raw_short).otherwise(raw_full)
+    inner = F.when(F.col("event_id") % 7 == 0, short).otherwise(full)
+    raw = F.concat(F.lit('{"'), sym, F.lit('":{"' + QUOTE_CURRENCY + '":{'), inner, F.lit("}}}"))
     ok_body = F.concat(F.lit('{"RAW":'), raw, F.lit("}"))
     err_body = F.lit('{"Response":"Error","Message":"rate limit exceeded"}')
     body = F.when(F.col("event_id") % 50 == 0, err_body).otherwise(ok_body)
@@ -103,8 +121,11 @@ def candle_responses(ticks_df: DataFrame, seconds: int = 3600,
 
 
 def quality_input(ticks_df: DataFrame) -> DataFrame:
-    """Ticks with dirty prices: seq % 11 = 0 -> 0, 1 -> -price, 2 -> NULL."""
-    m = F.col("seq") % 11
-    p = (F.when(m == 0, F.lit(0.0)).when(m == 1, -F.col("price"))
-          .when(m == 2, F.lit(None).cast("double")).otherwise(F.col("price")))
-    return ticks_df.withColumn("price", p)
+    """Dirty ticks by seq % 11: price 0 (0), negative (1), NULL (2), NaN (4), infinite (5);
+    timestamp in milliseconds (3), NULL (6); volume24h -1 (7), NaN (8), else the price."""
+    m, price = F.col("seq") % 11, F.col("price")
+    p = (F.when(m == 0, F.lit(0.0)).when(m == 1, -price).when(m == 2, F.lit(None).cast("double"))
+          .when(m == 4, F.lit(float("nan"))).when(m == 5, F.lit(float("inf"))).otherwise(price))
+    t = F.when(m == 3, F.col("timestamp") * 1000).when(m != 6, F.col("timestamp"))
+    volume = F.when(m == 7, F.lit(-1.0)).when(m == 8, F.lit(float("nan"))).otherwise(price)
+    return ticks_df.withColumns({"price": p, "timestamp": t, "volume24h": volume})

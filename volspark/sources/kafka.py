@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 
 def source_options(bootstrap: str, topic: str, *, starting_offsets: str = "latest",
-                   fail_on_data_loss: bool = False, max_offsets_per_trigger: int | None = None
+                   fail_on_data_loss: bool = True, max_offsets_per_trigger: int | None = None
                    ) -> dict[str, str]:
     opts = {
         "kafka.bootstrap.servers": bootstrap,
