@@ -108,8 +108,38 @@ def test_volume_audit(spark):
 
 def test_kafka_options_and_value(spark):
     o = kafka.source_options("b:9092", "t")
-    assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
+    assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "true"
     s = kafka.sink_options("b:9092", "t")
     assert s["kafka.acks"] == "all" and s["kafka.compression.type"] == "gzip"
     v = kafka.to_kafka_value(spark.createDataFrame([(1, 2.0)], "timestamp long, price double"))
     assert v.first().value == '{"timestamp":1,"price":2.0}'
+
+
+def test_quote_numbers_as_text_and_null(spark):
+    body = json.dumps({"RAW": {"BTC": {"USD": {"PRICE": "123.5", "OPEN24HOUR": "n/a", "SUPPLY": None, "MKTCAP": 7}}}})
+    df = spark.createDataFrame([(1, 5, body)], "seq long, timestamp long, body string")
+    r = C.flatten_quotes(df).first()
+    assert (r.price, r.open24h, r.supply, r.market_cap) == (123.5, 0.0, 0.0, 7.0)
+
+
+def test_history_files_follow_the_dates(spark):
+    df = spark.range(10_000).selectExpr("id", "date_add(date'2024-01-01', cast(id % 30 as int)) as date").repartition(16)
+    path = scratch_path(spark, "hfiles")
+    sinks.write_history(df, path)
+    n = spark.read.parquet(path).inputFiles()
+    assert 30 <= len(n) <= 60
+
+
+def test_latest_dates_only_are_read(spark):
+    df = spark.range(300).selectExpr("id", "date_add(date'2024-01-01', cast(id div 10 as int)) as date")
+    path = scratch_path(spark, "newest")
+    sinks.write_history(df, path)
+    found = files.read_latest(spark, path, 35)
+    assert found.count() == 40 and "PartitionFilters: [isnotnull(date" in found._jdf.queryExecution().executedPlan().toString()
+    assert files.read_latest(spark, path, 10_000).count() == 300
+
+
+def test_malformed_datetime_is_not_available(spark):
+    from volspark.functions.columns import display_time
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("soon",), (None,)], "t string")
+    assert [r.x for r in df.select(display_time("t").alias("x")).collect()] == ["2024-01-02 03:04:05", "N/A", "N/A"]

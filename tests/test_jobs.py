@@ -18,7 +18,8 @@ def test_batch_analysis_job(spark):
     assert spark.read.parquet(out["hourly_pattern"]).count() == 24
     n = spark.read.parquet(out["volatility_spikes"]).count()
     assert 0 < n <= 10          # strictly above the 99th percentile of 1000 rows
-    assert not spark.sparkContext._jsc.getPersistentRDDs().values()   # released
+    summary = spark.read.parquet(out["summary"]).first()
+    assert summary.total_records == 1000 and summary.spike_count == n and 0 <= summary.peak_hour <= 23
 
 
 def test_stream_pipeline_processing_time_trigger(spark):
@@ -42,3 +43,20 @@ def test_stream_pipeline_processing_time_trigger(spark):
     b = {r.seq: r.volatility_24h for r in want.collect()}
     assert all(abs(a[k] - b[k]) < 1e-9 for k in b)
     assert q.lastProgress["observedMetrics"]["batch_rows"]["rows"] >= 0
+
+
+def test_stream_pipeline_with_series_keys(spark):
+    import os
+    from volspark.plans.jobs import stream_pipeline
+    root = scratch_path(spark, "keyed")
+    t = ticks(spark, SF).selectExpr("timestamp", "datetime", "price", "seq", "concat('S', symbol) as symbol")
+    t.write.json(os.path.join(root, "in"))
+    q = stream_pipeline(spark, os.path.join(root, "out"), os.path.join(root, "ckpt"),
+                        json_dir=os.path.join(root, "in"), trigger_seconds=1, keys={"symbol": "string"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    a = {r.seq: r.volatility_24h for r in spark.read.parquet(os.path.join(root, "out", "metrics")).collect()}
+    b = {r.seq: r.volatility_24h for r in tick_metrics(t, ("symbol",)).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in b)

@@ -1,8 +1,8 @@
 """Batch analyses over tick metrics.
 
 All functions are pure: DataFrame in, DataFrame out. Writing is separate
-(``volspark.sinks``). None of them sorts the full result: a result set is the
-contract; ordering is applied only where it is the feature (top-k, head).
+(``volspark.sinks``). A result set is the contract; ordering is applied where it
+is the feature (top-k, head) and elsewhere on request (``ordered=True``).
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ def require_columns(df: DataFrame, required) -> DataFrame:
     return df
 
 
-def daily_stats(df: DataFrame) -> DataFrame:
-    """A1: per date price range, 24h-volatility stats, volume, count."""
-    return df.groupBy("date").agg(
+def daily_stats(df: DataFrame, ordered: bool = False) -> DataFrame:
+    """A1: per date price range, 24h-volatility stats, volume, count; ``ordered`` by date."""
+    out = df.groupBy("date").agg(
         F.avg("price").alias("avg_price"),
         F.max("price").alias("max_price"),
         F.min("price").alias("min_price"),
@@ -36,6 +36,7 @@ def daily_stats(df: DataFrame) -> DataFrame:
         F.sum("volume24h").alias("total_volume"),
         F.count(F.lit(1)).alias("record_count"),
     )
+    return out.orderBy("date") if ordered else out
 
 
 def daily_stats_head(df: DataFrame, n: int = 10) -> DataFrame:
@@ -43,13 +44,14 @@ def daily_stats_head(df: DataFrame, n: int = 10) -> DataFrame:
     return daily_stats(df).orderBy("date").limit(n)
 
 
-def hourly_pattern(df: DataFrame, time_col: str = "event_time") -> DataFrame:
-    """A2: average 1h/24h volatility and count per UTC hour of day."""
-    return (df.withColumn("hour_of_day", hour_of_day(time_col))
+def hourly_pattern(df: DataFrame, time_col: str = "event_time", ordered: bool = False) -> DataFrame:
+    """A2: average 1h/24h volatility and count per UTC hour of day; ``ordered`` by hour."""
+    out = (df.withColumn("hour_of_day", hour_of_day(time_col))
               .groupBy("hour_of_day")
               .agg(F.avg("volatility_1h").alias("avg_vol_1h"),
                    F.avg("volatility_24h").alias("avg_vol_24h"),
                    F.count(F.lit(1)).alias("record_count")))
+    return out.orderBy("hour_of_day") if ordered else out
 
 
 def peak_hour(df: DataFrame, time_col: str = "event_time") -> DataFrame:
@@ -73,14 +75,17 @@ def spike_threshold(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool =
     return quantile_approx(df, "volatility_24h", q, relative_error)
 
 
-def volatility_spikes(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool = True) -> DataFrame:
-    """Rows with volatility_24h strictly above the quantile (nulls out).
+def volatility_spikes(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool = True,
+                      ordered: bool = False) -> DataFrame:
+    """Rows with volatility_24h strictly above the quantile (nulls out);
+    ``ordered`` by volatility, largest first.
 
     The threshold is a scalar subquery: no join, no driver round trip. Empty
     or all-null input gives an empty result (the threshold is NULL).
     """
     thr = threshold(spike_threshold(df, q, exact=exact))
-    return df.filter(F.col("volatility_24h") > thr).select(*SPIKE_COLUMNS)
+    out = df.filter(F.col("volatility_24h") > thr).select(*SPIKE_COLUMNS)
+    return out.orderBy(F.desc("volatility_24h"), F.desc("datetime")) if ordered else out
 
 
 def top_spikes(df: DataFrame, n: int = TOP_SPIKES, **kw) -> DataFrame:

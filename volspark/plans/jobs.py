@@ -1,6 +1,6 @@
-"""End-to-end jobs: the batch analysis and the streaming pipeline.
+"""End-to-end jobs: batch analysis, candle backfill, quote snapshots, the streaming pipeline.
 
-Both take the caller's session; neither sets a master or memory (those belong
+All take the caller's session; none sets a master or memory (those belong
 to the launcher).
 """
 
@@ -8,54 +8,111 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from volspark import sinks
 from volspark.operators import analysis as A
-from volspark.schemas import ANALYSIS_REQUIRED
+from volspark.operators.clean import (
+    flatten_quotes, good, normalize_candles, parse_candle_responses, parse_ticks, quality_check,
+    quarantined,
+)
+from volspark.operators.metrics import candle_metrics
+from volspark.schemas import ANALYSIS_REQUIRED, HISTORY_MIN_GB, stream_tick_schema
 from volspark.session import ensure_conf
-from volspark.sources.files import read_history, stream_json_ticks
-from volspark.sources.kafka import read_ticks_stream
-from volspark.operators.clean import parse_ticks
+from volspark.sources.files import (
+    CORRUPT, read_candle_responses, read_history, read_quotes, storage_volume, stream_json_ticks,
+)
+from volspark.sources.kafka import read_ticks_stream, to_kafka_value, write_ticks
 from volspark.streaming.stream import RollingMetricsSink, start
 
 
 def batch_analysis(spark: SparkSession, history_path: str, out_dir: str, *,
-                   exact_threshold: bool = True, date_from=None, date_to=None) -> dict:
-    """Daily statistics, hour-of-day pattern and spikes over the history.
+                   exact_threshold: bool = True, ordered: bool = False,
+                   date_from=None, date_to=None) -> dict:
+    """Daily statistics, hour-of-day pattern, peak hour, spikes and summary of the history.
 
-    The column-pruned history is persisted once (memory and disk) for the
-    three analyses and released at the end. Results are overwritten as a
-    whole; returns the output paths.
+    Every analysis scans its own columns of the history (only the spike columns
+    are needed twice). The summary row has record, day and spike counts, the
+    threshold and the peak hour. Results are overwritten as a whole; returns
+    the output paths.
     """
     ensure_conf(spark)
     hist = read_history(spark, history_path, date_from, date_to)
     A.require_columns(hist, ANALYSIS_REQUIRED)
-    hist = hist.select(*ANALYSIS_REQUIRED).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = {name: os.path.join(out_dir, name)
-               for name in ("daily_stats", "hourly_pattern", "volatility_spikes")}
-        sinks.write_result(A.daily_stats(hist), out["daily_stats"])
-        sinks.write_result(A.hourly_pattern(hist), out["hourly_pattern"])
-        sinks.write_result(A.volatility_spikes(hist, exact=exact_threshold),
-                           out["volatility_spikes"])
-        return out
-    finally:
-        hist.unpersist()
+    out = {name: os.path.join(out_dir, name) for name in
+           ("daily_stats", "hourly_pattern", "peak_hour", "volatility_spikes", "summary")}
+    sinks.write_result(A.daily_stats(hist, ordered), out["daily_stats"])
+    sinks.write_result(A.hourly_pattern(hist, ordered=ordered), out["hourly_pattern"])
+    sinks.write_result(A.peak_hour(hist), out["peak_hour"])
+    sinks.write_result(A.volatility_spikes(hist, exact=exact_threshold, ordered=ordered),
+                       out["volatility_spikes"])
+    peak = spark.read.parquet(out["peak_hour"])
+    summary = A.analysis_summary(hist, exact=exact_threshold).select(
+        "*", A.spike_threshold(hist, exact=exact_threshold).select("quantile").scalar().alias("threshold"),
+        peak.select("hour_of_day").scalar().alias("peak_hour"))
+    sinks.write_result(summary, out["summary"])
+    return out
+
+
+def candle_backfill(spark: SparkSession, landed_path: str, out_dir: str, *,
+                    min_gb: float = HISTORY_MIN_GB) -> dict:
+    """Landed candle responses -> normalized candles and their metrics -> volume audit.
+
+    Returns the paths of ``candles`` and ``metrics`` (both partitioned by symbol
+    and interval) and of the one-row ``audit``.
+    """
+    ensure_conf(spark)
+    out = {name: os.path.join(out_dir, name) for name in ("candles", "metrics", "audit")}
+    landed = parse_candle_responses(read_candle_responses(spark, landed_path))
+    sinks.write_candles(normalize_candles(landed), out["candles"])
+    candles = spark.read.parquet(out["candles"])
+    sinks.write_candles(candle_metrics(candles), out["metrics"])
+    sinks.write_result(storage_volume(spark, out["candles"], min_gb), out["audit"])
+    return out
+
+
+def quote_snapshots(spark: SparkSession, quotes_path: str, out_dir: str, *,
+                    kafka_bootstrap: str | None = None, topic: str | None = None) -> dict:
+    """Landed quote polls -> ticks -> quality check -> tick sink (Kafka, else JSON lines).
+
+    Rejected ticks go to ``quarantine``. Returns the output paths.
+    """
+    ensure_conf(spark)
+    out = {name: os.path.join(out_dir, name) for name in ("ticks", "quarantine")}
+    checked = quality_check(flatten_quotes(read_quotes(spark, quotes_path), keep=("seq",)))
+    accepted = good(checked)
+    if kafka_bootstrap:
+        write_ticks(accepted, kafka_bootstrap, topic)
+    else:
+        to_kafka_value(accepted).write.mode("overwrite").text(out["ticks"])
+    quarantined(checked).write.mode("overwrite").parquet(out["quarantine"])
+    return out
+
+
+def register_views(spark: SparkSession, **frames: DataFrame) -> None:
+    """Name tables for ad-hoc SQL, e.g. ``ticks=``, ``metrics=`` and ``candles=``."""
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
 
 
 def stream_pipeline(spark: SparkSession, base: str, checkpoint: str, *,
                     kafka_bootstrap: str | None = None, topic: str | None = None,
-                    json_dir: str | None = None, trigger_seconds: int = 30, keys=()):
+                    json_dir: str | None = None, trigger_seconds: int = 30,
+                    keys: dict[str, str] | None = None):
     """Ticks (Kafka or a JSON directory) -> rolling metrics -> history +
-    dashboard sinks, one query, one trigger, one checkpoint."""
+    dashboard sinks, one query, one trigger, one checkpoint.
+
+    ``keys``: the fields that name a series, with their types, e.g.
+    ``{"symbol": "string"}``; they are read from each message. Rejected
+    messages keep their text in the quarantine.
+    """
     ensure_conf(spark)
+    schema = stream_tick_schema(keys)
     if kafka_bootstrap:
-        raw = read_ticks_stream(spark, kafka_bootstrap, topic)
-        ticks = parse_ticks(raw, keep=("seq",))
+        raw = read_ticks_stream(spark, kafka_bootstrap, topic).withColumnRenamed("value", CORRUPT)
+        fields = schema[[f for f in schema.fieldNames() if f != "seq"]]
+        ticks = parse_ticks(raw, CORRUPT, keep=("seq", CORRUPT), schema=fields)
     else:
-        from volspark.schemas import STREAM_TICK_SCHEMA
-        ticks = stream_json_ticks(spark, json_dir, STREAM_TICK_SCHEMA)
-    return start(ticks, RollingMetricsSink(base, keys=tuple(keys)), checkpoint,
+        ticks = stream_json_ticks(spark, json_dir, schema)
+    return start(ticks, RollingMetricsSink(base, keys=tuple(keys or ())), checkpoint,
                  trigger_seconds=trigger_seconds)

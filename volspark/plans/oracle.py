@@ -252,6 +252,14 @@ SELECT 'bulk', "timestamp", strftime(datetime, '%Y-%m-%dT%H:%M:%SZ'), CAST(date
         f"WITH {TICKS},\n{parts},\n{metrics_cte(src='b', part='PARTITION BY ingest_batch ')}\n"
         + METRIC_SELECT.replace("SELECT seq,", "SELECT CAST(ingest_batch AS BIGINT) AS ingest_batch, seq,")
         + " FROM m")
+    q["batch_job_summary"] = with_metrics(
+        f"SELECT count(*) AS total_records, count(DISTINCT date) AS total_days, "
+        f"count(*) FILTER (WHERE volatility_24h > {THRESHOLD}) AS spike_count, "
+        f"{R6(THRESHOLD)} AS threshold, (SELECT hour_of_day FROM m GROUP BY hour_of_day "
+        f"ORDER BY avg(volatility_1h) DESC, hour_of_day LIMIT 1) AS peak_hour FROM m")
+    q["backfill_job"] = q["candle_metrics"]
+    q["quote_job"] = f"""WITH {QUOTES}
+SELECT seq, "timestamp", datetime, symbol, price, open24h, supply FROM q WHERE price > 0"""
     q["spike_threshold_approx"] = "SELECT true AS rank_within_error"
     q["volume_audit"] = ("SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes, "
                          "true AS shortfall_agrees FROM events")

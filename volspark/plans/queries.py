@@ -18,11 +18,12 @@ from volspark import sinks
 from volspark.operators import analysis as A
 from volspark.operators import clean as C
 from volspark.operators import series as S
+from volspark.plans import jobs
 from volspark.plans import streams as ST
 from volspark.operators.metrics import STANDIN_24H, candle_metrics, tick_metrics
 from volspark.schemas import (
-    ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, QUOTE_SCHEMA,
-    SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR,
+    ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, LATEST_N,
+    QUOTE_SCHEMA, SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, stream_tick_schema,
 )
 from volspark.session import ensure_conf, keep, scratch_path
 from volspark.sources import files
@@ -100,11 +101,12 @@ def registry() -> dict[str, QueryFn]:
     q["event_time_enrich"] = lambda s, d: ticks(s, d).select("seq", "timestamp", "event_time", "date")
     q["dashboard_projection"] = lambda s, d: report(_dashboard(metrics(s, d)))
     q["latest_n"] = lambda s, d: S.latest_n(ticks(s, d)).select("seq", "timestamp", "price")
-    q["latest_kpis"] = lambda s, d: S.latest_kpis(metrics(s, d))
-    q["chart_price"] = lambda s, d: report(S.chart_price(metrics(s, d)))
-    q["chart_volatility"] = lambda s, d: report(S.chart_volatility(metrics(s, d)))
-    q["chart_volume"] = lambda s, d: report(S.chart_volume(metrics(s, d)))
-    q["series_availability"] = lambda s, d: S.series_availability(S.latest_n(metrics(s, d)))
+    # the dashboard reads the newest dates of the stored metrics
+    q["latest_kpis"] = lambda s, d: S.latest_kpis(_stored_latest(s, d, 1))
+    q["chart_price"] = lambda s, d: report(S.chart_price(_stored_latest(s, d)))
+    q["chart_volatility"] = lambda s, d: report(S.chart_volatility(_stored_latest(s, d)))
+    q["chart_volume"] = lambda s, d: report(S.chart_volume(_stored_latest(s, d)))
+    q["series_availability"] = lambda s, d: S.series_availability(S.latest_n(_stored_latest(s, d)))
     q["candle_minute"] = lambda s, d: report(A.candles(ticks(s, d), 60))
     q["candle_hour"] = lambda s, d: report(A.candles(ticks(s, d), 3600))
     q["sql_avg_price_by_date"] = _sql_avg_price_by_date
@@ -140,6 +142,10 @@ def registry() -> dict[str, QueryFn]:
     q["analysis_roundtrip"] = _analysis_roundtrip
     q["candle_write_read"] = _candle_write_read
     q["volume_audit"] = _volume_audit
+    # --- jobs
+    q["batch_job_summary"] = _batch_job_summary
+    q["backfill_job"] = _backfill_job
+    q["quote_job"] = _quote_job
     # --- streaming
     q["stream_tick_metrics"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d))
     q["stream_restart"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d, restart=True))
@@ -235,10 +241,48 @@ def _dashboard(m: DataFrame) -> DataFrame:
     return m.select(*DASHBOARD_COLUMNS)
 
 
+def _stored_latest(spark, sf_dir, n: int = LATEST_N):
+    """The newest stored dates that hold ``n`` rows."""
+    path = scratch_path(spark, "history")
+    sinks.write_history(metrics(spark, sf_dir), path)
+    return files.read_latest(spark, path, n)
+
+
+def _batch_job_summary(spark, sf_dir):
+    """The batch job over a stored history: its summary row."""
+    history = scratch_path(spark, "history")
+    sinks.write_history(metrics(spark, sf_dir), history)
+    out = jobs.batch_analysis(spark, history, scratch_path(spark, "analysis"))
+    return report(spark.read.parquet(out["summary"]))
+
+
+def _backfill_job(spark, sf_dir):
+    """Landed candle responses through the backfill job: the stored candle metrics."""
+    ensure_conf(spark)
+    landed = scratch_path(spark, "landed")
+    (FX.candle_responses(ticks(spark, sf_dir)).hint("rebalance", F.col("symbol"))
+       .write.partitionBy("symbol", "interval").text(landed))
+    out = jobs.candle_backfill(spark, landed, scratch_path(spark, "backfill"))
+    return report(spark.read.parquet(out["metrics"]).select(
+        "symbol", "interval", "timestamp", "price", "log_return", "price_change_pct",
+        "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h"))
+
+
+def _quote_job(spark, sf_dir):
+    """Landed quote polls through the snapshot job: the tick messages, parsed."""
+    landed = scratch_path(spark, "quotes")
+    FX.quote_envelopes(FX.read_table(spark, sf_dir, "events")).write.json(landed)
+    out = jobs.quote_snapshots(spark, landed, scratch_path(spark, "snapshots"))
+    back = spark.read.text(out["ticks"])
+    return C.parse_ticks(back, schema=stream_tick_schema({"symbol": "string"})).select(
+        "seq", "timestamp", "datetime", "symbol", "price", "open24h", "supply")
+
+
 def _sql_avg_price_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ad-hoc SQL surface over a temp view."""
+    """Ad-hoc SQL over the named tables."""
     ensure_conf(spark)
-    ticks(spark, sf_dir).createOrReplaceTempView("vs_ticks")
+    jobs.register_views(spark, ticks=ticks(spark, sf_dir), metrics=metrics(spark, sf_dir),
+                        candles=_candles(spark, sf_dir))
     return spark.sql(
         "SELECT date, round(avg(price) + 1e-9, 6) + 0.0 AS avg_price, count(*) AS n "
-        "FROM vs_ticks GROUP BY date")
+        "FROM metrics GROUP BY date")

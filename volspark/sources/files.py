@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,28 @@ def read_history(spark: SparkSession, path: str, date_from=None, date_to=None) -
     return df
 
 
+def stored_dates(spark: SparkSession, path: str) -> list[datetime.date]:
+    """The ``date=`` partitions of a history, newest first (folder names only, no file is read)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    return sorted((datetime.date.fromisoformat(n[5:]) for n in names if n.startswith("date=")), reverse=True)
+
+
+def read_latest(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The newest date partitions of a history that hold at least ``n`` rows (all when it has fewer).
+
+    Widens from the newest date, doubling the number of dates; only the dates
+    returned are read by the caller, whatever the length of the history.
+    """
+    dates, take = stored_dates(spark, path), 1
+    while True:
+        found = read_history(spark, path, dates[:take][-1] if dates else None)
+        if take >= len(dates) or found.count() >= n:
+            return found
+        take *= 2
+
+
 def read_candle_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed candle responses, one JSON document per line, under
     ``symbol=<s>/interval=<i>/`` directories -> (symbol, interval, body)."""
