@@ -35,6 +35,10 @@ def same_as_sql(spark, name, *tables):
     assert Counter(map(tuple, got.collect())) == Counter(want)
 
 
+def test_op3_equals_sql(spark):
+    same_as_sql(spark, "op3_embeddings", "embeddings")
+
+
 # language ID
 
 def greedy_phrases(text, sample):

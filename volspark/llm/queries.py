@@ -45,6 +45,21 @@ def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+OP3_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len([x FOR x IN embedding IF x <> 0]) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label
+      WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r(id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.other),
+c AS (SELECT id, min(other) AS component_id FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents packed into sequences of 2048 tokens, one row per piece."""
     placed = packing.pack(_table(spark, sf_dir, "documents"), tokenizer or packing.vocabulary())
@@ -181,4 +196,4 @@ def registry():
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op6_warc": OP6_SQL, "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL}
+    return {"op3_embeddings": OP3_SQL, "op6_warc": OP6_SQL, "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL}
