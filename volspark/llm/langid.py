@@ -183,21 +183,25 @@ class Model:
 def training_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      lang_col: str = "lang", sample_chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """Per language at most ``sample_chars`` characters of labelled text, in normal form."""
-    rows = (docs.where(trainable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    share = sample_chars // 10          # of one document, so that a long text is not the whole sample
+    rows = (docs.where(trainable(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
             .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
-                    # a share of each document, so that one long text is not the whole sample
-                    F.substring(text_col, 1, sample_chars // 10).alias("text"))
-            .where(F.col("text").rlike(r"\p{L}"))
+                    F.least(F.length(text_col), F.lit(share)).alias("n"))
             .withColumn("h", F.xxhash64("id")))
-    # per language and task first, then per language: no window holds a language
+    # ids first: per language and salt (ranked within each task before the shuffle), then per language
     rows = (rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(64)))
-            .withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h", "text")))
+            .withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h", "id")))
             .where("k <= 64")
-            .withColumn("upto", F.sum(F.length("text")).over(
-                Window.partitionBy("lang").orderBy("h", "k", "text").rowsBetween(Window.unboundedPreceding, -1)))
-            .where(F.coalesce("upto", F.lit(0)) < sample_chars))
+            .withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("h", "id", "k")
+                                                  .rowsBetween(Window.unboundedPreceding, -1)))
+            .where(F.coalesce("before", F.lit(0)) < sample_chars))
+    chosen = rows.select("id", "lang", "h").distinct()                  # at most 4,096 rows per language
+    texts = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"),
+                        F.substring(text_col, 1, share).alias("text"))
+    found = (texts.join(F.broadcast(chosen), ["id", "lang"]).groupBy("lang", "h", "id")
+             .agg(F.min("text").alias("text")).select("lang", "h", "id", "text").collect())
     samples: dict[str, list[str]] = {}
-    for row in rows.orderBy("lang", "h", "text").select("lang", "text").collect():
+    for row in sorted(found, key=lambda r: (r.lang, r.h, r.id)):
         samples.setdefault(row.lang, []).append(normal_form(row.text))
     return {k: " ".join(v)[:sample_chars] for k, v in samples.items()}
 
