@@ -39,6 +39,10 @@ def test_op3_equals_sql(spark):
     same_as_sql(spark, "op3_embeddings", "embeddings")
 
 
+def test_op7_equals_sql(spark):
+    same_as_sql(spark, "op7_secrets", "documents")
+
+
 # language ID
 
 def greedy_phrases(text, sample):

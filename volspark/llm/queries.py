@@ -103,6 +103,68 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
 
+def _op7_sql() -> str:
+    """The base patterns by split positions, and the Markov models over the whole table."""
+    def sql(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def parts(text: str, pattern: str) -> str:
+        return f"string_split(regexp_replace({text}, {sql(pattern)}, chr(1) || '\\0' || chr(1), 'g'), chr(1))"
+
+    assigned = f"length(regexp_extract(x, {sql(secrets.ASSIGN)}, 2)) >= {secrets.MIN_ASSIGNED}"
+    kinds = (("assign", secrets.ASSIGN, assigned), ("access", secrets.ACCESS_LONG, "true"),
+             ("hex", secrets.HEX_LONG, "true"))
+    matches = " UNION ALL ".join(f"SELECT doc_id, {k} AS rank, {parts('t', pattern)} AS parts FROM t"
+                                 for k, (_, pattern, _) in enumerate(kinds))
+    masked, last = [], "t"
+    for name, pattern, ok in kinds:
+        masked.append(f"""m_{name} AS (SELECT doc_id, array_to_string([CASE WHEN i % 2 = 0 AND {ok}
+            THEN repeat(' ', length(x)) ELSE x END FOR x, i IN {parts('t', pattern)}], '') AS t FROM {last})""")
+        last = f"m_{name}"
+    token = f"[A-Za-z0-9+/_=-]{{{secrets.MIN_TOKEN},}}"
+    start = "coalesce(list_sum([length(x) FOR x IN parts[1:i - 1]]), 0)"
+    return f"""
+WITH t AS (SELECT doc_id, replace(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+{", ".join(masked)},
+found AS (SELECT doc_id, rank, {start} AS start, parts[i] AS x
+    FROM (SELECT doc_id, rank, parts, unnest(range(2, len(parts) + 1, 2)) AS i FROM ({matches}))),
+base AS (SELECT doc_id, rank, start, start + length(x) AS stop FROM found WHERE rank > 0 OR {assigned}),
+sample AS (
+    SELECT 1 AS random, unnest([x FOR x IN regexp_extract_all(t, {sql(secrets.ASSIGN)}, 2)
+        IF length(x) >= {secrets.MIN_ASSIGNED}]) AS x FROM t
+    UNION ALL SELECT 1, unnest(regexp_extract_all(t, {sql(secrets.ACCESS_LONG)})) FROM t
+    UNION ALL SELECT 1, unnest(regexp_extract_all(t, {sql(secrets.HEX_LONG)})) FROM t
+    UNION ALL SELECT 0, unnest([x FOR x IN regexp_extract_all(t, '[A-Za-z0-9+/_=-]{{{secrets.MIN_ORDINARY},}}')
+        IF regexp_matches(x, {sql(secrets.IDENTIFIER)})]) FROM {last}),
+step AS (SELECT random, ascii(x[i]) AS a, ascii(x[i + 1]) AS b
+    FROM (SELECT random, x, unnest(range(1, length(x))) AS i FROM sample)),
+n AS (SELECT random, a, b, count(*) AS n FROM step GROUP BY ALL),
+s AS (SELECT random, a, sum(n) AS n FROM n GROUP BY ALL),
+g AS (SELECT a, b FROM range(128) x(a), range(128) y(b)),
+ratio AS (SELECT g.a, g.b, {" - ".join(
+    f"ln((coalesce(n{k}.n, 0) + {secrets.SMOOTHING}) / (coalesce(s{k}.n, 0) + {secrets.SMOOTHING * secrets.CODES}))"
+    for k in (1, 0))} AS r FROM g
+    {" ".join(f"LEFT JOIN n n{k} ON n{k}.random = {k} AND n{k}.a = g.a AND n{k}.b = g.b "
+              f"LEFT JOIN s s{k} ON s{k}.random = {k} AND s{k}.a = g.a" for k in (0, 1))}
+    WHERE (SELECT count(DISTINCT random) FROM step) = 2),
+long AS (SELECT doc_id, {start} AS start, parts[i] AS x
+    FROM (SELECT doc_id, parts, unnest(range(2, len(parts) + 1, 2)) AS i
+          FROM (SELECT doc_id, {parts('t', token)} AS parts FROM {last}))),
+added AS (SELECT doc_id, 3 AS rank, start, start + length(x) AS stop
+    FROM (SELECT doc_id, start, x, unnest(range(1, length(x))) AS i FROM long)
+    JOIN ratio ON a = ascii(x[i]) AND b = ascii(x[i + 1])
+    GROUP BY doc_id, start, x HAVING sum(r) / (length(x) - 1) >= {secrets.MIN_RATIO}),
+spans AS (SELECT *, ['assign', 'access', 'hex', 'markov'][rank + 1] || ':' || start || ':' || stop AS span
+    FROM (FROM base UNION ALL FROM added)),
+out AS (SELECT doc_id, {", ".join(f"count(*) FILTER (rank = {k}) AS n_{name}" for k, (name, _, _) in enumerate(kinds))},
+    string_agg(span, ',' ORDER BY start, rank, stop) FILTER (rank < 3) AS base,
+    string_agg(span, ',' ORDER BY start, rank, stop) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"CAST(coalesce(n_{name}, 0) AS BIGINT) AS n_{name}" for name, _, _ in kinds)},
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN out USING (doc_id)
+"""
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside an occurrence of a benchmark window of 10 words."""
     found = decontam.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -196,4 +258,5 @@ def registry():
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op3_embeddings": OP3_SQL, "op6_warc": OP6_SQL, "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL}
+    return {"op3_embeddings": OP3_SQL, "op6_warc": OP6_SQL, "op7_secrets": _op7_sql(),
+            "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL}
