@@ -41,7 +41,7 @@ from volspark.session import keep
 CENTROIDS = 16
 SAMPLE = 8192
 TARGET_RECALL = 0.999
-BLOCK = 2000
+BLOCK = 500
 
 
 def _encoded(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
@@ -250,8 +250,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     index = filed.withColumn("cell", F.col("home"))
     visitors = filed.withColumn("cell", F.explode("visits"))
     # blocks of each cell's members and visitors; every pair of blocks meets once
-    sizes = (index.groupBy(cell).agg(F.ceil(F.count("*") / block).alias("ib"))
-             .join(visitors.groupBy(cell).agg(F.ceil(F.count("*") / block).alias("vb")), cell))
+    sizes = keep(index.groupBy(cell).agg(F.ceil(F.count("*") / block).alias("ib"))
+                 .join(visitors.groupBy(cell).agg(F.ceil(F.count("*") / block).alias("vb")), cell), "cell-sizes")
     spread = F.xxhash64("id")
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -270,10 +270,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     groups = components(found, "id", "other")
-    per_class = (members.join(links, members.rep == links.id, "left").drop("id")
-                 .join(groups, members.rep == groups.id, "left")
-                 .select("label", "key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                         F.coalesce("component", "rep").alias("component_id")))
+    per_class = keep(members.join(links, members.rep == links.id, "left").drop("id")
+                     .join(groups, members.rep == groups.id, "left")
+                     .select("label", "key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                             F.coalesce("component", "rep").alias("component_id")), "vector-groups")
     return (rows.join(per_class, ["label", "key"], "left")
             .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component_id", "id").alias("component_id"))
