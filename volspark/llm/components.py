@@ -3,9 +3,10 @@
 Each round rewires every vertex to the smallest vertex it can see (large star
 on the larger neighbours, small star on the smaller ones), so long chains
 shrink in logarithmically many rounds. A round is two aggregations and two
-joins; its edges are written to shared storage, so lost executors cost one
-round at most. Edges, vertices and labels never reach the driver, only two
-numbers per round do.
+joins between tables on shared storage: lost executors cost one step at most,
+and the join of a vertex with very many edges is one that Spark can split (its
+inputs are plain scans). Edges, vertices and labels never reach the driver,
+only two numbers per round do.
 """
 
 from __future__ import annotations
@@ -59,11 +60,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for _ in range(MAX_ROUNDS):
         # large star: neighbours above u go to the least vertex around u
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        least = keep(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = keep(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                     .where("u <> v").distinct(), "large-star")
         # small star: u and its neighbours below go to the least of them (edges point down)
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").select(F.explode(F.array(
             F.struct(F.col("u").alias("a"), F.col("m").alias("b")),
             F.struct(F.col("v").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")

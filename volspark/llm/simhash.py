@@ -215,6 +215,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ends = classes.withColumnRenamed("fp", "a").withColumnRenamed("rep", "ra")
     others = classes.withColumnRenamed("fp", "b").withColumnRenamed("rep", "rb")
     groups = components(pairs.join(ends, "a").join(others, "b"), "ra", "rb")
-    found = classes.join(groups, classes.rep == groups.id, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id"))
+    found = keep(classes.join(groups, classes.rep == groups.id, "left").select(
+        "fp", F.coalesce("component", "rep").alias("component_id")), "fingerprint-groups")
+    # plain scans on both sides: Spark splits the rows of a fingerprint that very many share
     return fps.join(found, "fp").select("id", "fp", "component_id")
