@@ -106,8 +106,9 @@ def originals(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     payload = F.coalesce(F.col(html_col), F.lit(""))
     found = keep(pages.select(F.col(id_col).cast("long").alias("id"), F.sha2(payload, 256).alias("digest"))
                  .where((F.octet_length(payload) >= min_revisit) & F.col("id").isNotNull()), "payload-digests")
-    shared = found.groupBy("digest").agg(F.min("id").alias("refers_to"), F.max("id").alias("last")).where(
-        "refers_to < last").select("digest", "refers_to")
+    # stored, so that Spark can split the join on a payload that very many pages share
+    shared = keep(found.groupBy("digest").agg(F.min("id").alias("refers_to"), F.max("id").alias("last")).where(
+        "refers_to < last").select("digest", "refers_to"), "shared-payloads")
     return found.join(shared, "digest").where("id <> refers_to").select("id", "refers_to").distinct()
 
 
