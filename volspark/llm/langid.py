@@ -36,6 +36,7 @@ SAMPLE_CHARS = 30_000
 ALPHABET = 64            # symbols: 0 = any character not in the training text
 BLOCK = 1024
 LANES = 4096             # blocks that advance together
+SALTS, MOST_OF_A_SALT = 1024, 4      # candidates for the sample, per language
 UNDETERMINED = "und"
 NON_LETTERS = regex.compile(r"\P{L}+")
 
@@ -189,9 +190,9 @@ def training_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                     F.least(F.length(text_col), F.lit(share)).alias("n"))
             .withColumn("h", F.xxhash64("id")))
     # ids first: per language and salt (ranked within each task before the shuffle), then per language
-    rows = (rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(64)))
+    rows = (rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)))
             .withColumn("k", F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h", "id")))
-            .where("k <= 64")
+            .where(F.col("k") <= MOST_OF_A_SALT)
             .withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("h", "id", "k")
                                                   .rowsBetween(Window.unboundedPreceding, -1)))
             .where(F.coalesce("before", F.lit(0)) < sample_chars))
