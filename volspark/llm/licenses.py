@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from volspark.llm.secrets import _let
+from volspark.llm.expressions import let
 
 # fixed values: notices by which works name their license
 TEMPLATES = (
@@ -142,7 +142,7 @@ def matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tem
     rows = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("w"))
     hashed = F.transform(shingles_of(F.col("w")), lambda s: F.xxhash64(s))
     none = F.array().cast("array<struct<first_word:int,license:string,words:int,containment:double>>")
-    rows = rows.select("id", "w", lookup.alias("lookup"), texts.alias("texts"), _let(hashed, candidates).alias("c"))
+    rows = rows.select("id", "w", lookup.alias("lookup"), texts.alias("texts"), let(hashed, candidates).alias("c"))
     return rows.select("id", F.when(F.size("c") > 0, verified(F.col("w"), F.col("c"))).otherwise(none).alias("found"))
 
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from volspark.llm.expressions import let
 from volspark.session import keep
 
 # fixed values: the base patterns
@@ -55,11 +56,6 @@ def _clean(text: Column) -> Column:
             .otherwise(F.coalesce(text, F.lit(""))))
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
-    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
-
-
 def _parts(text: Column, pattern: str) -> Column:
     """[outside, match, outside, match, ..., outside] of a cleaned text."""
     return F.split(F.regexp_replace(text, pattern, f"{MARK}$0{MARK}"), MARK, -1)
@@ -86,7 +82,7 @@ def _spans(parts: Column, kind: str, accepted) -> Column:
         return F.struct(end.alias("at"), (state["k"] + 1).alias("k"),
                         F.when(match, F.concat(state["found"], one)).otherwise(state["found"]).alias("found"))
 
-    return _let(parts, lambda p: F.when(
+    return let(parts, lambda p: F.when(
         F.size(p) > 1, F.aggregate(p, start, step, lambda state: state["found"])).otherwise(F.array().cast(span)))
 
 
@@ -96,7 +92,7 @@ def _masked(text: Column, pattern: str, kind: str) -> Column:
         return F.array_join(F.transform(parts, lambda p, k: F.when(
             (k % 2 == 1) & _accepted(kind, p), F.repeat(F.lit(" "), F.length(p))).otherwise(p)), "")
 
-    return _let(text, lambda t: _let(_parts(t, pattern), lambda parts: F.when(
+    return let(text, lambda t: let(_parts(t, pattern), lambda parts: F.when(
         F.size(parts) > 1, blanked(parts)).otherwise(t)))
 
 
@@ -114,7 +110,7 @@ def _tokens(text: Column, length: int) -> Column:
 def _transitions(token: Column, value) -> Column:
     """array of value(code of a character * 128 + code of the next)."""
     codes = F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.ascii(c))
-    return _let(codes, lambda all_: F.zip_with(
+    return let(codes, lambda all_: F.zip_with(
         F.slice(all_, 1, F.greatest(F.size(all_) - 1, F.lit(0))),
         F.slice(all_, 2, F.greatest(F.size(all_) - 1, F.lit(0))),
         lambda a, b: value(a * CODES + b)))

@@ -30,6 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from volspark.llm.expressions import let
 from volspark.session import keep
 
 # fixed values: (host, path prefix, verdict)
@@ -68,11 +69,6 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return out
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once per row, however often the body names it."""
-    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
-
-
 def _characters(text: Column) -> Column:
     """The start mark and the characters of a text."""
     return F.concat(F.array(F.lit(START)), F.filter(F.split(text, ""), lambda c: c != ""))
@@ -94,7 +90,7 @@ def grams(texts: DataFrame) -> DataFrame:
         return F.flatten(F.transform(ends, lambda end: F.transform(
             F.sequence(F.lit(1), F.least(end, F.lit(ORDER + 1))), lambda n: _gram(chars, end, n))))
 
-    made = _let(_characters(F.col("text")), all_grams)
+    made = let(_characters(F.col("text")), all_grams)
     return (texts.where("text <> ''").select("allowed", F.explode(made).alias("gram"))
             .groupBy("gram").agg(F.count_if("allowed").alias("accepted"),
                                  F.count_if(~F.col("allowed")).alias("rejected")))
@@ -156,7 +152,7 @@ def _averages(values: DataFrame) -> DataFrame:
 def score_of(text: Column, gram_table: Column, context_table: Column) -> Column:
     """Length-normalised log-likelihood difference of a text; 0 when it is empty."""
     def look(table: Column, gram: Column) -> Column:
-        return _let(_slot(gram), lambda s: F.get(F.get(table, F.floor(s / WIDTH).cast("int")), s % WIDTH))
+        return let(_slot(gram), lambda s: F.get(F.get(table, F.floor(s / WIDTH).cast("int")), s % WIDTH))
 
     def position(chars: Column, end: Column) -> Column:
         # from the longest gram down: take the first one known, paying for known contexts on the way
@@ -166,7 +162,7 @@ def score_of(text: Column, gram_table: Column, context_table: Column) -> Column:
             own = look(gram_table, _gram(chars, end, n))
             left = F.when(n > 1, F.coalesce(look(context_table, _gram(chars, end - 1, n - 1)), F.lit(0.0))
                           ).otherwise(F.lit(0.0))
-            return F.when(state["done"], state).otherwise(_let(own, lambda d: F.struct(
+            return F.when(state["done"], state).otherwise(let(own, lambda d: F.struct(
                 d.isNotNull().alias("done"), (state["total"] + F.coalesce(d, left)).alias("total"))))
 
         lengths = F.sequence(F.least(end, F.lit(ORDER + 1)), F.lit(1), F.lit(-1))
@@ -177,7 +173,7 @@ def score_of(text: Column, gram_table: Column, context_table: Column) -> Column:
                            lambda a, end: a + position(chars, end))
         return sums / (F.size(chars) - 1)
 
-    return F.when(text != "", _let(_characters(text), total)).otherwise(F.lit(0.0))
+    return F.when(text != "", let(_characters(text), total)).otherwise(F.lit(0.0))
 
 
 def with_score(texts: DataFrame, model: DataFrame) -> DataFrame:
