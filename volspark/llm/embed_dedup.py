@@ -265,7 +265,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         return _linked(rows[rows["member"]], rows[~rows["member"]], threshold)
 
-    found = keep(index.union(visitors).groupBy(*cell, "i", "v").applyInPandas(
+    # dealt by block: a partitioning by cell, left over from the joins, would keep a crowded cell together
+    blocks = index.union(visitors).repartition(*cell, "i", "v")
+    found = keep(blocks.groupBy(*cell, "i", "v").applyInPandas(
         meet, "id long, n long, other long"), "vector-links")
 
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
