@@ -94,6 +94,21 @@ def test_score_is_the_documented_model(spark):
         assert row.score == pytest.approx(brute_score(row.text, samples), abs=1e-9)
 
 
+def test_unseen_characters_never_take_a_foreign_value(spark):
+    samples = [(f"a{k % 7}.org/fr/{k}", True) for k in range(30)] + [(f"b{k % 5}.net/x/{k}", False) for k in range(30)]
+    labelled = spark.createDataFrame(samples, "text string, allowed boolean")
+    # characters that share a hash slot of 524,288 with a gram of the training URLs
+    slot = F.pmod(F.xxhash64("gram"), F.lit(524288))
+    taken = urls.grams(labelled).select(slot.alias("slot")).distinct()
+    unseen = spark.createDataFrame([(chr(c),) for c in range(0x4e00, 0x9fff)], "gram string")
+    texts = [f"a1.org/{r.gram}/b2" for r in unseen.withColumn("slot", slot).join(taken, "slot", "left_semi").collect()]
+    assert len(texts) > 5
+    got = urls.with_score(spark.createDataFrame([(t,) for t in texts], "text string"), urls.train(labelled)).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        assert row.score == pytest.approx(brute_score(row.text, samples), abs=1e-9)
+
+
 def test_calibrated_threshold_is_the_least_balanced_error(spark):
     rows = [(True, x / 10) for x in range(-2, 30)] + [(False, x / 10) for x in range(-30, 5)]
     t = urls.calibrate(spark.createDataFrame(rows, "allowed boolean, score double"))

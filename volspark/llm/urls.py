@@ -14,8 +14,10 @@ those they reject:
   of training (every fifth distinct one, by hash), among steps of ``1 / BINS``.
 
 Everything is DataFrame functions. Counts cover every distinct rule-labelled
-URL. The trained table has ``SLOTS`` hashed entries, whatever the corpus size,
-and is a scalar subquery of the scoring pass, which is a projection.
+URL. The trained table is keyed by the n-grams themselves and grows with them;
+it is met by shuffled joins: what a position adds to a score depends on its
+last ``ORDER + 1`` characters alone, so the distinct ones of the URLs to be
+judged look up their n-grams, and each URL then adds up its positions.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and score 0, like any URL without characters; repeated rows give repeated
@@ -41,8 +43,6 @@ ORDER = 4               # longest context
 MIN_CONTEXT = 4
 PRIOR = 4.0
 SYMBOLS = 128.0         # the uniform distribution below the shortest context
-BLOCKS, WIDTH = 512, 1024
-SLOTS = BLOCKS * WIDTH
 HELD_OUT = 5
 BINS, MOST = 100, 20    # threshold steps per unit, largest threshold
 START = "\x02"
@@ -79,10 +79,6 @@ def _gram(chars: Column, end: Column, length: Column) -> Column:
     return F.array_join(F.slice(chars, end - length + 1, length), "")
 
 
-def _slot(gram: Column) -> Column:
-    return F.pmod(F.xxhash64(gram), F.lit(SLOTS)).cast("int")
-
-
 def grams(texts: DataFrame) -> DataFrame:
     """(gram, accepted, rejected): counts over ``texts`` (text, allowed), all lengths 1..ORDER + 1."""
     def all_grams(chars: Column) -> Column:
@@ -97,10 +93,10 @@ def grams(texts: DataFrame) -> DataFrame:
 
 
 def train(texts: DataFrame) -> DataFrame:
-    """One row (grams, contexts): log ratios by slot, as BLOCKS arrays of WIDTH numbers.
+    """(kind, key, d): log ratios by n-gram, stored; a key occurs at most once in each kind.
 
-    ``grams``: log P(last character | the others), accepted over rejected, null
-    where training has no such gram (or its context is too rare); ``contexts``:
+    ``gram``: log P(last character | the others), accepted over rejected, absent
+    where training has no such gram (or its context is too rare); ``context``:
     the ratio of the weights that a context leaves to shorter ones.
     """
     counted = keep(grams(texts).withColumn("n", F.length("gram")), "url-grams")
@@ -126,62 +122,63 @@ def train(texts: DataFrame) -> DataFrame:
                                    smooth("accepted", "a", F.col("la")).alias("pa"),
                                    smooth("rejected", "r", F.col("lr")).alias("pr")))
     found = reduce(DataFrame.union, levels)
-    weight = F.col("accepted") + F.col("rejected")
-    by_gram = found.select(_slot(F.col("gram")).alias("slot"), weight.alias("w"),
+    by_gram = found.select(F.lit("gram").alias("kind"), F.col("gram").alias("key"),
                            F.log(F.col("pa") / F.col("pr")).alias("d"))
     by_context = known.where("n > 1").groupBy("context").agg(F.max("a").alias("a"), F.max("r").alias("r")).select(
-        _slot(F.col("context")).alias("slot"), (F.col("a") + F.col("r")).alias("w"),
+        F.lit("context").alias("kind"), F.col("context").alias("key"),
         F.log((F.col("r") + PRIOR) / (F.col("a") + PRIOR)).alias("d"))
-    gram_values = _averages(by_gram).withColumnRenamed("d", "g")
-    context_values = _averages(by_context).withColumnRenamed("d", "c")
-    slots = texts.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
-    blocks = (slots.join(gram_values, "slot", "left").join(context_values, "slot", "left")
-              .groupBy(F.floor(F.col("slot") / WIDTH).alias("block"))
-              .agg(F.sort_array(F.collect_list(F.struct("slot", "g", "c"))).alias("cells")))     # WIDTH cells
-    return blocks.agg(F.sort_array(F.collect_list(F.struct(
-        "block", F.transform("cells", lambda x: x["g"]).alias("g"),
-        F.transform("cells", lambda x: x["c"]).alias("c")))).alias("b")).select(                  # BLOCKS rows
-            F.transform("b", lambda x: x["g"]).alias("grams"), F.transform("b", lambda x: x["c"]).alias("contexts"))
-
+    return keep(by_gram.union(by_context), "url-model")
 
-def _averages(values: DataFrame) -> DataFrame:
-    """Mean of each slot's values (hashes may collide), weighted by how often each occurs."""
-    return values.groupBy("slot").agg((F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("d"))
 
+def windows(texts: DataFrame) -> DataFrame:
+    """(t, window) per position of ``texts`` (t, text): its up to ORDER + 1 last characters."""
+    def all_windows(chars: Column) -> Column:
+        return F.transform(F.sequence(F.lit(2), F.size(chars)),
+                           lambda end: _gram(chars, end, F.least(end, F.lit(ORDER + 1))))
 
-def score_of(text: Column, gram_table: Column, context_table: Column) -> Column:
-    """Length-normalised log-likelihood difference of a text; 0 when it is empty."""
-    def look(table: Column, gram: Column) -> Column:
-        return let(_slot(gram), lambda s: F.get(F.get(table, F.floor(s / WIDTH).cast("int")), s % WIDTH))
+    return texts.select("t", F.explode(let(_characters(F.col("text")), all_windows)).alias("window"))
 
-    def position(chars: Column, end: Column) -> Column:
-        # from the longest gram down: take the first one known, paying for known contexts on the way
-        start = F.struct(F.lit(False).alias("done"), F.lit(0.0).alias("total"))
 
-        def step(state: Column, n: Column) -> Column:
-            own = look(gram_table, _gram(chars, end, n))
-            left = F.when(n > 1, F.coalesce(look(context_table, _gram(chars, end - 1, n - 1)), F.lit(0.0))
-                          ).otherwise(F.lit(0.0))
-            return F.when(state["done"], state).otherwise(let(own, lambda d: F.struct(
-                d.isNotNull().alias("done"), (state["total"] + F.coalesce(d, left)).alias("total"))))
+def window_values(found: DataFrame, model: DataFrame) -> DataFrame:
+    """(window, value): what a position adds to the score, absent where the model knows nothing of it.
 
-        lengths = F.sequence(F.least(end, F.lit(ORDER + 1)), F.lit(1), F.lit(-1))
-        return F.aggregate(lengths, start, step, lambda state: state["total"])
+    From the longest gram down: the first known one counts, and the known
+    contexts of the longer ones are paid for. ``found``: distinct windows.
+    """
+    size = F.length("window")
 
-    def total(chars: Column) -> Column:
-        sums = F.aggregate(F.sequence(F.lit(2), F.size(chars)), F.lit(0.0),
-                           lambda a, end: a + position(chars, end))
-        return sums / (F.size(chars) - 1)
+    def key(kind: str, n: Column, length: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), n.alias("n"),
+                        F.substring("window", size - n + 1, length).alias("key"))
 
-    return F.when(text != "", let(_characters(text), total)).otherwise(F.lit(0.0))
+    lengths = F.sequence(F.lit(1), size)
+    keys = F.concat(F.transform(lengths, lambda n: key("gram", n, n)),
+                    F.transform(F.filter(lengths, lambda n: n > 1), lambda n: key("context", n, n - 1)))
+    met = found.select("window", F.explode(keys).alias("e")).select("window", "e.*").join(model, ["kind", "key"])
+    gram = F.col("kind") == "gram"
+    each = met.groupBy("window").agg(
+        F.max(F.when(gram, F.struct("n", "d"))).alias("own"),
+        F.collect_list(F.when(~gram, F.struct("n", "d"))).alias("left"))                      # at most ORDER
+    paid = F.filter("left", lambda x: x["n"] > F.coalesce(F.col("own.n"), F.lit(0)))
+    return each.select("window", F.aggregate(F.array_sort(paid), F.coalesce("own.d", F.lit(0.0)),
+                                             lambda a, x: a + x["d"]).alias("value"))
 
 
 def with_score(texts: DataFrame, model: DataFrame) -> DataFrame:
-    """``texts`` with the ``score`` of column ``text`` under a trained ``model`` (one row)."""
-    joined = texts.select("*", model.select("grams").scalar().alias("grams"),
-                          model.select("contexts").scalar().alias("contexts"))
-    return joined.select(*texts.columns,
-                         score_of(F.col("text"), F.col("grams"), F.col("contexts")).alias("score"))
+    """``texts`` with the ``score`` of column ``text`` under a trained ``model``.
+
+    Length-normalised log-likelihood difference; 0 when the text is empty.
+    """
+    # stored, so that the numbers stay and Spark can split the joins on frequent windows
+    own = keep(texts.select("text").where("text <> ''").distinct()
+               .withColumn("t", F.monotonically_increasing_id()), "url-texts")
+    cells = keep(windows(own), "url-windows")
+    values = keep(window_values(keep(cells.select("window").distinct(), "url-window-keys"), model), "url-window-values")
+    # decimal sums do not depend on the order of their terms
+    sums = cells.join(values, "window", "left").groupBy("t").agg(
+        (F.sum(F.coalesce("value", F.lit(0.0)).cast("decimal(24,15)")).cast("double") / F.count("*")).alias("score"))
+    scores = keep(own.join(sums, "t").select("text", "score"), "url-scores")
+    return texts.join(scores, "text", "left").select(*texts.columns, F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple = RULES) -> DataFrame:
@@ -195,7 +192,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     held = F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0
     both = labelled.where(~held).agg(F.count_distinct("allowed")).first()[0] == 2
     if both:
-        model = keep(train(labelled.where(~held)), "url-model")
+        model = train(labelled.where(~held))
         threshold = calibrate(with_score(labelled.where(held), model))
         rows = with_score(rows, model)
     else:
