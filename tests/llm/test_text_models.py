@@ -66,6 +66,20 @@ def test_phrases_are_the_greedy_longest_matches():
     assert got.tolist() == [[greedy_phrases(t, samples[k]) for k in model.languages] for t in texts]
 
 
+def test_every_trained_character_counts():
+    rng = random.Random(2)
+    scripts = {"el": (0x3b1, 20), "ja": (0x3042, 80), "ru": (0x430, 30), "zh": (0x4e00, 2000), "en": (0x61, 26)}
+    samples = {k: "".join(" " if rng.random() < 0.2 else chr(first + int(n * rng.random() ** 3)) for _ in range(3000))
+               for k, (first, n) in scripts.items()}
+    model = langid.Model(samples)
+    texts = [samples[k][at:at + 200] for k in sorted(samples) for at in (0, 900, 2500)]
+    texts += ["".join(rng.choice(samples["zh"] + samples["ja"] + "\u0416\u9f00z") for _ in range(1500))]
+    got = model.phrases(texts)
+    assert got.tolist() == [[greedy_phrases(t, samples[k]) for k in model.languages] for t in texts]
+    languages, scores = model.predict(texts[:-1])
+    assert languages == [k for k in sorted(samples) for _ in range(3)] and min(scores) > 0.5
+
+
 def test_language_edges(spark):
     rows = [(k, w * 60, lang, "x") for k in range(40) for w, lang in (("the and of ", "en"), ("der und ich ", "de"))]
     rows += [(100, None, None, "x"), (101, "", "en", "x"), (102, "12 !? 3", None, "x"), (103, "und der", None, "x"),

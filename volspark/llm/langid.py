@@ -13,8 +13,10 @@ advance together; every character of every text is parsed.
 
 Training sample (documented bound): per language the documents with the
 smallest hashes of their id until ``sample_chars`` characters; only documents
-that :func:`trainable` accepts are read. Automata are at most
-``2 * sample_chars`` states by ``ALPHABET`` symbols, whatever the corpus size.
+that :func:`trainable` accepts are read. Every character of the samples has a
+symbol of its own. Automata are at most ``2 * sample_chars`` states by
+``ALPHABET`` columns, whatever the corpus size: the language's most frequent
+characters have a column each, edges of its other ones are a sorted list.
 
 Defined results: null text or text without a letter gives ``und`` with score 0;
 documents without a label train nothing; without any labelled text every
@@ -24,6 +26,7 @@ rows give repeated results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SAMPLE_CHARS = 30_000
-ALPHABET = 64            # symbols: 0 = any character not in the training text
+ALPHABET = 64            # columns of a language's table: 0 = any character without a column
 BLOCK = 1024
 LANES = 4096             # blocks that advance together
 SALTS, MOST_OF_A_SALT = 1024, 4      # candidates for the sample, per language
@@ -81,9 +84,20 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return goto
 
 
+def _sorted(found: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their values."""
+    keys = np.array(sorted(found), np.int64)
+    return keys, np.array([found[k] for k in keys.tolist()], np.int32)
+
+
 class Model:
     """The languages' automata as one table: next state * 2 + (a new phrase starts here).
 
+    Symbols are numbered over all samples, 0 is any character in none of them.
+    Each language's ``ALPHABET - 1`` most frequent ones have a column in its
+    table. Its others are ``far``: their edges are sorted keys state * symbols +
+    symbol, searched only where such a symbol occurs.
+
     The last state of each language stands before a phrase: whatever follows
     starts one. A character that the language never saw is a phrase of its own.
     """
@@ -91,37 +105,48 @@ class Model:
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(k for k, v in samples.items() if v)
         texts = [samples[k] for k in self.languages]
-        letters: dict[str, int] = {}
-        for text in texts:
-            for c in text:
-                letters[c] = letters.get(c, 0) + 1
-        shown = sorted(letters, key=lambda c: (-letters[c], c))[:ALPHABET - 1]
-        self.symbols = {c: k + 1 for k, c in enumerate(shown)}
+        letters = sorted(set().union(*texts))
+        self.points = np.array([ord(c) for c in letters], np.uint32)        # of symbols 1, 2, ...
+        symbols = {c: k + 1 for k, c in enumerate(letters)}
+        self.size = len(letters) + 1
         tables, starts, base = [], [], 0
+        self.columns, self.far = [], []
         for text in texts:
             goto = suffix_automaton(text)
+            often = Counter(text)
+            shown = sorted(often, key=lambda c: (-often[c], c))[:ALPHABET - 1]
+            column = {c: k + 1 for k, c in enumerate(shown)}
+            columns = np.zeros(self.size, np.uint8)
+            for c, k in column.items():
+                columns[symbols[c]] = k
             table = np.empty((len(goto) + 1, ALPHABET), np.int32)
             before = base + len(goto)
             # no continuation: the symbol starts the next phrase
             restart = np.full(ALPHABET, before * 2 + 1, np.int32)
             for c, q in goto[0].items():
-                if c in self.symbols:
-                    restart[self.symbols[c]] = (base + q) * 2 + 1
+                if c in column:
+                    restart[column[c]] = (base + q) * 2 + 1
+            edges_of_far, restarts_of_far = {}, {}
             for state, edges in enumerate(goto):
                 table[state] = restart
                 for c, q in edges.items():
-                    if c in self.symbols:
-                        table[state, self.symbols[c]] = (base + q) * 2
+                    if c in column:
+                        table[state, column[c]] = (base + q) * 2
+                    else:
+                        edges_of_far[(base + state) * self.size + symbols[c]] = (base + q) * 2
+                        if state == 0:
+                            restarts_of_far[symbols[c]] = (base + q) * 2 + 1
             table[-1] = restart
             tables.append(table)
             starts.append(before)
             base += len(table)
+            self.columns.append(columns)
+            self.far.append((*_sorted(edges_of_far), *_sorted(restarts_of_far)))
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
         self.starts = np.array(starts, np.int64)
         self.bits = np.log2([max(2, len(t)) for t in texts]) if texts else np.empty(0)
-        self.code = np.zeros(0x250, np.uint8)              # symbol of each frequent code point
-        self.rare = {ord(c): k for c, k in self.symbols.items() if ord(c) >= 0x250}
-        for c, k in self.symbols.items():
+        self.code = np.zeros(0x250, np.int32)              # symbol of each frequent code point
+        for c, k in symbols.items():
             if ord(c) < 0x250:
                 self.code[ord(c)] = k
 
@@ -131,7 +156,10 @@ class Model:
         out = self.code[np.minimum(points, 0x24f)]
         far = np.flatnonzero(points >= 0x250)
         if len(far):
-            out[far] = [self.rare.get(int(p), 0) for p in points[far]]
+            out[far] = 0
+            if len(self.points):
+                at = np.minimum(np.searchsorted(self.points, points[far]), len(self.points) - 1)
+                out[far] = np.where(self.points[at] == points[far], at + 1, 0)
         return out
 
     def phrases(self, texts: list[str]) -> np.ndarray:
@@ -147,7 +175,7 @@ class Model:
         for at in range(0, len(order), LANES):
             picked = order[at:at + LANES]
             sizes = np.array([len(blocks[b]) for b in picked])
-            grid = np.zeros((int(sizes[0]), len(picked)), np.uint8)
+            grid = np.zeros((int(sizes[0]), len(picked)), np.int32)
             for lane, b in enumerate(picked):
                 grid[:sizes[lane], lane] = blocks[b]
             # lanes are sorted by length: at step t the first alive[t] of them go on
@@ -155,8 +183,21 @@ class Model:
             for j, start in enumerate(self.starts):
                 state = np.full(len(picked), start, np.int64)
                 begun = np.zeros(len(picked), np.int64)
-                for symbols, n in zip(grid, alive):
-                    step = self.table[state[:n] * ALPHABET + symbols[:n]]
+                columns = self.columns[j][grid]
+                keys, nexts, firsts, restarts = self.far[j]
+                is_far = np.zeros(self.size, np.bool_)
+                is_far[firsts] = True
+                rare = is_far[grid] if len(firsts) else None
+                some = rare.any(axis=1) if len(firsts) else np.zeros(len(grid), np.bool_)
+                for t, n in enumerate(alive):
+                    step = self.table[state[:n] * ALPHABET + columns[t, :n]]
+                    if some[t]:
+                        lanes = np.flatnonzero(rare[t, :n])
+                        symbols = grid[t, lanes]
+                        wanted = state[lanes] * self.size + symbols
+                        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                        step[lanes] = np.where(keys[at] == wanted, nexts[at],
+                                               restarts[np.searchsorted(firsts, symbols)])
                     begun[:n] += step & 1
                     state[:n] = step >> 1
                 np.add.at(counts[:, j], np.array(owners)[picked], begun)
