@@ -7,13 +7,24 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volspark.llm import decontam, langid, packing, secrets, simhash
 from volspark.session import ensure_conf, keep
 
-MIN_LANGUAGE_SCORE = 0.3        # with four languages 0.25 is an even guess
+MIN_LANGUAGE_SCORE = 0.3        # of four languages, where 0.25 is an even guess
+
+
+def clear_enough(score: Column, languages: int) -> Column:
+    """Whether a winner stands out from ``languages`` as it does with MIN_LANGUAGE_SCORE from four.
+
+    ``score`` is the winner's share of weight, its own weight being 1; the mean
+    weight of the others does not depend on how many they are. A single language
+    has no others.
+    """
+    most = (1 / MIN_LANGUAGE_SCORE - 1) / 3
+    return (1 - score) <= most * (languages - 1) * score
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +32,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.Model(langid.training_samples(docs))
     found = langid.language_of(F.col("text"), model, spark)
     told = docs.select(F.struct("*").alias("doc"), found.alias("found")).where(
-        (F.col("found.lang_pred") != langid.UNDETERMINED) & (F.col("found.score") >= MIN_LANGUAGE_SCORE))
+        (F.col("found.lang_pred") != langid.UNDETERMINED)
+        & clear_enough(F.col("found.score"), len(model.languages)))
     return told.select("doc.*")
 
 

@@ -406,6 +406,31 @@ def test_pipeline_stages(spark):
         before = after
 
 
+@pytest.mark.parametrize("languages", [2, 25])
+def test_language_limit_does_not_depend_on_the_number_of_languages(spark, languages):
+    rng = random.Random(languages)
+
+    def word(letters):
+        return "".join(rng.choice(letters) for _ in range(rng.randint(3, 7)))
+
+    common = [word("abcdefghij") for _ in range(60)]
+    words = [common + [word("abcdefghij") for _ in range(40)] for _ in range(languages)]
+    rows = []
+    for k, own in enumerate(words):
+        rows += [(f"l{k:02}", " ".join(rng.choice(own) for _ in range(300))) for _ in range(20)]
+    clean = len(rows)
+    rows += [(None, " ".join(word("abcdefghij") for _ in range(300))) for _ in range(20)]
+    docs = spark.createDataFrame([(k, text, lang) for k, (lang, text) in enumerate(rows)],
+                                 "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
+    model = langid.Model(langid.training_samples(docs))
+    assert len(model.languages) == languages
+    scores = np.array(model.predict([t for _, t in rows])[1])
+    # by share alone, 25 languages lose clean documents and two keep all others
+    assert scores[:clean].max() < 0.3 if languages == 25 else scores.min() >= 0.5
+    assert kept == set(range(clean))
+
+
 def test_pipeline_run_ends_in_pieces(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 0
