@@ -38,13 +38,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash group: the one with the smallest id, once.
+    """Keep one row of each SimHash group: the one with the smallest id, the first of equal ids.
 
-    Rows without an id belong to no group and go.
+    Rows are told apart by a number of their own, stored so that it stays: ids
+    may repeat with other texts, and rows without an id (last in their group)
+    are compared like any other.
     """
-    found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    kept = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows = keep(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "pipeline-rows")
+    found = simhash.near_duplicates(rows, "row", "doc.text", shingle=3, max_bits=3)
+    ids = rows.select(F.col("row").alias("id"), F.col("doc.doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "id"))
+    kept = found.join(ids, "id").groupBy("component_id").agg(first.alias("first")).select(F.col("first.id").alias("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -431,6 +431,16 @@ def test_language_limit_does_not_depend_on_the_number_of_languages(spark, langua
     assert kept == set(range(clean))
 
 
+def test_near_dedup_keeps_unrelated_texts_of_one_id(spark):
+    rng = random.Random(3)
+    a, b, c, d = (" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(200)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (None, c), (None, c), (None, b), (None, d), (0, d), (1, a), (7, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert Counter(map(tuple, got.collect())) == Counter([(1, a), (1, b), (None, c), (0, d), (3, "")])
+
+
 def test_pipeline_run_ends_in_pieces(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and got.count() > 0
