@@ -351,6 +351,17 @@ def test_warc_round_trip_and_edges(spark):
     assert warc.read(warc.write(df.limit(0), scratch_path(spark, "warc-none")), folder).collect() == []
 
 
+def test_warc_keeps_every_payload_of_a_repeated_id(spark):
+    a, b, own = "a" * 150, "b" * 150, "c" * 150
+    rows = [(1, "u", a), (2, "u", b), (5, "u", a), (5, "u", own), (6, "u", a), (6, "u", b), (5, "u", "short")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    folder = scratch_path(spark, "warc-repeated")
+    got = warc.read(warc.write(df, folder), folder).collect()
+    want = [(1, a, None), (2, b, None), (5, a, 1), (5, own, None), (6, a, 1), (6, b, 2), (5, "short", None)]
+    assert Counter((r.id, r.payload_digest, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in got) \
+        == Counter((k, hashlib.sha256(t.encode()).hexdigest(), to, None if to else t.encode()) for k, t, to in want)
+
+
 def test_damaged_record_raises():
     data = warc.record(1, "u", b"payload", 7, "0" * 64, None)
     with pytest.raises(ValueError):

@@ -102,14 +102,14 @@ def parse(member: bytes) -> dict:
 
 def originals(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
               min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """(id, refers_to): the pages whose payload another page of smaller id has."""
+    """(id, digest, refers_to): the pages, by id and payload, whose payload another page of smaller id has."""
     payload = F.coalesce(F.col(html_col), F.lit(""))
     found = keep(pages.select(F.col(id_col).cast("long").alias("id"), F.sha2(payload, 256).alias("digest"))
                  .where((F.octet_length(payload) >= min_revisit) & F.col("id").isNotNull()), "payload-digests")
     # stored, so that Spark can split the join on a payload that very many pages share
     shared = keep(found.groupBy("digest").agg(F.min("id").alias("refers_to"), F.max("id").alias("last")).where(
         "refers_to < last").select("digest", "refers_to"), "shared-payloads")
-    return found.join(shared, "digest").where("id <> refers_to").select("id", "refers_to").distinct()
+    return found.join(shared, "digest").where("id <> refers_to").select("id", "digest", "refers_to").distinct()
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
@@ -119,9 +119,9 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     again = originals(pages, id_col, html_col, min_revisit)
     # ids may repeat with other payloads: a page revisits only when its own payload is the shared one
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"),
-                        payload.alias("html")).join(again, "id", "left")
+                        payload.alias("html"), F.sha2(payload, 256).alias("digest")).join(again, ["id", "digest"], "left")
     rows = rows.select("id", "url", F.when(F.col("refers_to").isNull(), F.col("html")).alias("html"),
-                       F.octet_length("html").alias("size"), F.sha2("html", 256).alias("digest"), "refers_to")
+                       F.octet_length("html").alias("size"), "digest", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = file_system(folder)
