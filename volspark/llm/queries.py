@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volspark.llm import (
+    bpe,
+    centroids,
     decontam,
     embed_dedup,
     langid,
     licenses,
     packing,
     quality,
+    resampling,
     secrets,
     simhash,
     urls,
@@ -242,6 +245,102 @@ FROM d LEFT JOIN g USING (doc_id)
 """.replace("@", ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all whole 64-component vectors after ten rounds, exact in integers."""
+    found, means = centroids.cluster(_table(spark, sf_dir, "embeddings"), k=8, rounds=10)
+    digests = F.array(*[F.lit(centroids.centroid_digest(c)) for c in means]).cast("array<string>")
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+                        F.get(digests, F.col("cluster")).alias("centroid_sha256"))
+
+
+def _op11_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after another, over one row per vector and component."""
+    def assigned(n: int) -> str:
+        return f"""a{n} AS MATERIALIZED (
+    SELECT r, arg_min(c, row(distance, c)) AS c, min(distance) AS distance
+    FROM (SELECT r, c, sum((x.x - c{n}.x) * (x.x - c{n}.x)) AS distance FROM x JOIN c{n} USING (i) GROUP BY r, c)
+    GROUP BY r)"""
+
+    def moved(n: int) -> str:
+        return f"""c{n + 1} AS MATERIALIZED (
+    SELECT c, i, coalesce((s - ((s % n) + n) % n) // n, c{n}.x) AS x FROM c{n} LEFT JOIN (
+        SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM x JOIN a{n} USING (r) GROUP BY c, i) USING (c, i))"""
+
+    steps = ",\n".join(step for n in range(rounds) for step in (assigned(n), moved(n)))
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id,
+        [CAST(floor(1024 * x) AS BIGINT) FOR x IN CAST(embedding AS DOUBLE[])] AS e
+    FROM embeddings WHERE len(embedding) = 64
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+x AS MATERIALIZED (SELECT r, unnest(range(64)) AS i, unnest(e) AS x FROM v),
+f AS (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), e) - 1 AS c, e FROM v WHERE vec_id IS NOT NULL),
+c0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS i, unnest(e) AS x FROM f WHERE c < {k}),
+{steps},
+{assigned(rounds)},
+d AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+    CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN d USING (c)
+"""
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
+    """Every document encoded by the byte-level ranks and decoded again, as digests."""
+    path = ranks or bpe.ranks_path()
+    encoded = _table(spark, sf_dir, "documents").select(
+        "doc_id", bpe.encoded(F.col("text"), path, bpe.split_pattern()).alias("ids"))
+    return encoded.select(
+        "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weights of all documents towards the benchmark, and the tenth that is drawn."""
+    found = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                                percent=10, min_words=20)
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = r"""
+WITH code AS (
+    SELECT list(list_reduce([c] || range(8), lambda r, _: CASE WHEN r & 1 = 1
+        THEN xor(3988292384, r >> 1) ELSE r >> 1 END) ORDER BY c) AS t
+    FROM (SELECT unnest(range(256)) AS c)),
+w AS MATERIALIZED (
+    SELECT kind, r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (SELECT 's' AS kind, row_number() OVER () AS r, doc_id, text FROM documents
+          UNION ALL SELECT 't', 0, 0, text FROM benchmark)),
+f AS MATERIALIZED (SELECT kind, r, unnest(w) AS g FROM w),
+h AS (SELECT g, hex(encode(g)) AS x FROM (SELECT DISTINCT g FROM f)),
+b AS MATERIALIZED (
+    SELECT g, xor(list_reduce([4294967295] || [CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(len(x) // 2)],
+        lambda r, c: xor(r >> 8, t[xor(r, c) % 256 + 1])), 4294967295) % 10000 AS b FROM h, code),
+n AS (SELECT b, count(*) FILTER (kind = 's') AS s, count(*) FILTER (kind = 't') AS t FROM f JOIN b USING (g) GROUP BY b),
+a AS (SELECT coalesce(sum(s), 0) AS s, coalesce(sum(t), 0) AS t FROM n),
+gain AS (
+    SELECT b, CAST(floor(1000 * ln((CAST(n.t + 1 AS DOUBLE) * (a.s + 10000)) / (CAST(n.s + 1 AS DOUBLE) * (a.t + 10000))))
+        AS BIGINT) AS gain FROM n, a),
+weight AS (
+    SELECT r, CAST(sum(gain) AS BIGINT) AS total, count(*) AS n_features
+    FROM f JOIN b USING (g) JOIN gain USING (b) WHERE kind = 's' GROUP BY r),
+scored AS (
+    SELECT r, doc_id, coalesce(n_features, 0) AS n_features,
+        coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+        CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT)
+            + 0.5) / 4294967296))) AS BIGINT) AS draw
+    FROM w LEFT JOIN weight USING (r) WHERE kind = 's'),
+ranked AS (
+    SELECT r, row_number() OVER (ORDER BY weight + draw DESC, doc_id NULLS LAST, weight, n_features) AS rank
+    FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, CAST(weight AS BIGINT) AS weight, CAST(weight + draw AS BIGINT) AS score,
+    CASE WHEN rank <= (SELECT count(*) * 10 // 100 FROM ranked) THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+"""
+
+
 def registry():
     """Query name -> callable(spark, sf_dir)."""
     return {"op1_urls": op1_urls,
@@ -253,10 +352,14 @@ def registry():
             "op7_secrets": op7_secrets,
             "op8_decontam": op8_decontam,
             "op9_quality": op9_quality,
-            "op10_licenses": op10_licenses}
+            "op10_licenses": op10_licenses,
+            "op11_centroids": op11_centroids,
+            "op12_bpe": op12_bpe,
+            "op13_resampling": op13_resampling}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
     return {"op3_embeddings": OP3_SQL, "op6_warc": OP6_SQL, "op7_secrets": _op7_sql(),
-            "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL}
+            "op8_decontam": OP8_SQL, "op10_licenses": OP10_SQL, "op11_centroids": _op11_sql(),
+            "op13_resampling": OP13_SQL}
