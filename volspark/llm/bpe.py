@@ -26,7 +26,7 @@ functions: repeated rows, further columns and empty tables pass as they are.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 LONG = 64                       # bytes of the longest piece in a matrix
 CELLS = 1 << 20                 # of a matrix
 STRETCH = 1 << 20               # characters cut into pieces at a time
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
+ROWS = 512                      # texts or id lists that are Python objects at a time
 NONE = np.int32(2 ** 31 - 1)    # no token: after every rank
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -287,6 +288,12 @@ class Decoder:
         return b"".join(out)
 
 
+def _by_rows(values: pa.Array, make: Callable[[list], list]) -> pa.Array:
+    """``make`` over ``ROWS`` values at a time, as one binary array."""
+    parts = [pa.array(make(values.slice(at, ROWS).to_pylist()), pa.binary()) for at in range(0, len(values), ROWS)]
+    return pa.chunked_array(parts, pa.binary()).combine_chunks()
+
+
 def encoded(text: Column, path: str, pattern: str) -> Column:
     """The ids of ``text`` as binary: little-endian unsigned 32-bit numbers.
 
@@ -295,7 +302,7 @@ def encoded(text: Column, path: str, pattern: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(path, pattern)
         for texts in batches:
-            yield pa.array(encoder.encode(texts.to_pylist()), pa.binary())
+            yield _by_rows(texts, encoder.encode)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(text)
@@ -306,7 +313,7 @@ def decoded(ids: Column, path: str) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decoder = Decoder(path)
         for rows in batches:
-            yield pa.array([None if v is None else decoder.decode(v) for v in rows.to_pylist()], pa.binary())
+            yield _by_rows(rows, lambda ids: [None if v is None else decoder.decode(v) for v in ids])
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, "binary")(ids)

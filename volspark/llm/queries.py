@@ -20,7 +20,7 @@ from volspark.llm import (
     urls,
     warc,
 )
-from volspark.session import ensure_conf, scratch_path
+from volspark.session import ensure_conf, keep, scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -289,8 +289,9 @@ FROM a{rounds} JOIN v USING (r) JOIN d USING (c)
 def op12_bpe(spark: SparkSession, sf_dir: str, ranks: str | None = None) -> DataFrame:
     """Every document encoded by the byte-level ranks and decoded again, as digests."""
     path = ranks or bpe.ranks_path()
-    encoded = _table(spark, sf_dir, "documents").select(
-        "doc_id", bpe.encoded(F.col("text"), path, bpe.split_pattern()).alias("ids"))
+    # stored: the decoder reads what was written, and one Python worker a core is enough
+    encoded = keep(_table(spark, sf_dir, "documents").select(
+        "doc_id", bpe.encoded(F.col("text"), path, bpe.split_pattern()).alias("ids")), "bpe-ids")
     return encoded.select(
         "doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(bpe.decoded(F.col("ids"), path), 256).alias("decoded_sha256"))
