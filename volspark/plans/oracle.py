@@ -241,6 +241,18 @@ SELECT 'bulk', "timestamp", strftime(datetime, '%Y-%m-%dT%H:%M:%SZ'), CAST(date
     for k in ("stream_tick_metrics", "stream_restart", "stream_late_ticks", "stream_replay"):
         q[k] = q["tick_metrics"]
     q["stream_fanout"] = q["dashboard_projection"]
+    q["stream_stateful_metrics"] = q["tick_metrics_by_symbol"]
+    # every 13th tick arrives last: too late unless it is newer than all others of its series
+    fresh = (""" e AS (SELECT symbol, max("timestamp") AS newest FROM ticks WHERE seq % 13 <> 0 GROUP BY symbol),
+a AS (SELECT ticks.*, seq % 13 = 0 AND "timestamp" <= newest AS late FROM ticks LEFT JOIN e USING (symbol)),
+t AS (SELECT * FROM a WHERE late IS NOT TRUE)""")
+    keyed = METRIC_SELECT.replace("SELECT seq,", "SELECT seq, symbol,")
+    none = ", ".join(f"NULL AS {c}" for c in (
+        "log_return", "price_change_pct", "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h",
+        "volume24h", "high24h", "low24h"))
+    q["stream_stateful_late"] = (
+        f"WITH {TICKS},\n{fresh},\n{metrics_cte(keyed=True, src='t')}\n{keyed}, NULL AS reject_reason FROM m\n"
+        f"UNION ALL SELECT seq, symbol, \"timestamp\", price, {none}, 'late_tick' FROM a WHERE late")
     # without seq, ticks of a second are ordered and told apart by (datetime, price)
     plain = 'd AS (SELECT DISTINCT "timestamp", datetime, price FROM ticks)'
     q["stream_no_seq"] = (f"WITH {TICKS},\n{plain},\n{metrics_cte(src='d', seq='datetime, price')}\n"

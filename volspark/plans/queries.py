@@ -154,6 +154,9 @@ def registry() -> dict[str, QueryFn]:
     q["stream_no_seq"] = lambda s, d: report(_stream_out(
         s, ST.rolling_stream(s, d, with_seq=False)).select("datetime", *METRIC_COLS[1:]))
     q["stream_fanout"] = _stream_fanout
+    q["stream_stateful_metrics"] = lambda s, d: report(
+        _stream_out(s, ST.stateful_stream(s, d)).select("seq", "symbol", *METRIC_COLS[1:]))
+    q["stream_stateful_late"] = _stream_stateful_late
     q["stream_metrics_per_batch"] = lambda s, d: report(
         s.read.parquet(ST.per_batch(s, d)).select(
             F.col("ingest_batch").cast("bigint").alias("ingest_batch"), *METRIC_COLS))
@@ -186,6 +189,15 @@ def _stream_fanout(spark, sf_dir):
     return report(back.drop(files.CORRUPT, "date"))
 
 
+def _stream_stateful_late(spark, sf_dir):
+    """ST6 with keyed state: final rows, and the late ticks of the quarantine without metrics."""
+    base = ST.stateful_stream(spark, sf_dir, late=True)
+    columns = ["seq", "symbol", *METRIC_COLS[1:]]
+    final = _stream_out(spark, base).select(*columns, F.lit(None).cast("string").alias("reject_reason"))
+    late = spark.read.parquet(os.path.join(base, "quarantine")).select(*columns, "reject_reason")
+    return report(final.unionByName(late))
+
+
 def _quotes(spark, sf_dir):
     return C.flatten_quotes(FX.quote_envelopes(FX.read_table(spark, sf_dir, "events")),
                             keep=("seq",))

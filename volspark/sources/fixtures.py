@@ -48,11 +48,11 @@ QUOTE_CURRENCY = "USD"
 CANDLE_PAGE = 2000          # candles per API response page
 
 
-def full_ticks(ticks_df: DataFrame) -> DataFrame:
-    """The 12 tick fields (and seq): the other nine are price + 1 .. price + 9."""
+def full_ticks(ticks_df: DataFrame, keep=()) -> DataFrame:
+    """The 12 tick fields (and seq, ``keep``): the other nine are price + 1 .. price + 9."""
     from volspark.schemas import TICK_FIELDS
     rest = [(F.col("price") + F.lit(float(i + 1))).alias(c) for i, c in enumerate(TICK_FIELDS[3:])]
-    return ticks_df.select("seq", *TICK_FIELDS[:3], *rest)
+    return ticks_df.select("seq", *keep, *TICK_FIELDS[:3], *rest)
 
 
 def tick_json(ticks_df: DataFrame) -> DataFrame:
