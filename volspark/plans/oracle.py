@@ -253,6 +253,13 @@ t AS (SELECT * FROM a WHERE late IS NOT TRUE)""")
     q["stream_stateful_late"] = (
         f"WITH {TICKS},\n{fresh},\n{metrics_cte(keyed=True, src='t')}\n{keyed}, NULL AS reject_reason FROM m\n"
         f"UNION ALL SELECT seq, symbol, \"timestamp\", price, {none}, 'late_tick' FROM a WHERE late")
+    q["stream_wide_frames"] = f"""WITH {TICKS},
+{metrics_cte()},
+m48 AS (SELECT *, coalesce(stddev_samp(log_return) OVER w48, 0.0) AS volatility_48h,
+    coalesce(avg(price) OVER w48, price) AS price_ma_48h FROM m
+  WINDOW w48 AS (ORDER BY "timestamp" RANGE BETWEEN 172800 PRECEDING AND CURRENT ROW))
+SELECT seq, "timestamp", price, {R6('log_return')} AS log_return, {R6('volatility_1h')} AS volatility_1h,
+  {R6('volatility_48h')} AS volatility_48h, {R6('price_ma_48h')} AS price_ma_48h FROM m48"""
     # without seq, ticks of a second are ordered and told apart by (datetime, price)
     plain = 'd AS (SELECT DISTINCT "timestamp", datetime, price FROM ticks)'
     q["stream_no_seq"] = (f"WITH {TICKS},\n{plain},\n{metrics_cte(src='d', seq='datetime, price')}\n"

@@ -153,6 +153,8 @@ def registry() -> dict[str, QueryFn]:
     q["stream_replay"] = lambda s, d: _stream_metrics(s, ST.replayed(s, d))
     q["stream_no_seq"] = lambda s, d: report(_stream_out(
         s, ST.rolling_stream(s, d, with_seq=False)).select("datetime", *METRIC_COLS[1:]))
+    q["stream_wide_frames"] = lambda s, d: _wide(_stream_out(s, ST.rolling_stream(
+        s, d, late=True, hours=(1, 48), extra={}, dashboard=False, slot_hours=12)))
     q["stream_fanout"] = _stream_fanout
     q["stream_stateful_metrics"] = lambda s, d: report(
         _stream_out(s, ST.stateful_stream(s, d)).select("seq", "symbol", *METRIC_COLS[1:]))
@@ -186,7 +188,13 @@ def _stream_fanout(spark, sf_dir):
     """ST2: the second sink of the same batches, dashboard JSON, read back."""
     base = ST.rolling_stream(spark, sf_dir)
     back = files.read_json_ticks(spark, os.path.join(base, "dashboard"), DASHBOARD_SCHEMA)
-    return report(back.drop(files.CORRUPT, "date"))
+    return report(back.drop(files.CORRUPT, "date", "hour"))
+
+
+def _wide(m):
+    """Metrics over two days: frames longer than a stored date."""
+    return m.select("seq", "timestamp", "price", *[round6(c).alias(c) for c in (
+        "log_return", "volatility_1h", "volatility_48h", "price_ma_48h")])
 
 
 def _stream_stateful_late(spark, sf_dir):
