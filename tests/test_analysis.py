@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from volspark.operators import analysis as A
+from volspark.operators.clean import flatten_quotes
 from volspark.operators import series as S
 from volspark.operators.quantile import quantile_disc
 
@@ -106,6 +107,12 @@ def test_latest_and_kpis(spark):
 
 
 def test_feed_health(spark):
-    q = spark.createDataFrame([("Success",), ("Error",), (None,), ("Success",)], "Response string")
-    r = A.feed_health(q).first()
-    assert (r.messages, r.errors, r.success_rate_pct) == (3, 1, 75.0)
+    """A message is an envelope that yields a tick; everything else is a failed poll."""
+    bodies = ['{"RAW":{"X":{"USD":{"PRICE":1.5}}}}', "not json", "{}", '{"Response":"Error","Message":"limit"}',
+              '{"RAW":{}}', '{"RAW":{"X":{}}}', None, '{"Response":"Success","RAW":{"X":{"USD":{}}}}']
+    polls = spark.createDataFrame([(b, i) for i, b in enumerate(bodies)], "body string, timestamp long")
+    r = A.feed_health(polls).first()
+    assert (r.messages, r.errors, r.success_rate_pct) == (2, 6, 25.0)
+    assert flatten_quotes(polls).count() == 2
+    r = A.feed_health(polls.where("false")).first()
+    assert (r.messages, r.errors, r.success_rate_pct) == (0, 0, None)

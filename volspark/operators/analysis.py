@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from volspark.functions import hour_of_day
 from volspark.operators.quantile import quantile_approx, quantile_disc, threshold
-from volspark.schemas import SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, TOP_SPIKES
+from volspark.schemas import QUOTE_SCHEMA, SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, TOP_SPIKES
 
 
 def require_columns(df: DataFrame, required) -> DataFrame:
@@ -103,11 +103,17 @@ def analysis_summary(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool
     )
 
 
-def feed_health(quotes: DataFrame) -> DataFrame:
-    """Polled messages, errors and success rate (%) of quote envelopes."""
-    ok = F.coalesce(F.col("Response"), F.lit("")) != F.lit("Error")
-    agg = quotes.agg(F.count_if(ok).alias("messages"),
-                     F.count_if(~ok).alias("errors"))
+def feed_health(polls: DataFrame, body_col: str = "body") -> DataFrame:
+    """Polled messages, errors and success rate (%) of quote envelopes.
+
+    A message is an envelope that yields a tick (``flatten_quotes``): JSON that is
+    no error response and has a quote of at least one currency. Error responses,
+    text that is not JSON, empty envelopes and nulls are errors.
+    """
+    q = F.from_json(F.col(body_col), QUOTE_SCHEMA)
+    quoted = F.exists(F.map_values(q["RAW"]), lambda by_currency: F.size(by_currency) > 0)
+    ok = F.coalesce((F.coalesce(q["Response"], F.lit("")) != "Error") & quoted, F.lit(False))
+    agg = polls.select(ok.alias("ok")).agg(F.count_if("ok").alias("messages"), F.count_if(~F.col("ok")).alias("errors"))
     total = F.col("messages") + F.col("errors")
     return agg.withColumn(
         "success_rate_pct",

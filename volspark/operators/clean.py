@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from volspark.functions import event_date, event_time, iso_datetime, quote_value
@@ -101,8 +101,48 @@ def parse_candle_responses(df: DataFrame, body_col: str = "body",
     return rows.select(*keep, "_c.*")
 
 
-def normalize_candles(df: DataFrame, symbol=None, interval=None) -> DataFrame:
-    """Raw candle columns -> the 11 stored columns in fixed order.
+def latest_candles(df: DataFrame, version: str) -> DataFrame:
+    """One candle per (symbol, interval, timestamp): the one of the newest ``version``.
+
+    Candles of one version that differ are settled by their values, so the result
+    does not depend on the order of rows. ``version`` is not returned.
+    """
+    key = ["symbol", "interval", "timestamp"]
+    values = [c for c in df.columns if c not in (*key, version)]
+    newest = F.max_by(F.struct(*values), F.struct(version, *values))
+    return df.groupBy(*key).agg(newest.alias("_c")).select(*[c if c in key else F.col(f"_c.{c}").alias(c)
+                                                             for c in df.columns if c != version])
+
+
+def candle_gaps(candles: DataFrame, steps: dict[str, int]) -> DataFrame:
+    """Missing and repeated ranges of candle pages, per (symbol, interval).
+
+    ``steps``: seconds between candles per interval name. A ``missing`` range is
+    what lies between two neighbouring candles more than one step apart; a
+    ``repeated`` range is a run of successive candles that all came more than once.
+    ``first`` and ``last`` are the range's outer timestamps, ``candles`` how many are
+    missing or superfluous. Candles without a timestamp and other intervals are left out.
+    """
+    series = ["symbol", "interval"]
+    step = F.coalesce(*[F.when(F.col("interval") == name, F.lit(seconds)) for name, seconds in steps.items()])
+    times = (candles.groupBy(*series, "timestamp").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("step", step.cast("long")).where("step is not null and timestamp is not null"))
+    in_time = Window.partitionBy(*series).orderBy("timestamp")
+    missing = (times.withColumn("next", F.lead("timestamp").over(in_time)).where("next - timestamp > step")
+               .select(*series, F.lit("missing").alias("kind"), (F.col("timestamp") + F.col("step")).alias("first"),
+                       (F.col("next") - F.col("step")).alias("last"),
+                       F.expr("(next - timestamp - 1) div step").alias("candles")))
+    # successive candles of a run share their time minus their rank's steps
+    island = F.col("timestamp") - F.row_number().over(in_time) * F.col("step")
+    repeated = (times.where("n > 1").withColumn("island", island).groupBy(*series, "island")
+                .agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+                     F.sum(F.col("n") - 1).alias("candles"))
+                .select(*series, F.lit("repeated").alias("kind"), "first", "last", "candles"))
+    return missing.unionByName(repeated)
+
+
+def normalize_candles(df: DataFrame, symbol=None, interval=None, keep=()) -> DataFrame:
+    """Raw candle columns -> the 11 stored columns in fixed order (and ``keep``).
 
     time -> timestamp, close -> price, volumefrom -> volume; datetime is a
     timestamp and date a ``yyyy-MM-dd`` string (as the bulk files store them).
@@ -122,9 +162,9 @@ def normalize_candles(df: DataFrame, symbol=None, interval=None) -> DataFrame:
         F.col("close").alias("price"),
         "open", "high", "low",
         F.col("volumefrom").alias("volume"),
-        "volumeto",
+        "volumeto", *keep,
     )
-    return out.select(*CANDLE_COLUMNS)
+    return out.select(*CANDLE_COLUMNS, *keep)
 
 
 def history_union(streamed: DataFrame, bulk: DataFrame) -> DataFrame:

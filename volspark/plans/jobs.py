@@ -9,18 +9,20 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from volspark import sinks
 from volspark.operators import analysis as A
 from volspark.operators.clean import (
-    flatten_quotes, good, normalize_candles, parse_candle_responses, parse_ticks, quality_check,
-    quarantined,
+    flatten_quotes, good, latest_candles, normalize_candles, parse_candle_responses, parse_ticks,
+    quality_check, quarantined,
 )
 from volspark.operators.metrics import candle_metrics
-from volspark.schemas import ANALYSIS_REQUIRED, HISTORY_MIN_GB, stream_tick_schema
-from volspark.session import ensure_conf
+from volspark.schemas import ANALYSIS_REQUIRED, CANDLE_COLUMNS, HISTORY_MIN_GB, stream_tick_schema
+from volspark.session import ensure_conf, keep
 from volspark.sources.files import (
-    CORRUPT, read_candle_responses, read_history, read_quotes, storage_volume, stream_json_ticks,
+    CORRUPT, path_exists, read_candle_responses, read_history, read_quotes, storage_volume,
+    stream_json_ticks,
 )
 from volspark.sources.kafka import read_ticks_stream, to_kafka_value, write_ticks
 from volspark.streaming.stream import RollingMetricsSink, start
@@ -54,23 +56,69 @@ def batch_analysis(spark: SparkSession, history_path: str, out_dir: str, *,
     return out
 
 
+SERIES = ["symbol", "interval"]
+LONGEST_FRAME = 86400           # seconds of candle_metrics
+
+
 def candle_backfill(spark: SparkSession, landed_path: str, out_dir: str, *,
                     min_gb: float = HISTORY_MIN_GB) -> dict:
-    """Landed candle responses -> normalized candles and their metrics -> volume audit.
+    """Landed candle responses -> stored candles and their metrics -> volume audit.
+
+    Every run adds what its landing holds: candles are upserted by (symbol,
+    interval, timestamp), and a candle that was polled again is replaced (within a
+    landing the newest file wins). Metrics are recomputed per series from its first
+    new or changed candle on; series without a change are not written. The tables are
+    put together in the scratch folder before a partition is replaced, and changes are
+    found against the stored metrics, so a run that was cut off can be repeated.
 
     Returns the paths of ``candles`` and ``metrics`` (both partitioned by symbol
     and interval) and of the one-row ``audit``.
     """
     ensure_conf(spark)
     out = {name: os.path.join(out_dir, name) for name in ("candles", "metrics", "audit")}
-    landed = parse_candle_responses(read_candle_responses(spark, landed_path))
-    sinks.write_candles(normalize_candles(landed), out["candles"])
-    candles = spark.read.parquet(out["candles"])
-    sinks.write_candles(candle_metrics(candles), out["metrics"])
+    raw = parse_candle_responses(read_candle_responses(spark, landed_path), keep=(*SERIES, "polled_at"))
+    landed = keep(latest_candles(normalize_candles(raw, keep=("polled_at",)), "polled_at"), "landed-candles")
+    stored = _stored_series(spark, out["candles"], landed)
+    candles = landed
+    if stored is not None:
+        both = stored.withColumn("run", F.lit(0)).unionByName(landed.withColumn("run", F.lit(1)))
+        candles = keep(latest_candles(both, "run"), "candles")
+    sinks.write_candles(candles, out["candles"])
+    _refresh_metrics(spark, candles, out["metrics"])
     sinks.write_result(storage_volume(spark, out["candles"], min_gb), out["audit"])
     return out
 
 
+def _stored_series(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+    """The stored rows of the series that ``like`` has; None before the first run."""
+    if not path_exists(spark, path):
+        return None
+    stored = spark.read.parquet(path)
+    stored = stored.withColumns({c: F.col(c).cast("string") for c in SERIES})     # folder names
+    return stored.join(like.select(*SERIES).distinct(), SERIES, "left_semi")
+
+
+def _refresh_metrics(spark: SparkSession, candles: DataFrame, path: str) -> None:
+    """Bring the stored metrics of the series of ``candles`` up to date."""
+    stored = _stored_series(spark, path, candles)
+    changed = candles.select(*CANDLE_COLUMNS)
+    if stored is not None:
+        changed = changed.subtract(stored.select(*CANDLE_COLUMNS))
+    since = keep(changed.groupBy(*SERIES).agg(F.min("timestamp").alias("since")), "changed-series")
+    rows = candles.join(since, SERIES)
+    near = F.col("timestamp") >= F.col("since") - LONGEST_FRAME
+    # the candle before the look-back gives its first return
+    carry = (rows.where(~near).groupBy(*SERIES)
+             .agg(F.max_by(F.struct(*[c for c in rows.columns if c not in SERIES]), "timestamp").alias("_c"))
+             .select(*SERIES, "_c.*"))
+    fresh = (candle_metrics(rows.where(near).unionByName(carry.select(*rows.columns)))
+             .where("timestamp >= since").drop("since"))
+    if stored is not None:
+        older = stored.join(since, SERIES).where("timestamp < since").drop("since")
+        fresh = fresh.unionByName(older)
+    sinks.write_candles(keep(fresh, "candle-metrics"), path)
+
+
 def quote_snapshots(spark: SparkSession, quotes_path: str, out_dir: str, *,
                     kafka_bootstrap: str | None = None, topic: str | None = None) -> dict:
     """Landed quote polls -> ticks -> quality check -> tick sink (Kafka, else JSON lines).
@@ -79,7 +127,8 @@ def quote_snapshots(spark: SparkSession, quotes_path: str, out_dir: str, *,
     """
     ensure_conf(spark)
     out = {name: os.path.join(out_dir, name) for name in ("ticks", "quarantine")}
-    checked = quality_check(flatten_quotes(read_quotes(spark, quotes_path), keep=("seq",)))
+    # both outputs read it: parsed once
+    checked = keep(quality_check(flatten_quotes(read_quotes(spark, quotes_path), keep=("seq",))), "checked-quotes")
     accepted = good(checked)
     if kafka_bootstrap:
         write_ticks(accepted, kafka_bootstrap, topic)

@@ -106,7 +106,7 @@ QUOTES = f"""q AS (
     {", ".join(_quote(i + 1, n) for i, n in enumerate(
         ["open24h", "high24h", "low24h", "volume24h", "volumeto24h", "change24h", "changepct24h",
          "market_cap", "supply"]))}
-  FROM events WHERE event_id % 50 <> 0)"""
+  FROM events WHERE event_id % 50 <> 0 AND event_id % 53 <> 1 AND event_id % 59 <> 2)"""
 
 TICK_REST = ["open24h", "high24h", "low24h", "volume24h", "volumeto24h", "change24h", "changepct24h",
              "market_cap", "supply"]
@@ -191,10 +191,9 @@ SELECT seq, "timestamp", datetime, symbol, currency, price FROM q"""
     q["quote_defaults"] = f"""WITH {QUOTES}
 SELECT seq, open24h, high24h, low24h, volume24h, volumeto24h, change24h, changepct24h,
   market_cap, supply FROM q"""
-    q["feed_health"] = """SELECT count(*) FILTER (WHERE event_id % 50 <> 0) AS messages,
-  count(*) FILTER (WHERE event_id % 50 = 0) AS errors,
-  count(*) FILTER (WHERE event_id % 50 <> 0) * 100.0 / count(*) AS success_rate_pct
-FROM events"""
+    q["feed_health"] = """SELECT count(*) FILTER (WHERE ok) AS messages, count(*) FILTER (WHERE NOT ok) AS errors,
+  count(*) FILTER (WHERE ok) * 100.0 / count(*) AS success_rate_pct
+FROM (SELECT event_id % 50 <> 0 AND event_id % 53 <> 1 AND event_id % 59 <> 2 AS ok FROM events)"""
     q["candle_parse"] = f"""WITH {TICKS},
 {CANDLES}
 SELECT symbol, interval, time, open, high, low, close, volumefrom, {R2('volumeto')} AS volumeto
@@ -277,6 +276,20 @@ SELECT seq, "timestamp", price, {R6('log_return')} AS log_return, {R6('volatilit
         f"{R6(THRESHOLD)} AS threshold, (SELECT hour_of_day FROM m GROUP BY hour_of_day "
         f"ORDER BY avg(volatility_1h) DESC, hour_of_day LIMIT 1) AS peak_hour FROM m")
     q["backfill_job"] = q["candle_metrics"]
+    q["backfill_incremental"] = q["candle_metrics"]
+    q["candle_gaps"] = f"""WITH {TICKS},
+s AS (SELECT min(seq) AS least, max(seq) - min(seq) + 1 AS n FROM ticks),
+h AS (SELECT min("timestamp") // 3600 * 3600 AS half FROM ticks, s WHERE (seq - least) * 2 // n >= 1),
+c AS (
+  SELECT DISTINCT symbol, "timestamp" // 3600 * 3600 AS t, 1 AS poll FROM ticks, s WHERE (seq - least) * 5 // n < 3
+  UNION ALL SELECT DISTINCT symbol, "timestamp" // 3600 * 3600, 2 FROM ticks, h WHERE "timestamp" >= half),
+g AS (SELECT symbol, t, count(*) AS n FROM c GROUP BY symbol, t),
+o AS (SELECT *, lead(t) OVER (PARTITION BY symbol ORDER BY t) AS next FROM g),
+r AS (SELECT symbol, t, n, t - 3600 * row_number() OVER (PARTITION BY symbol ORDER BY t) AS island FROM g WHERE n > 1),
+f AS (SELECT symbol, 'missing' AS kind, t + 3600 AS first, next - 3600 AS last, (next - t) // 3600 - 1 AS candles
+      FROM o WHERE next - t > 3600
+      UNION ALL SELECT symbol, 'repeated', min(t), max(t), CAST(sum(n - 1) AS BIGINT) FROM r GROUP BY symbol, island)
+SELECT 'S' || CAST(symbol AS VARCHAR) AS symbol, 'hourly' AS interval, kind, first, last, candles FROM f"""
     q["quote_job"] = f"""WITH {QUOTES}
 SELECT seq, "timestamp", datetime, symbol, price, open24h, supply FROM q WHERE price > 0"""
     q["spike_threshold_approx"] = "SELECT true AS rank_within_error"

@@ -23,7 +23,7 @@ from volspark.plans import streams as ST
 from volspark.operators.metrics import STANDIN_24H, candle_metrics, tick_metrics
 from volspark.schemas import (
     ANALYSIS_REQUIRED, CANDLE_COLUMNS, DASHBOARD_SCHEMA, HISTORY_MIN_GB, LATEST_N,
-    QUOTE_SCHEMA, SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, stream_tick_schema,
+    SPIKE_COLUMNS, SPIKE_PERCENTILE, SPIKE_RELATIVE_ERROR, stream_tick_schema,
 )
 from volspark.session import ensure_conf, keep, scratch_path
 from volspark.sources import files
@@ -119,9 +119,7 @@ def registry() -> dict[str, QueryFn]:
     q["quote_defaults"] = lambda s, d: _quotes(s, d).select(
         "seq", "open24h", "high24h", "low24h", "volume24h", "volumeto24h", "change24h",
         "changepct24h", "market_cap", "supply")
-    q["feed_health"] = lambda s, d: A.feed_health(
-        FX.quote_envelopes(FX.read_table(s, d, "events"))
-        .select(F.from_json("body", QUOTE_SCHEMA)["Response"].alias("Response")))
+    q["feed_health"] = lambda s, d: A.feed_health(FX.quote_envelopes(FX.read_table(s, d, "events")))
     q["candle_parse"] = lambda s, d: report(_candle_raw(s, d))
     q["candle_normalize"] = lambda s, d: report(_candles(s, d))
     q["candle_metrics"] = lambda s, d: report(candle_metrics(_candles(s, d)).select(
@@ -145,6 +143,8 @@ def registry() -> dict[str, QueryFn]:
     # --- jobs
     q["batch_job_summary"] = _batch_job_summary
     q["backfill_job"] = _backfill_job
+    q["backfill_incremental"] = _backfill_incremental
+    q["candle_gaps"] = _candle_gaps
     q["quote_job"] = _quote_job
     # --- streaming
     q["stream_tick_metrics"] = lambda s, d: _stream_metrics(s, ST.rolling_stream(s, d))
@@ -276,18 +276,43 @@ def _batch_job_summary(spark, sf_dir):
     return report(spark.read.parquet(out["summary"]))
 
 
+def _landed(spark, ticks_df):
+    """Candle responses of ticks as landed files."""
+    path = scratch_path(spark, "landed")
+    (FX.candle_responses(ticks_df).hint("rebalance", F.col("symbol"))
+       .write.partitionBy("symbol", "interval").text(path))
+    return path
+
+
 def _backfill_job(spark, sf_dir):
     """Landed candle responses through the backfill job: the stored candle metrics."""
     ensure_conf(spark)
-    landed = scratch_path(spark, "landed")
-    (FX.candle_responses(ticks(spark, sf_dir)).hint("rebalance", F.col("symbol"))
-       .write.partitionBy("symbol", "interval").text(landed))
-    out = jobs.candle_backfill(spark, landed, scratch_path(spark, "backfill"))
+    return _backfilled(spark, [ticks(spark, sf_dir)])
+
+
+def _backfill_incremental(spark, sf_dir):
+    """Two landings that overlap, the second with the full candles of the first one's last hour."""
+    ensure_conf(spark)
+    return _backfilled(spark, FX.landings(ticks(spark, sf_dir)))
+
+
+def _backfilled(spark, polls):
+    base = scratch_path(spark, "backfill")
+    for poll in polls:
+        out = jobs.candle_backfill(spark, _landed(spark, poll), base)
     return report(spark.read.parquet(out["metrics"]).select(
         "symbol", "interval", "timestamp", "price", "log_return", "price_change_pct",
         "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h"))
 
 
+def _candle_gaps(spark, sf_dir):
+    """Missing and repeated hours of two landings together."""
+    ensure_conf(spark)
+    first, second = (C.normalize_candles(C.parse_candle_responses(FX.candle_responses(poll)))
+                     for poll in FX.landings(ticks(spark, sf_dir)))
+    return C.candle_gaps(first.unionByName(second), {"hourly": 3600, "minute": 60})
+
+
 def _quote_job(spark, sf_dir):
     """Landed quote polls through the snapshot job: the tick messages, parsed."""
     landed = scratch_path(spark, "quotes")

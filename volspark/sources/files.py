@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from volspark.schemas import TICK_SCHEMA
 
 CORRUPT = "_corrupt_record"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _json_reader(reader, schema: T.StructType):
@@ -46,11 +47,20 @@ def read_history(spark: SparkSession, path: str, date_from=None, date_to=None) -
 
 
 def stored_dates(spark: SparkSession, path: str) -> list[datetime.date]:
-    """The ``date=`` partitions of a history, newest first (folder names only, no file is read)."""
+    """The ``date=`` partitions of a history, newest first (folder names only, no file is read).
+
+    The partition of rows without a date is not among them.
+    """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [s.getPath().getName() for s in fs.listStatus(folder)]
-    return sorted((datetime.date.fromisoformat(n[5:]) for n in names if n.startswith("date=")), reverse=True)
+    return sorted((datetime.date.fromisoformat(n[5:]) for n in names
+                   if n.startswith("date=") and n != "date=" + NULL_PARTITION), reverse=True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def read_latest(spark: SparkSession, path: str, n: int) -> DataFrame:
@@ -69,9 +79,11 @@ def read_latest(spark: SparkSession, path: str, n: int) -> DataFrame:
 
 def read_candle_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed candle responses, one JSON document per line, under
-    ``symbol=<s>/interval=<i>/`` directories -> (symbol, interval, body)."""
-    return (spark.read.option("basePath", path).text(path)
-            .withColumnRenamed("value", "body"))
+    ``symbol=<s>/interval=<i>/`` directories -> (symbol, interval, body, polled_at).
+
+    ``polled_at`` is the time of the file, which orders polls of the same candle."""
+    return spark.read.option("basePath", path).text(path).select(
+        "symbol", "interval", F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("polled_at"))
 
 
 def read_quotes(spark: SparkSession, path: str) -> DataFrame:

@@ -67,7 +67,8 @@ def quote_envelopes(events: DataFrame) -> DataFrame:
     symbol = 'S' || user_id, currency USD, PRICE = value, the other fields
     value + i (i = 1..9); event_id % 7 = 0 leaves the other fields out and
     event_id % 50 = 0 is an error envelope. event_id % 11 = 3 sends all numbers
-    as text, 4 junk text in OPEN24HOUR, 5 an explicit null in HIGH24HOUR.
+    as text, 4 junk text in OPEN24HOUR, 5 an explicit null in HIGH24HOUR. Polls
+    that failed otherwise: event_id % 53 = 1 is not JSON, % 59 = 2 an empty envelope.
     """
     from volspark.schemas import QUOTE_TO_TICK
     t = F.unix_timestamp(F.col("ts")).cast("long")
@@ -91,7 +92,9 @@ def quote_envelopes(events: DataFrame) -> DataFrame:
     raw = F.concat(F.lit('{"'), sym, F.lit('":{"' + QUOTE_CURRENCY + '":{'), inner, F.lit("}}}"))
     ok_body = F.concat(F.lit('{"RAW":'), raw, F.lit("}"))
     err_body = F.lit('{"Response":"Error","Message":"rate limit exceeded"}')
-    body = F.when(F.col("event_id") % 50 == 0, err_body).otherwise(ok_body)
+    body = (F.when(F.col("event_id") % 50 == 0, err_body)
+             .when(F.col("event_id") % 53 == 1, F.lit("<html>bad gateway</html>"))
+             .when(F.col("event_id") % 59 == 2, F.lit("{}")).otherwise(ok_body))
     return events.select(F.col("event_id").alias("seq"), t.alias("timestamp"), body.alias("body"))
 
 
@@ -120,6 +123,16 @@ def candle_responses(ticks_df: DataFrame, seconds: int = 3600,
     return ok.unionByName(err)
 
 
+def landings(ticks_df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ticks of two candle polls that overlap: the first 60 % by seq, whose last hour is
+    partial, and all from the hour in which the second half begins."""
+    ends = ticks_df.agg(F.min("seq").alias("least"), F.max("seq").alias("most"))
+    least, most = (ends.select(c).scalar() for c in ("least", "most"))
+    at = lambda n: F.floor((F.col("seq") - least) * n / (most - least + 1))
+    half = ticks_df.where(at(2) >= 1).agg(F.min("timestamp").alias("t")).select((F.col("t") - F.col("t") % 3600).alias("t"))
+    return ticks_df.where(at(5) < 3), ticks_df.where(F.col("timestamp") >= half.scalar())
+
+
 def quality_input(ticks_df: DataFrame) -> DataFrame:
     """Dirty ticks by seq % 11: price 0 (0), negative (1), NULL (2), NaN (4), infinite (5);
     timestamp in milliseconds (3), NULL (6); volume24h -1 (7), NaN (8), else the price."""
