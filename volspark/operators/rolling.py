@@ -12,8 +12,12 @@ values with only linear, bounded-size work per task:
 
   - prefix: rows of bucket ``s`` with time <= t (running aggregate,
     ascending order, growing frame -> O(n));
-  - middle: whole buckets ``s - F/w + 1 .. s - 1`` (a per-bucket totals table,
-    pre-aggregated map-side, then a short range window over buckets);
+  - middle: whole buckets ``s - F/w + 1 .. s - 1``. Up to ``DIRECT_SPAN`` buckets a
+    frame, each bucket sends its totals, in the exchange of the rows, to the
+    non-empty buckets whose middle it belongs to. Beyond that totals are summed
+    in a dyadic tree (node i of level l holds the buckets i * 2**l up to the next
+    node's), and a bucket asks for the at most 2 * log2(F/w) nodes that its middle
+    consists of: narrow buckets, which split bursts, cost a logarithm of rows;
   - suffix: rows of bucket ``s - F/w`` with time >= t - F. Each row is copied
     once per frame into bucket ``s + F/w`` with its time shifted by ``F``;
     a running aggregate in descending order gives the suffix (O(n)).
@@ -54,6 +58,7 @@ class FrameAgg:
     seconds: int
 
 
+DIRECT_SPAN = 32         # buckets of the longest frame up to which totals are sent one by one
 MIN_BUCKET = 60          # seconds; narrower buckets would mean more totals than rows
 UNTIMED = 1 << 40        # first bucket of rows without a time, after every real one
 UNTIMED_BUCKETS = 1024
@@ -93,12 +98,15 @@ def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
     """Previous ``value_col`` in (time, seq) order within the series.
 
     ``df`` must carry the series key and bucket columns. Output is
-    hash-partitioned by (series, bucket). With ``lookahead`` > 0 each row
-    also gets ``_targets``: the non-empty buckets in (b, b + lookahead], taken
-    from the same small per-bucket table (used by ``rolling``).
+    hash-partitioned by (series, bucket). With a ``lookahead`` of 1 up to
+    ``DIRECT_SPAN`` buckets each row also gets ``_targets``: the non-empty buckets in
+    (b, b + lookahead], taken from the same small per-bucket table; ``rolling``
+    then sends totals to them, else it builds the dyadic tree.
     """
     sk = _series(df)
     part = sk + [BK]
+    if lookahead >= DIRECT_SPAN:
+        lookahead = 0
     order = F.struct(F.col(time_col), F.col(seq_col))
     # one row per non-empty bucket: its last value, then the previous bucket's
     last = (df.groupBy(*part)
@@ -151,6 +159,48 @@ def _merge(kind: str, parts: list[Column]) -> Column:
     return F.least(*parts) if len(parts) > 1 else parts[0]
 
 
+def dyadic_nodes(bucket: Column, span: int) -> Column:
+    """The nodes (level, node) that make up the buckets ``bucket - span + 1 .. bucket - 1``.
+
+    Bottom-up over [lo, hi): a level gives its first node when that is a right
+    child and its last one when that is a left child; the rest is whole nodes above.
+    """
+    nodes = []
+    for level in range(max(span - 1, 1).bit_length()):
+        width = 1 << level
+        lo = F.ceil((bucket - (span - 1)) / F.lit(width)).cast("long")
+        hi = F.floor(bucket / F.lit(width)).cast("long")
+        some = lo < hi
+        for odd, node in ((lo, lo), (hi, hi - 1)):
+            nodes.append(F.when(some & (F.pmod(odd, F.lit(2)) == 1), F.struct(F.lit(level).alias("level"), node.alias("node"))))
+    return F.filter(F.array(*nodes), lambda n: n.isNotNull())
+
+
+def _dyadic_middle(df: DataFrame, mid_parts: dict, spans: dict, tname: dict) -> DataFrame:
+    """Per (series, bucket): the middle of every frame, from the nodes of the dyadic tree."""
+    sk = _series(df)
+    by_node = [*sk, "level", "node"]
+    totals = df.groupBy(*sk, BK).agg(*[_part_expr(kind, F.col(column)).alias(name) for (kind, column), name in {
+        (k[0], k[1]): tname[k] for k in mid_parts}.items()])
+    names = sorted(set(tname.values()))
+    kinds = {tname[k]: k[0] for k in mid_parts}
+    levels = F.array(*[F.struct(F.lit(level).alias("level"), F.floor(F.col(BK) / F.lit(1 << level)).cast("long").alias("node"))
+                       for level in range((max(spans.values()) - 1).bit_length())])
+    nodes = (totals.select(*sk, *names, F.explode(levels).alias("n")).select(*sk, "n.*", *names)
+             .groupBy(*by_node).agg(*[_combine_expr(kinds[n], F.col(n)).alias(n) for n in names]))
+
+    def nodes_of(span: int) -> Column:
+        return F.transform(dyadic_nodes(F.col(BK), span), lambda n: F.struct(
+            n["level"].alias("level"), n["node"].alias("node"), F.lit(span).alias("span")))
+
+    wanted = F.concat(*[nodes_of(span) for span in sorted(set(spans.values()))])
+    asked = totals.select(*sk, BK, F.explode(wanted).alias("n")).select(*sk, BK, "n.*")
+    found = asked.join(nodes, by_node)
+    return found.groupBy(*sk, BK).agg(*[
+        _combine_expr(key[0], F.when(F.col("span") == spans[key], F.col(tname[key]))).alias(f"{p}_m")
+        for key, p in mid_parts.items()])
+
+
 def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
             width: int, order_cols=None) -> DataFrame:
     """Add one column per ``FrameAgg``; ``df`` carries series key and bucket.
@@ -188,9 +238,7 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
     spans = {key: key[2] // width for key in parts}
     mid_parts = {key: p for key, p in parts.items() if spans[key] > 1}
     tname = {key: f"_t_{key[0]}_{key[1]}" for key in mid_parts}
-    summaries = TG in df.columns and bool(mid_parts)
-    if TG in df.columns and not summaries:
-        df = df.drop(TG)
+    summaries = TG in df.columns
 
     # -- expansion: own row (role 0) plus one shifted copy per frame length
     def gen_struct(role, tb, okey, k):
@@ -240,16 +288,7 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
 
     middle = None
     if mid_parts and not summaries:
-        # totals table path: per-bucket totals, then whole buckets strictly
-        # inside the frame; ``df`` comes hash-partitioned by (series, bucket)
-        tot = {tname[k]: _part_expr(k[0], F.col(k[1])).alias(tname[k]) for k in mid_parts}
-        totals = df.groupBy(*part_cols).agg(*tot.values())
-        mid_cols = []
-        for key, pname in mid_parts.items():
-            wmid = Window.partitionBy(*sk).orderBy(BK).rangeBetween(-(spans[key] - 1), -1)
-            mid_cols.append(_combine_expr(key[0], F.col(tname[key])).over(wmid)
-                            .alias(f"{pname}_m"))
-        middle = totals.select(*part_cols, *mid_cols)
+        middle = _dyadic_middle(df, mid_parts, {k: spans[k] for k in mid_parts}, tname)
 
     # -- prefix (ascending running aggregate of own rows) and suffix
     #    (descending running aggregate of the shifted copies)
