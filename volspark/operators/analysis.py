@@ -76,14 +76,15 @@ def spike_threshold(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool =
 
 
 def volatility_spikes(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool = True,
-                      ordered: bool = False) -> DataFrame:
+                      ordered: bool = False, found: DataFrame | None = None) -> DataFrame:
     """Rows with volatility_24h strictly above the quantile (nulls out);
     ``ordered`` by volatility, largest first.
 
     The threshold is a scalar subquery: no join, no driver round trip. Empty
-    or all-null input gives an empty result (the threshold is NULL).
+    or all-null input gives an empty result (the threshold is NULL). ``found`` is a
+    threshold that is known already (one row, ``quantile``).
     """
-    thr = threshold(spike_threshold(df, q, exact=exact))
+    thr = threshold(spike_threshold(df, q, exact=exact) if found is None else found)
     out = df.filter(F.col("volatility_24h") > thr).select(*SPIKE_COLUMNS)
     return out.orderBy(F.desc("volatility_24h"), F.desc("datetime")) if ordered else out
 
@@ -93,9 +94,10 @@ def top_spikes(df: DataFrame, n: int = TOP_SPIKES, **kw) -> DataFrame:
     return volatility_spikes(df, **kw).orderBy(F.desc("volatility_24h"), F.desc("datetime")).limit(n)
 
 
-def analysis_summary(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool = True) -> DataFrame:
-    """A5: total records, days and spikes in one aggregation pass."""
-    thr = threshold(spike_threshold(df, q, exact=exact))
+def analysis_summary(df: DataFrame, q: float = SPIKE_PERCENTILE, *, exact: bool = True,
+                     found: DataFrame | None = None) -> DataFrame:
+    """A5: total records, days and spikes in one aggregation pass (``found``: see ``volatility_spikes``)."""
+    thr = threshold(spike_threshold(df, q, exact=exact) if found is None else found)
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_distinct("date").alias("total_days"),

@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 
 from volspark import sinks
 from volspark.operators import analysis as A
+from volspark.operators import partials as P
 from volspark.operators.clean import (
     flatten_quotes, good, latest_candles, normalize_candles, parse_candle_responses, parse_ticks,
     quality_check, quarantined,
 )
 from volspark.operators.metrics import candle_metrics
-from volspark.schemas import ANALYSIS_REQUIRED, CANDLE_COLUMNS, HISTORY_MIN_GB, stream_tick_schema
+from volspark.schemas import ANALYSIS_REQUIRED, CANDLE_COLUMNS, HISTORY_MIN_GB, SPIKE_PERCENTILE, stream_tick_schema
 from volspark.session import ensure_conf, keep
 from volspark.sources.files import (
     CORRUPT, path_exists, read_candle_responses, read_history, read_quotes, storage_volume,
-    stream_json_ticks,
+    stored_dates, stream_json_ticks,
 )
 from volspark.sources.kafka import read_ticks_stream, to_kafka_value, write_ticks
 from volspark.streaming.stream import RollingMetricsSink, start
@@ -46,16 +47,47 @@ def batch_analysis(spark: SparkSession, history_path: str, out_dir: str, *,
     sinks.write_result(A.daily_stats(hist, ordered), out["daily_stats"])
     sinks.write_result(A.hourly_pattern(hist, ordered=ordered), out["hourly_pattern"])
     sinks.write_result(A.peak_hour(hist), out["peak_hour"])
-    sinks.write_result(A.volatility_spikes(hist, exact=exact_threshold, ordered=ordered),
-                       out["volatility_spikes"])
+    # found once, read by the spikes and the summary
+    found = keep(A.spike_threshold(hist, exact=exact_threshold), "threshold")
+    sinks.write_result(A.volatility_spikes(hist, ordered=ordered, found=found), out["volatility_spikes"])
     peak = spark.read.parquet(out["peak_hour"])
-    summary = A.analysis_summary(hist, exact=exact_threshold).select(
-        "*", A.spike_threshold(hist, exact=exact_threshold).select("quantile").scalar().alias("threshold"),
-        peak.select("hour_of_day").scalar().alias("peak_hour"))
+    summary = A.analysis_summary(hist, found=found).select(
+        "*", found.select("quantile").scalar().alias("threshold"), peak.select("hour_of_day").scalar().alias("peak_hour"))
     sinks.write_result(summary, out["summary"])
     return out
 
 
+def incremental_analysis(spark: SparkSession, history_path: str, state_path: str, out_dir: str, *,
+                         changed: list | None = None, q: float = SPIKE_PERCENTILE) -> dict:
+    """Daily statistics, hour-of-day pattern, spikes and threshold, reading only new dates and the spike band.
+
+    ``state_path`` holds the day partials. ``changed``: dates that were written since
+    the last run (late ticks, backfills); dates that the state lacks are always
+    added, those that left the history are not looked for. Results are overwritten
+    as a whole; returns the output paths.
+    """
+    ensure_conf(spark)
+    out = {name: os.path.join(out_dir, name) for name in
+           ("daily_stats", "hourly_pattern", "threshold", "volatility_spikes")}
+    known = set(stored_dates(spark, state_path)) if path_exists(spark, state_path) else set()
+    fresh = sorted((set(stored_dates(spark, history_path)) - known) | set(changed or []))
+    hist = read_history(spark, history_path)
+    if fresh:
+        sinks.write_history(P.day_partials(hist.where(F.col("date").isin(fresh))), state_path)
+    partials = spark.read.parquet(state_path)
+    sinks.write_result(P.daily_stats(partials), out["daily_stats"])
+    sinks.write_result(P.hourly_pattern(partials), out["hourly_pattern"])
+    dated = hist.where(F.col("date").isNotNull())
+    sinks.write_result(P.spike_threshold(dated, partials, q), out["threshold"])
+    found = spark.read.parquet(out["threshold"])
+    top = found.first().quantile
+    # spikes are looked for in dates that have any
+    dates = [r.date for r in partials.groupBy("date").agg(F.max("vol_max").alias("m")).where(F.col("m") > top).collect()
+             ] if top is not None else []
+    sinks.write_result(A.volatility_spikes(dated.where(F.col("date").isin(dates)), found=found), out["volatility_spikes"])
+    return out
+
+
 SERIES = ["symbol", "interval"]
 LONGEST_FRAME = 86400           # seconds of candle_metrics
 

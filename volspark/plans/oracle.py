@@ -275,6 +275,8 @@ SELECT seq, "timestamp", price, {R6('log_return')} AS log_return, {R6('volatilit
         f"count(*) FILTER (WHERE volatility_24h > {THRESHOLD}) AS spike_count, "
         f"{R6(THRESHOLD)} AS threshold, (SELECT hour_of_day FROM m GROUP BY hour_of_day "
         f"ORDER BY avg(volatility_1h) DESC, hour_of_day LIMIT 1) AS peak_hour FROM m")
+    for k in ("daily_stats", "hourly_pattern", "spike_threshold", "volatility_spikes"):
+        q[f"{k}_incremental"] = q[k]
     q["backfill_job"] = q["candle_metrics"]
     q["backfill_incremental"] = q["candle_metrics"]
     q["candle_gaps"] = f"""WITH {TICKS},

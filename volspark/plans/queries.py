@@ -142,6 +142,11 @@ def registry() -> dict[str, QueryFn]:
     q["volume_audit"] = _volume_audit
     # --- jobs
     q["batch_job_summary"] = _batch_job_summary
+    q["daily_stats_incremental"] = lambda s, d: report(s.read.parquet(_incremental(s, d)["daily_stats"]))
+    q["hourly_pattern_incremental"] = lambda s, d: report(s.read.parquet(_incremental(s, d)["hourly_pattern"]))
+    q["spike_threshold_incremental"] = lambda s, d: report(
+        s.read.parquet(_incremental(s, d)["threshold"]).withColumnRenamed("quantile", "threshold"))
+    q["volatility_spikes_incremental"] = lambda s, d: report(s.read.parquet(_incremental(s, d)["volatility_spikes"]))
     q["backfill_job"] = _backfill_job
     q["backfill_incremental"] = _backfill_incremental
     q["candle_gaps"] = _candle_gaps
@@ -276,6 +281,22 @@ def _batch_job_summary(spark, sf_dir):
     return report(spark.read.parquet(out["summary"]))
 
 
+def _incremental(spark, sf_dir):
+    """The incremental analysis, run when most dates are stored and again when all are.
+
+    The last date of the first run grows with the second one: it is named as changed.
+    """
+    history, state, out = (scratch_path(spark, n) for n in ("history", "partials", "analysis"))
+    whole = keep(metrics(spark, sf_dir), "all-metrics")
+    cut = whole.agg(F.max("event_time").alias("t")).select((F.col("t") - F.expr("INTERVAL 60 HOURS")).alias("t")).scalar()
+    early = whole.where(F.col("event_time") < cut)
+    sinks.write_history(early, history)
+    jobs.incremental_analysis(spark, history, state, out)
+    seam = early.agg(F.max("date")).first()[0]
+    sinks.write_history(whole.where(F.col("date") >= F.lit(seam)), history)
+    return jobs.incremental_analysis(spark, history, state, out, changed=[seam])
+
+
 def _landed(spark, ticks_df):
     """Candle responses of ticks as landed files."""
     path = scratch_path(spark, "landed")

@@ -41,6 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")   # call sites of every expression
     )
     for k, v in {**REQUIRED_CONF, **RECOMMENDED_CONF}.items():
         builder = builder.config(k, v)
