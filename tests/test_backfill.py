@@ -3,8 +3,10 @@
 import json
 import os
 
+import pytest
+
 from volspark import sinks
-from volspark.operators.clean import candle_gaps, latest_candles, normalize_candles
+from volspark.operators.clean import candle_gaps, history_merge, latest_candles, normalize_candles
 from volspark.operators.metrics import candle_metrics, tick_metrics
 from volspark.operators.clean import enrich_ticks
 from volspark.plans.jobs import candle_backfill
@@ -119,6 +121,20 @@ def test_gaps_and_repeats(spark):
     assert candle_gaps(rows.where("false"), {"minute": 60}).collect() == []
 
 
+def test_candles_fill_only_what_ticks_leave_open(spark):
+    ticks = spark.createDataFrame([("A", HOUR + 5, 1.0), ("B", 0, 2.0)], "symbol string, timestamp long, price double")
+    rows = [("A", "hourly", k * HOUR, 9.0) for k in (0, 1, 2)] + [("B", "hourly", 0, 9.0)]
+    rows += [("A", "minute", 2 * HOUR + 60 * k, 8.0) for k in (0, 3)] + [("A", "minute", HOUR, 8.0), ("A", "minute", HOUR + 60, 8.0)]
+    bulk = spark.createDataFrame(rows, "symbol string, interval string, timestamp long, price double").selectExpr(
+        "*", "timestamp_seconds(timestamp) as datetime", "'1970-01-01' as date")
+    got = history_merge(ticks, bulk, {"hourly": HOUR, "minute": 60})
+    assert sorted((r.source, r.symbol, r.timestamp, r.price) for r in got.collect()) == [
+        ("bulk", "A", 0, 9.0), ("bulk", "A", HOUR + 60, 8.0), ("bulk", "A", 2 * HOUR, 8.0), ("bulk", "A", 2 * HOUR + 180, 8.0),
+        ("stream", "A", HOUR + 5, 1.0), ("stream", "B", 0, 2.0)]
+    with pytest.raises(Exception, match="no step for interval minute"):
+        history_merge(ticks, bulk, {"hourly": HOUR}).collect()
+
+
 def test_rows_without_a_date_do_not_stop_the_dashboard(spark):
     path = scratch_path(spark, "history")
     rows = [(None, 1.0, 0)] + [(86400 * d + 5, 2.0 + d, d) for d in range(1, 4)]

@@ -167,6 +167,29 @@ def normalize_candles(df: DataFrame, symbol=None, interval=None, keep=()) -> Dat
     return out.select(*CANDLE_COLUMNS, *keep)
 
 
+def history_merge(streamed: DataFrame, bulk: DataFrame, steps: dict[str, int]) -> DataFrame:
+    """U1 without double counting: bulk candles only where the ticks of their symbol leave a hole.
+
+    A candle covers ``[timestamp, timestamp + step)``, ``steps`` being the seconds per
+    interval name; it is left out as soon as one tick of its symbol lies in there.
+    Of candles of several intervals the coarser one is left out where a finer one
+    of the symbol is kept. Candles of other intervals are errors of the caller.
+    """
+    bulk = bulk.withColumn("symbol", F.col("symbol").cast("string"))
+    taken = streamed.select(F.col("symbol").cast("string").alias("symbol"), "timestamp")
+    kept = None
+    for name, seconds in sorted(steps.items(), key=lambda s: s[1]):
+        own = bulk.where(F.col("interval") == name)
+        slot = lambda t: F.floor(F.col(t) / F.lit(seconds)).alias("_slot")
+        covered = taken.select("symbol", slot("timestamp")).distinct()
+        own = own.select("*", slot("timestamp")).join(covered, ["symbol", "_slot"], "left_anti").select(*bulk.columns)
+        kept = own if kept is None else kept.unionByName(own)
+        taken = taken.unionByName(own.select("symbol", "timestamp"))
+    other = ~F.coalesce(F.col("interval").isin(list(steps)), F.lit(False))
+    unknown = F.raise_error(F.concat(F.lit("no step for interval "), F.coalesce("interval", F.lit("null"))))
+    return history_union(streamed, kept.unionByName(bulk.where(F.when(other, unknown.cast("boolean")).otherwise(False))))
+
+
 def history_union(streamed: DataFrame, bulk: DataFrame) -> DataFrame:
     """Streamed ticks and bulk candles as one history, with a ``source``.
 

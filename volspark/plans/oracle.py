@@ -295,6 +295,21 @@ SELECT 'S' || CAST(symbol AS VARCHAR) AS symbol, 'hourly' AS interval, kind, fir
     q["quote_job"] = f"""WITH {QUOTES}
 SELECT seq, "timestamp", datetime, symbol, price, open24h, supply FROM q WHERE price > 0"""
     q["spike_threshold_approx"] = "SELECT true AS rank_within_error"
-    q["volume_audit"] = ("SELECT count(*) > 0 AS has_files, count(*) > 0 AS has_bytes, "
-                         "true AS shortfall_agrees FROM events")
+    # a message is its text and a line end
+    q["volume_audit"] = f"""WITH v AS (SELECT CAST(sum(strlen(value) + 1) AS BIGINT) AS total_bytes
+  FROM ({q['tick_serialize']}))
+SELECT true AS all_hours, total_bytes, total_bytes >= 3.0 * 1024 ** 3 AS meets_minimum,
+  {R6('greatest(3.0 - total_bytes / 1024.0 ** 3, 0.0)')} AS shortfall_gb FROM v"""
+    q["history_merge"] = f"""WITH {TICKS},
+s AS (SELECT min(seq) AS least, max(seq) - min(seq) + 1 AS n FROM ticks),
+h AS (SELECT min("timestamp") // 3600 * 3600 AS half FROM ticks, s WHERE (seq - least) * 2 // n >= 1),
+late AS (SELECT ticks.* FROM ticks, h WHERE "timestamp" >= half),
+c AS (SELECT symbol, "timestamp" // 3600 * 3600 AS t, arg_max(price, row("timestamp", seq)) AS price
+  FROM ticks, s WHERE (seq - least) * 5 // n < 3 GROUP BY ALL)
+SELECT 'stream' AS source, "timestamp", datetime, date, 'S' || CAST(symbol AS VARCHAR) AS symbol,
+  NULL::VARCHAR AS interval, price FROM late
+UNION ALL
+SELECT 'bulk', t, strftime(make_timestamp(t * 1000000), '%Y-%m-%dT%H:%M:%SZ'), CAST(make_timestamp(t * 1000000) AS DATE),
+  'S' || CAST(symbol AS VARCHAR), 'hourly', price
+FROM c WHERE NOT EXISTS (SELECT 1 FROM late WHERE late.symbol = c.symbol AND late."timestamp" // 3600 * 3600 = c.t)"""
     return q

@@ -133,6 +133,7 @@ def registry() -> dict[str, QueryFn]:
     q["history_union"] = lambda s, d: C.history_union(
         ticks(s, d).select("timestamp", "datetime", "date", "symbol", "price"),
         _candles(s, d).select("timestamp", "datetime", "date", "symbol", "interval", "price"))
+    q["history_merge"] = _history_merge
     # --- sinks, read back
     q["history_write_read"] = lambda s, d: report(_history(s, d).select(*METRIC_COLS, "date"))
     q["history_scan_pruned"] = lambda s, d: report(
@@ -253,12 +254,26 @@ def _candle_write_read(spark, sf_dir):
 
 
 def _volume_audit(spark, sf_dir):
-    """Bytes of a written history against the minimum volume."""
-    path = scratch_path(spark, "history")
-    sinks.write_history(metrics(spark, sf_dir), path)
+    """Bytes of stored tick messages, in folders by hour of the day, against the minimum volume."""
+    path = scratch_path(spark, "messages")
+    t = ticks(spark, sf_dir)
+    hours = t.select("seq", "hour_of_day")
+    (FX.tick_json(t).join(hours, "seq").select("value", "hour_of_day").hint("rebalance", F.col("hour_of_day"))
+       .write.partitionBy("hour_of_day").text(path))
     found = files.storage_volume(spark, path, HISTORY_MIN_GB)
-    return found.select((F.col("files") > 0).alias("has_files"), (F.col("total_bytes") > 0).alias("has_bytes"),
-                        (F.col("meets_minimum") == (F.col("shortfall_gb") == 0)).alias("shortfall_agrees"))
+    return found.select((F.col("files") >= 24).alias("all_hours"), F.col("total_bytes").cast("bigint").alias("total_bytes"),
+                        "meets_minimum", round6("shortfall_gb").alias("shortfall_gb"))
+
+
+def _history_merge(spark, sf_dir):
+    """Ticks of the second poll's hours, and the first poll's candles where there are no ticks."""
+    ensure_conf(spark)
+    first, second = FX.landings(ticks(spark, sf_dir))
+    symbol = F.concat(F.lit("S"), F.col("symbol").cast("string"))
+    bulk = C.normalize_candles(C.parse_candle_responses(FX.candle_responses(first)))
+    return C.history_merge(second.select("timestamp", "datetime", "date", symbol.alias("symbol"), "price"),
+                           bulk.select("timestamp", "datetime", "date", "symbol", "interval", "price"),
+                           {"hourly": 3600, "minute": 60})
 
 
 def _dashboard(m: DataFrame) -> DataFrame:
