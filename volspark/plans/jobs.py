@@ -26,6 +26,7 @@ from volspark.sources.files import (
     stored_dates, stream_json_ticks,
 )
 from volspark.sources.kafka import read_ticks_stream, to_kafka_value, write_ticks
+from volspark.streaming.stateful import StatefulMetricsSink, start_stateful, stateful_metrics
 from volspark.streaming.stream import RollingMetricsSink, start
 
 
@@ -179,13 +180,18 @@ def register_views(spark: SparkSession, **frames: DataFrame) -> None:
 def stream_pipeline(spark: SparkSession, base: str, checkpoint: str, *,
                     kafka_bootstrap: str | None = None, topic: str | None = None,
                     json_dir: str | None = None, trigger_seconds: int = 30,
-                    keys: dict[str, str] | None = None):
+                    keys: dict[str, str] | None = None, slot_hours: int = 24,
+                    lateness: int | None = None):
     """Ticks (Kafka or a JSON directory) -> rolling metrics -> history +
     dashboard sinks, one query, one trigger, one checkpoint.
 
     ``keys``: the fields that name a series, with their types, e.g.
     ``{"symbol": "string"}``; they are read from each message. Rejected
     messages keep their text in the quarantine.
+
+    ``slot_hours`` is the width of a stored slot of ``RollingMetricsSink``. With
+    ``lateness`` (seconds) the metrics come from keyed state instead, for feeds
+    that are ordered within each series up to it.
     """
     ensure_conf(spark)
     schema = stream_tick_schema(keys)
@@ -195,5 +201,8 @@ def stream_pipeline(spark: SparkSession, base: str, checkpoint: str, *,
         ticks = parse_ticks(raw, CORRUPT, keep=("seq", CORRUPT), schema=fields)
     else:
         ticks = stream_json_ticks(spark, json_dir, schema)
-    return start(ticks, RollingMetricsSink(base, keys=tuple(keys or ())), checkpoint,
+    if lateness is not None:
+        found = stateful_metrics(ticks, tuple(keys or ()), lateness=lateness)
+        return start_stateful(found, StatefulMetricsSink(base), checkpoint, trigger_seconds=trigger_seconds)
+    return start(ticks, RollingMetricsSink(base, keys=tuple(keys or ()), slot_hours=slot_hours), checkpoint,
                  trigger_seconds=trigger_seconds)

@@ -64,6 +64,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# the row's own text of a bad line is a field like any other here
+ROW_TEXT = JSON_TIME | {"columnNameOfCorruptRecord": "_no_field"}
 LATE = "late_tick"
 AHEAD = "timestamp_in_future"
 COLUMNS = ("log_return", "price")
@@ -307,7 +309,7 @@ def stateful_metrics(ticks: DataFrame, keys=(), *, seq_col: str = "seq", hours=(
                           + [T.StructField(m, T.DoubleType()) for m in plan.metrics])
     found = marked.groupBy(*[f"key{i}" for i in range(len(series))]).transformWithStateInPandas(
         SeriesMetrics(plan, width), schema, "Append", "EventTime")
-    back = found.select(F.from_json("tick_row", payload, JSON_TIME).alias("_in"), *plan.metrics,
+    back = found.select(F.from_json("tick_row", payload, ROW_TEXT).alias("_in"), *plan.metrics,
                         F.col("tick_reason").alias("reject_reason"))
     return enrich_ticks(back.select("_in.*", *plan.metrics, "reject_reason"))
 
