@@ -14,7 +14,7 @@ those they reject:
   of training (every fifth distinct one, by hash), among steps of ``1 / BINS``.
 
 Everything is DataFrame functions. Counts cover every distinct rule-labelled
-URL. The trained table is keyed by the n-grams themselves and grows with them;
+URL but the fifth that calibrates the threshold. The trained table is keyed by the n-grams themselves and grows with them;
 it is met by shuffled joins: what a position adds to a score depends on its
 last ``ORDER + 1`` characters alone, so the distinct ones of the URLs to be
 judged look up their n-grams, and each URL then adds up its positions.
