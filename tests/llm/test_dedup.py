@@ -156,10 +156,49 @@ def test_op3_recall(spark):
     check_vectors(rows, got)
 
 
-def test_traversal_is_nearest_first_and_stops_at_the_target():
+def test_traversal_is_nearest_first_and_stops_at_the_radius():
     m1, m2 = np.array([0.0, 0.3, 0.1]), np.array([0.2, 0.0])
-    everything = embed_dedup._traverse(m1, m2, 2, 0.1, 2.0)
+    everything = embed_dedup._traverse(m1, m2, 9.0)
     sums = [m1[c // 2] ** 2 + m2[c % 2] ** 2 for c in everything]
     assert sums == sorted(sums) and sorted(everything) == list(range(6))
-    few = embed_dedup._traverse(m1, m2, 2, 0.01, 0.999)
-    assert few == [1]
+    assert embed_dedup._traverse(m1, m2, 0.15) == [1, 5]
+    assert embed_dedup._traverse(m1, m2, 0.05) == [1]
+
+
+@pytest.mark.parametrize("codebook", [1, 16, 40])
+def test_a_neighbour_is_never_outside_of_the_visited_cells(codebook):
+    rng = np.random.default_rng(7)
+    points = rng.normal(size=(600, 12))
+    points[300:] = points[:300] + rng.normal(size=(300, 12)) * rng.choice([0.02, 0.1, 0.2], (300, 1))
+    unit = embed_dedup._unit([p.tobytes() for p in points])
+    grid = embed_dedup.Grid(unit[::2], codebook, 0.98, 1.0)
+    home, visits = grid.visits(unit, rows=100)
+    near = [(a, b) for a, b in zip(*np.nonzero(unit @ unit.T >= 0.98)) if a != b]
+    assert len(near) > 100 and all(home[b] in visits[a] for a, b in near)
+
+
+def test_links_on_paths_between_topics(spark):
+    """Steps at cosine 0.984 from one centre to the next: the differences point at a neighbouring centroid."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(24, 64))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    path = []
+    for a, b in zip(centres, np.roll(centres, -1, axis=0)):
+        angle = np.arccos(a @ b)
+        steps = int(np.ceil(angle / np.arccos(0.984)))
+        path += [(np.sin((1 - t) * angle) * a + np.sin(t * angle) * b) / np.sin(angle)
+                 for t in np.arange(steps) / steps]
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(path)]
+    got = embed_dedup.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), centroids=24, block=50).collect()
+    check_vectors(rows, got)
+
+
+def test_rows_without_an_id_and_repeated_ids(spark):
+    near, far = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(None, near, 1), (4, near, 1), (4, far, 1), (9, [1.0, 0.01, 0.0], 1), (None, [0.0, 0.0, 1.0], 1),
+            (8, [0.0, 1.0, 0.01], 1), (None, None, 1), (4, far, 2)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [
+        (None, 2, 4, False), (4, 2, 4, True), (9, 2, 4, False), (4, 1, 4, True), (8, 1, 4, False),
+        (None, 0, None, True), (None, 0, None, True), (4, 0, 4, True)]))

@@ -5,43 +5,52 @@ precision. Identical vectors of a label are one class; all work is on classes.
 
 Index: two codebooks, one per half of the unit vector, trained independently by
 k-means on a bounded sample (``sample`` classes); a class is filed in the cell
-of its nearest centroids, so the two codebooks span a product grid. Query: a
-class visits cells in the order of the multi-sequence traversal (nearest first
-by the sum of its distances to the two cells' regions) until the cells seen
-hold a neighbour with probability ``target_recall``; the probability assumes a
-neighbour at the link radius in a random direction. Every candidate is verified
-exactly. A link is found when either end visits the other's cell.
-
-A cell's members and visitors are dealt to blocks of about ``block`` rows, and
-pairs of blocks meet in one task each, so no task holds a cell. A task returns,
-per class, a link count and a spanning link to the smallest class of its group,
-never the pairs themselves.
+of its nearest centroids, so the two codebooks span a product grid. The
+codebooks grow with the root of the number of classes, so that cells do not
+grow with it. Query: a class visits cells in the order of the multi-sequence
+traversal, nearest first by the sum of its squared distances to the two cells'
+regions. Those are lower bounds of the distance to anything filed there, so at
+target recall 1 (the default) the traversal ends, without loss, where the sum
+passes the squared link radius ``2 * (1 - threshold)``; a lower target shortens
+the radius. Every candidate is verified exactly. Both ends of a link see each
+other's cell, so only the end in the lower cell visits.
+
+A cell's members and its visitors from lower cells are dealt to blocks of about
+``block`` rows; every pair of blocks (one triangle of them among members) meets
+in one task, so no task holds a cell. A task returns, per class, a link count
+and a spanning link to the smallest class of its group, never the pairs
+themselves.
 
 Defined results: vectors that are null, zero, without a label, or with null or
 non-finite components link with nothing (n_links 0, kept); copies of a linkable
-vector link with each other; rows with a null id are dropped; an id that
-repeats gets one row per occurrence; an empty table gives an empty result;
-other columns are ignored.
+vector link with each other; an id that repeats gets one row per occurrence,
+each with the links of its own vector; a row without an id is compared and
+counted like any other, and its component is the smallest id it reaches (null,
+and then kept, if it reaches none); an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import erf, sqrt
+from heapq import heappop, heappush
+from math import ceil, sqrt
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from volspark.llm.components import components
 from volspark.session import keep
 
-CENTROIDS = 16
+CENTROIDS = 16          # of each codebook, at least
 SAMPLE = 8192
-TARGET_RECALL = 0.999
-BLOCK = 500
+TARGET_RECALL = 1.0
+BLOCK = 1000
+SLACK = 1e-6            # of a squared radius, for rounding in the bounds
 
 
 def _encoded(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
@@ -62,7 +71,7 @@ def _encoded(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -
 
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                           F.col(vector_col).cast("array<double>").alias("vector"))
-    return rows.where("id is not null").mapInArrow(run, "id long, label string, vector binary")
+    return rows.mapInArrow(run, "id long, label string, vector binary")
 
 
 def _unit(vectors) -> np.ndarray:
@@ -100,98 +109,98 @@ class Grid:
 
     def __init__(self, unit: np.ndarray, k: int, threshold: float, target_recall: float):
         self.codebooks = [kmeans(half, k) for half in _halves(unit)]
-        # a neighbour at the link radius, spread evenly over the dimensions
-        self.spread = sqrt(2 * (1 - threshold) / unit.shape[1])
-        self.target_recall = target_recall
+        self.apart = [np.sqrt(np.maximum(_squares(c, c), 0)) for c in self.codebooks]
+        self.radius = link_radius(threshold, target_recall, unit.shape[1])
 
-    def _margins(self, half: np.ndarray, codebook: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Nearest centroid, and distance from each point to each centroid's region (a bound)."""
+    def _margins(self, half: np.ndarray, side: int) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest centroid, and a lower bound of the distance from each point to each centroid's region."""
+        codebook = self.codebooks[side]
         if not codebook.shape[1]:
             return np.zeros(len(half), np.int64), np.zeros((len(half), 1))
         squares = _squares(half, codebook)
         home = squares.argmin(axis=1)
-        apart = np.sqrt(np.maximum(_squares(codebook, codebook), 0))[home]
-        gap = squares - squares[np.arange(len(half)), home][:, None]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            margin = np.where(apart > 1e-12, gap / (2 * apart), np.inf)
-        margin[np.arange(len(half)), home] = 0
+        apart = self.apart[side][home]
+        margin = squares - squares[np.arange(len(half)), home][:, None]
+        margin /= np.maximum(2 * apart, SLACK)                # the bisecting plane lies between
+        margin[apart < SLACK] = 0
         return home, np.maximum(margin, 0)
 
-    def visits(self, unit: np.ndarray) -> tuple[np.ndarray, list[list[int]]]:
+    def visits(self, unit: np.ndarray, rows: int = 1024) -> tuple[np.ndarray, list[list[int]]]:
         """Home cell of each row, and the cells it visits (home first)."""
-        halves = _halves(unit)
-        (home1, m1), (home2, m2) = (self._margins(h, c) for h, c in zip(halves, self.codebooks))
-        width = m2.shape[1]
-        visited = []
-        for a, b in zip(m1, m2):
-            visited.append(_traverse(a, b, width, self.spread, self.target_recall))
-        return home1 * width + home2, visited
+        homes, visited = [], []
+        for at in range(0, len(unit), rows):
+            (home1, m1), (home2, m2) = (self._margins(h, side)
+                                        for side, h in enumerate(_halves(unit[at:at + rows])))
+            homes.append(home1 * m2.shape[1] + home2)
+            visited += [_traverse(a, b, self.radius) for a, b in zip(m1, m2)]
+        return np.concatenate(homes), visited
 
 
-def _beyond(margin: float, spread: float) -> float:
-    """Chance that a random step crosses a border at distance ``margin``."""
-    return 0.5 * (1 - erf(margin / (spread * sqrt(2)))) if np.isfinite(margin) else 0.0
+def link_radius(threshold: float, target_recall: float, dimension: int) -> float:
+    """Distance within which cells are visited.
+
+    At target recall 1 that of two unit vectors at the threshold; below, how far
+    a neighbour at that distance in a random direction gets towards any one
+    border with that probability.
+    """
+    radius = sqrt(max(2 * (1 - threshold), 0))
+    if target_recall >= 1:
+        return radius
+    return min(radius, radius / sqrt(dimension) * max(NormalDist().inv_cdf(target_recall), 0))
 
 
-def _traverse(m1: np.ndarray, m2: np.ndarray, width: int, spread: float, target: float) -> list[int]:
-    """Cells by ascending sum of squared margins until the rest is unlikely to hold a neighbour.
+def _traverse(m1: np.ndarray, m2: np.ndarray, radius: float) -> list[int]:
+    """Cells by ascending sum of squared margins, up to the squared radius.
 
     The classic multi-sequence traversal: both halves' cells in order, a front
     of pairs (i, j), each popped pair pushing its two successors.
     """
-    import heapq
-    o1, o2 = np.argsort(m1, kind="stable"), np.argsort(m2, kind="stable")
-    chance1 = [_beyond(m1[i], spread) for i in o1]
-    chance2 = [_beyond(m2[j], spread) for j in o2]
-    chance1[0] = chance2[0] = 1.0                   # home regions
-    # the mass outside of the cells seen so far, by the sum of what is left
-    left = sum(chance1) * sum(chance2) - 1.0
-    front, seen, cells = [(0.0, 0, 0)], {(0, 0)}, []
+    limit = radius * radius + SLACK
+    o1, o2 = (np.flatnonzero(m * m <= limit) for m in (m1, m2))
+    o1, o2 = o1[np.argsort(m1[o1], kind="stable")], o2[np.argsort(m2[o2], kind="stable")]
+    s1, s2 = (m1[o1] ** 2).tolist(), (m2[o2] ** 2).tolist()
+    front, cells = [(s1[0] + s2[0], 0, 0)], []
     while front:
-        _, i, j = heapq.heappop(front)
-        if cells:
-            left -= chance1[i] * chance2[j]
-        cells.append(int(o1[i]) * width + int(o2[j]))
-        if left <= 1 - target:
+        total, i, j = heappop(front)
+        if total > limit:
             break
-        for a, b in ((i + 1, j), (i, j + 1)):
-            if a < len(o1) and b < len(o2) and (a, b) not in seen:
-                seen.add((a, b))
-                heapq.heappush(front, (float(m1[o1[a]] ** 2 + m2[o2[b]] ** 2), a, b))
+        cells.append(int(o1[i]) * len(m2) + int(o2[j]))
+        if j + 1 < len(s2):
+            heappush(front, (s1[i] + s2[j + 1], i, j + 1))
+        if j == 0 and i + 1 < len(s1):                        # each pair is pushed once
+            heappush(front, (s1[i + 1] + s2[0], i + 1, 0))
     return cells
 
 
-def _linked(index: pd.DataFrame, visitors: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """(id, n, other) of the links between one block of a cell's members and one of its visitors.
+def _linked(index: pd.DataFrame, visitors: pd.DataFrame | None, threshold: float) -> pd.DataFrame:
+    """(id, n, other) of the links between two blocks, or within one when ``visitors`` is None.
 
-    Links in both directions are counted at the visitor; a link whose other end
-    does not visit back (it never sees it) is counted at both ends. ``other`` is
-    the smallest id reachable over links found here.
+    Every pair of classes meets in one place only, so a link counts at both
+    ends. ``other`` is the smallest id reachable over links found here.
     """
-    empty = pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"),
-                          "other": pd.Series(dtype="int64")})
-    if index.empty or visitors.empty:
-        return empty
-    members, seekers = _unit(index["vector"].tolist()), _unit(visitors["vector"].tolist())
-    member_id, seeker_id = index["id"].to_numpy(), visitors["id"].to_numpy()
-    member_n, seeker_n = index["copies"].to_numpy(), visitors["copies"].to_numpy()
-    ids, places = np.unique(np.concatenate([seeker_id, member_id]), return_inverse=True)
-    seeker_at, member_at = places[:len(seeker_id)], places[len(seeker_id):]
+    within = visitors is None
+    both = index if within else pd.concat([index, visitors], ignore_index=True)
+    if not len(index) or len(both) == len(index) and not within:
+        return pd.DataFrame({name: pd.Series(dtype="int64") for name in ("id", "n", "other")})
+    both = both.sort_values("id", kind="stable") if within else both
+    units, ids, copies = _unit(both["vector"].tolist()), both["id"].to_numpy(), both["copies"].to_numpy()
+    split = 0 if within else len(index)
+    members = units if within else units[:split]
     counts, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-    reach = index["visits"].tolist()
-    homes = visitors["home"].to_numpy()
-    edges = []
-    for at in range(0, len(seekers), 256):
-        s, m = np.nonzero(seekers[at:at + 256] @ members.T >= threshold)
-        s += at
-        other = seeker_id[s] != member_id[m]
-        s, m = s[other], m[other]
-        np.add.at(counts, seeker_at[s], member_n[m])
-        back = np.fromiter((homes[a] in reach[b] for a, b in zip(s, m)), np.bool_, len(s))
-        np.add.at(counts, member_at[m[~back]], seeker_n[s[~back]])
-        edges.append((seeker_at[s], member_at[m]))
-    a = np.concatenate([e[0] for e in edges])
-    b = np.concatenate([e[1] for e in edges])
+    edges = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for at in range(split, len(units), 256):
+        a, b = np.nonzero(units[at:at + 256] @ members.T >= threshold)
+        a += at
+        if within:
+            a, b = a[a < b], b[a < b]
+        counts += np.bincount(a, copies[b], len(ids)).astype(np.int64)
+        counts += np.bincount(b, copies[a], len(ids)).astype(np.int64)
+        edges.append((a, b))
+    a, b = (np.concatenate(ends) for ends in zip(*edges))
+    # roots by place, the smallest id being that of the lowest rank
+    rank = np.empty(len(ids), np.int64)
+    rank[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    a, b = rank[a], rank[b]
     while True:
         low = np.minimum(root[a], root[b])
         new = root.copy()
@@ -201,8 +210,9 @@ def _linked(index: pd.DataFrame, visitors: pd.DataFrame, threshold: float) -> pd
         if np.array_equal(new, root):
             break
         root = new
-    touched = np.unique(np.concatenate([a, b]))
-    return pd.DataFrame({"id": ids[touched], "n": counts[touched], "other": ids[root[touched]]})
+    touched, ordered = np.unique(np.concatenate([a, b])), np.argsort(rank)
+    return pd.DataFrame({"id": ids[ordered[touched]], "n": counts[ordered[touched]],
+                         "other": ids[ordered[root[touched]]]})
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -213,20 +223,19 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     spark = vectors.sparkSession
     rows = keep(_encoded(vectors, id_col, vector_col, label_col)
                 .withColumn("key", F.when(F.col("vector").isNotNull(), F.sha2("vector", 256))), "vectors")
-    members = rows.where("key is not null").groupBy("label", "key").agg(
+    # copies meet here, combined before the shuffle; the number is stored, so it stays
+    classes = keep(rows.where("vector is not null").groupBy("label", "vector").agg(
         F.min("id").alias("rep"), F.count("*").alias("copies"))
-    classes = keep(rows.where("key is not null").join(
-        members.select(F.col("rep").alias("id"), "label", "key", "copies"), ["id", "label", "key"])
-        .dropDuplicates(["id", "label", "key"]).select("id", "label", "copies", "vector"), "vector-classes")
+        .withColumn("key", F.sha2("vector", 256)).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
 
     # codebooks per dimension, from a bounded sample
     picked = classes.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(sample).collect()
     by_size: dict[int, list[bytes]] = {}
     for row in picked:
         by_size.setdefault(len(row.vector), []).append(bytes(row.vector))
-    grids = {size: vars(Grid(_unit(found), centroids, threshold, target_recall))
-             for size, found in by_size.items()}
-    shared = spark.sparkContext.broadcast(grids)          # 2 x centroids x dimension numbers each
+    k = max(centroids, min(ceil(sqrt(classes.count() / block)), sample // 8))
+    grids = {size: vars(Grid(_unit(found), k, threshold, target_recall)) for size, found in by_size.items()}
+    shared = spark.sparkContext.broadcast(grids)          # 2 x k x (dimension / 2 + k) numbers each
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = {}
@@ -240,43 +249,55 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                     home, visits = own[size].visits(_unit(part["vector"].tolist()))
                 else:                                     # a dimension outside of the sample: one cell
                     home, visits = np.zeros(len(part), np.int64), [[0]] * len(part)
-                yield part.assign(home=home, visits=visits)[
+                higher = [[c for c in cells if c > at] for at, cells in zip(home.tolist(), visits)]
+                yield part.assign(home=home, visits=higher)[
                     ["id", "label", "copies", "vector", "size", "home", "visits"]]
 
-    filed = keep(classes.mapInPandas(
+    filed = keep(classes.select("id", "label", "copies", "vector").mapInPandas(
         file, "id long, label string, copies long, vector binary, size int, home long, visits array<long>"),
         "vector-cells")
     cell = ["label", "size", "cell"]
-    index = filed.withColumn("cell", F.col("home"))
+    members = filed.withColumn("cell", F.col("home"))
     visitors = filed.withColumn("cell", F.explode("visits"))
-    # blocks of each cell's members and visitors; every pair of blocks meets once
-    sizes = keep(index.groupBy(cell).agg(F.ceil(F.count("*") / block).alias("ib"))
-                 .join(visitors.groupBy(cell).agg(F.ceil(F.count("*") / block).alias("vb")), cell), "cell-sizes")
+    # blocks of each cell's members (ib) and visitors (vb); block pair (i, v): v < ib is a block of members
+    sizes = keep(members.groupBy(cell).agg(F.count("*").alias("n"))
+                 .join(visitors.groupBy(cell).agg(F.count("*").alias("m")), cell, "left").na.fill(0, ["m"])
+                 .where("n > 1 or m > 0")
+                 .select(*cell, F.ceil(F.col("n") / block).alias("ib"), F.ceil(F.col("m") / block).alias("vb")),
+                 "cell-sizes")
     spread = F.xxhash64("id")
-    def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    no_pairs = F.array().cast("array<struct<i:bigint,v:bigint,member:boolean>>")
+
+    def pair(i, v, member: bool):
+        return F.struct(i.cast("long").alias("i"), v.cast("long").alias("v"), F.lit(member).alias("member"))
 
-    payload = ["id", "copies", "vector", "home", "visits"]
-    index = index.join(sizes, cell).select(*cell, F.pmod(spread, "ib").alias("i"), every("vb").alias("v"),
-                                           F.lit(True).alias("member"), *payload)
-    visitors = visitors.join(sizes, cell).select(*cell, every("ib").alias("i"), F.pmod(spread, "vb").alias("v"),
-                                                 F.lit(False).alias("member"), *payload)
+    payload = ["id", "copies", "vector"]
+    own, ib, vb = F.pmod(spread, "ib"), F.col("ib"), F.col("vb")
+    places = F.concat(
+        F.transform(F.sequence(own, ib + vb - 1), lambda v: pair(own, v, True)),
+        F.when(own > 0, F.transform(F.sequence(F.lit(0).cast("long"), own - 1), lambda i: pair(i, own, False)))
+        .otherwise(no_pairs))
+    members = members.join(sizes, cell).select(*cell, *payload, F.explode(places).alias("p"))
+    visitors = visitors.join(sizes, cell).select(*cell, *payload, F.explode(F.transform(
+        F.sequence(F.lit(0).cast("long"), ib - 1), lambda i: pair(i, ib + F.pmod(spread, "vb"), False))).alias("p"))
 
-    def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        return _linked(rows[rows["member"]], rows[~rows["member"]], threshold)
+    def meet(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        *_, i, v = key
+        return _linked(rows[rows["member"]], None if i == v else rows[~rows["member"]], threshold)
 
     # dealt by block: a partitioning by cell, left over from the joins, would keep a crowded cell together
-    blocks = index.union(visitors).repartition(*cell, "i", "v")
+    blocks = members.union(visitors).select(*cell, *payload, "p.*").repartition(*cell, "i", "v")
     found = keep(blocks.groupBy(*cell, "i", "v").applyInPandas(
         meet, "id long, n long, other long"), "vector-links")
 
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
-    groups = components(found, "id", "other")
-    per_class = keep(members.join(links, members.rep == links.id, "left").drop("id")
-                     .join(groups, members.rep == groups.id, "left")
+    groups = keep(components(found, "id", "other"), "vector-components")
+    least = groups.join(classes.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("least"))
+    per_class = keep(classes.select("id", "label", "key", "copies", "rep").join(links, "id", "left")
+                     .join(groups.join(least, "component"), "id", "left")
                      .select("label", "key", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                             F.coalesce("component", "rep").alias("component_id")), "vector-groups")
-    return (rows.join(per_class, ["label", "key"], "left")
+                             F.coalesce("least", "rep").alias("least")), "vector-groups")
+    return (rows.select("id", "label", "key").join(per_class, ["label", "key"], "left")
             .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "id").alias("component_id"))
-            .withColumn("kept", F.col("id") == F.col("component_id")))
+                    F.coalesce("least", "id").alias("component_id"))
+            .withColumn("kept", F.col("id").eqNullSafe(F.col("component_id"))))
