@@ -177,6 +177,13 @@ def test_a_neighbour_is_never_outside_of_the_visited_cells(codebook):
     assert len(near) > 100 and all(home[b] in visits[a] for a, b in near)
 
 
+def test_codebooks_follow_the_table():
+    rng = np.random.default_rng(3)
+    unit = embed_dedup._unit([p.tobytes() for p in rng.normal(size=(2048, 64))])
+    few, many = (len(embed_dedup.fitting_grid(unit, n, 0.98, 1.0, 1000).codebooks[0]) for n in (100, 1e8))
+    assert few == embed_dedup.CENTROIDS and many >= 32
+
+
 def test_links_on_paths_between_topics(spark):
     """Steps at cosine 0.984 from one centre to the next: the differences point at a neighbouring centroid."""
     rng = np.random.default_rng(11)

@@ -6,8 +6,9 @@ precision. Identical vectors of a label are one class; all work is on classes.
 Index: two codebooks, one per half of the unit vector, trained independently by
 k-means on a bounded sample (``sample`` classes); a class is filed in the cell
 of its nearest centroids, so the two codebooks span a product grid. The
-codebooks grow with the root of the number of classes, so that cells do not
-grow with it. Query: a class visits cells in the order of the multi-sequence
+size of the codebooks is the one of least estimated work, from the sample's
+visits and the number of classes that a class is compared with: it grows with
+the table. Query: a class visits cells in the order of the multi-sequence
 traversal, nearest first by the sum of its squared distances to the two cells'
 regions. Those are lower bounds of the distance to anything filed there, so at
 target recall 1 (the default) the traversal ends, without loss, where the sum
@@ -34,7 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from math import ceil, sqrt
+from math import sqrt
 from statistics import NormalDist
 
 import numpy as np
@@ -46,10 +47,12 @@ from pyspark.sql import functions as F
 from volspark.llm.components import components
 from volspark.session import keep
 
-CENTROIDS = 16          # of each codebook, at least
 SAMPLE = 8192
 TARGET_RECALL = 1.0
 BLOCK = 1000
+CENTROIDS = 8           # of each codebook, at least
+BORDERS = 16            # nearest centroids whose borders bound the distance to a region
+COPY_WORK = 1000        # work of sending a class to one more block, in verified pairs (measured)
 SLACK = 1e-6            # of a squared radius, for rounding in the bounds
 
 
@@ -119,14 +122,16 @@ class Grid:
             return np.zeros(len(half), np.int64), np.zeros((len(half), 1))
         squares = _squares(half, codebook)
         home = squares.argmin(axis=1)
-        apart = self.apart[side][home]
-        margin = squares - squares[np.arange(len(half)), home][:, None]
-        margin /= np.maximum(2 * apart, SLACK)                # the bisecting plane lies between
-        margin[apart < SLACK] = 0
-        return home, np.maximum(margin, 0)
+        margin = np.zeros_like(squares)
+        nearest = np.argsort(squares, axis=1, kind="stable")[:, :BORDERS]
+        for c in nearest.T:                                   # the plane between c and the region's centroid
+            apart = self.apart[side][c]
+            to_plane = (squares - np.take_along_axis(squares, c[:, None], axis=1)) / np.maximum(2 * apart, SLACK)
+            np.maximum(margin, np.where(apart < SLACK, 0, to_plane), out=margin)
+        return home, margin
 
     def visits(self, unit: np.ndarray, rows: int = 1024) -> tuple[np.ndarray, list[list[int]]]:
-        """Home cell of each row, and the cells it visits (home first)."""
+        """Home cell of each row, and the cells it visits (nearest first)."""
         homes, visited = [], []
         for at in range(0, len(unit), rows):
             (home1, m1), (home2, m2) = (self._margins(h, side)
@@ -135,6 +140,31 @@ class Grid:
             visited += [_traverse(a, b, self.radius) for a, b in zip(m1, m2)]
         return np.concatenate(homes), visited
 
+    def homes(self, unit: np.ndarray) -> np.ndarray:
+        """Home cell of each row."""
+        first, second = (_squares(h, c).argmin(axis=1) if c.shape[1] else np.zeros(len(h), np.int64)
+                         for h, c in zip(_halves(unit), self.codebooks))
+        return first * len(self.codebooks[1]) + second
+
+
+def fitting_grid(unit: np.ndarray, compared: float, threshold: float, target_recall: float, block: int) -> Grid:
+    """The grid of least estimated work; ``compared``: classes of its label that a class of the table has, on average.
+
+    Codebooks double from CENTROIDS while that pays, and leave eight sampled points a centroid.
+    """
+    best, least, k = None, np.inf, CENTROIDS
+    while best is None or k <= len(unit) // 8:
+        grid = Grid(unit, k, threshold, target_recall)
+        share = np.bincount(grid.homes(unit), minlength=len(grid.codebooks[0]) * len(grid.codebooks[1])) / len(unit)
+        _, visits = grid.visits(unit[:512])
+        pairs = compared * np.mean([share[v].sum() for v in visits]) / 2
+        copies = np.mean([len(v) for v in visits]) / 2 + 2 * pairs / block
+        work = pairs + COPY_WORK * copies
+        if work >= least:
+            break
+        best, least, k = grid, work, 2 * k
+    return best
+
 
 def link_radius(threshold: float, target_recall: float, dimension: int) -> float:
     """Distance within which cells are visited.
@@ -216,10 +246,13 @@ def _linked(index: pd.DataFrame, visitors: pd.DataFrame | None, threshold: float
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    label_col: str = "label", threshold: float = 0.98, centroids: int = CENTROIDS,
+                    label_col: str = "label", threshold: float = 0.98, centroids: int | None = None,
                     sample: int = SAMPLE, target_recall: float = TARGET_RECALL,
                     block: int = BLOCK) -> DataFrame:
-    """(id, n_links, component_id, kept) of every vector."""
+    """(id, n_links, component_id, kept) of every vector.
+
+    ``centroids``: size of each codebook, chosen by estimated work when None.
+    """
     spark = vectors.sparkSession
     rows = keep(_encoded(vectors, id_col, vector_col, label_col)
                 .withColumn("key", F.when(F.col("vector").isNotNull(), F.sha2("vector", 256))), "vectors")
@@ -233,9 +266,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     by_size: dict[int, list[bytes]] = {}
     for row in picked:
         by_size.setdefault(len(row.vector), []).append(bytes(row.vector))
-    k = max(centroids, min(ceil(sqrt(classes.count() / block)), sample // 8))
-    grids = {size: vars(Grid(_unit(found), k, threshold, target_recall)) for size, found in by_size.items()}
-    shared = spark.sparkContext.broadcast(grids)          # 2 x k x (dimension / 2 + k) numbers each
+    per_label = classes.groupBy("label", F.length("vector").alias("size")).count()
+    compared = {r.size: r.n for r in per_label.groupBy("size").agg(
+        (F.sum(F.col("count").cast("double") * F.col("count")) / F.sum("count")).alias("n")).where(
+        F.col("size").isin(list(by_size))).collect()}
+    grids = {size: vars(Grid(_unit(found), centroids, threshold, target_recall) if centroids else
+                        fitting_grid(_unit(found), compared[size], threshold, target_recall, block))
+             for size, found in by_size.items()}
+    # for each sampled dimension 2 x k x (dimension / 2 + k) numbers, k at most an eighth of its sample
+    shared = spark.sparkContext.broadcast(grids)
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = {}
