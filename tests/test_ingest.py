@@ -143,3 +143,37 @@ def test_malformed_datetime_is_not_available(spark):
     from volspark.functions.columns import display_time
     df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("soon",), (None,)], "t string")
     assert [r.x for r in df.select(display_time("t").alias("x")).collect()] == ["2024-01-02 03:04:05", "N/A", "N/A"]
+
+
+def _zoned(spark, max_rows):
+    df = spark.range(2000).selectExpr("id", "if(id % 100 = 7, null, id div 3) as timestamp",
+                                      "date'2024-01-01' as date").repartition(7)
+    path = scratch_path(spark, "zoned")
+    sinks.write_zoned_history(df, path, max_rows=max_rows)
+    return df, path
+
+
+def test_zone_map_picks_files_of_one_date(spark):
+    df, path = _zoned(spark, 100)
+    every = spark.read.parquet(path).inputFiles()
+    for n in (1, 95, 150):
+        found = files.read_latest(spark, path, n)
+        assert len(every) >= 20 and len(found.inputFiles()) <= n // 100 + 3
+        assert set(found.inputFiles()) < set(every)
+        at_least = df.orderBy(F.desc("timestamp")).limit(n).agg(F.min("timestamp")).first()[0]
+        assert ({r.id for r in df.where(F.col("timestamp") >= at_least).collect()}
+                == {r.id for r in found.where(F.col("timestamp") >= at_least).collect()})
+    assert found.schema == spark.read.parquet(path).schema
+    assert files.read_latest(spark, path, 1990).count() == 2000       # fewer rows with a time than that: all
+
+
+def test_zone_map_follows_rewrites(spark):
+    df, path = _zoned(spark, 100)
+    more = df.selectExpr("id + 5000 as id", "timestamp + 900 as timestamp", "date'2024-01-02' as date")
+    sinks.write_zoned_history(more, path, max_rows=100)
+    assert {r.date.day for r in files.read_latest(spark, path, 10).collect()} == {2}
+    assert {r.date.day for r in files.read_latest(spark, path, 2500).collect()} == {1, 2}
+    sinks.write_history(more.withColumn("id", F.col("id") + 1), path)  # without zones: the whole date, counted
+    assert files.read_latest(spark, path, 10).count() == 2000
+    sinks.write_zoned_history(df.limit(0), path)
+    assert files.read_latest(spark, path, 2500).count() == 4000

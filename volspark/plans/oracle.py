@@ -155,6 +155,7 @@ SELECT date, {R6('avg(price)')} AS avg_price, count(*) AS n FROM ticks GROUP BY
   high24h, low24h FROM m""")
     q["latest_n"] = f"""WITH {TICKS}
 SELECT seq, "timestamp", price FROM ticks ORDER BY "timestamp" DESC, seq DESC LIMIT 1000"""
+    q["latest_n_zoned"] = q["latest_n"]
     q["latest_kpis"] = with_metrics(f"""SELECT
   '$' || format('{{:,.2f}}', price) AS current_price,
   coalesce(printf('%.6f', volatility_24h), 'N/A') AS current_volatility,

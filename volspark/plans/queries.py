@@ -106,6 +106,7 @@ def registry() -> dict[str, QueryFn]:
     q["chart_price"] = lambda s, d: report(S.chart_price(_stored_latest(s, d)))
     q["chart_volatility"] = lambda s, d: report(S.chart_volatility(_stored_latest(s, d)))
     q["chart_volume"] = lambda s, d: report(S.chart_volume(_stored_latest(s, d)))
+    q["latest_n_zoned"] = lambda s, d: S.latest_n(_zoned_latest(s, d)).select("seq", "timestamp", "price")
     q["series_availability"] = lambda s, d: S.series_availability(S.latest_n(_stored_latest(s, d)))
     q["candle_minute"] = lambda s, d: report(A.candles(ticks(s, d), 60))
     q["candle_hour"] = lambda s, d: report(A.candles(ticks(s, d), 3600))
@@ -288,6 +289,13 @@ def _stored_latest(spark, sf_dir, n: int = LATEST_N):
     return files.read_latest(spark, path, n)
 
 
+def _zoned_latest(spark, sf_dir, n: int = LATEST_N):
+    """The files of a stored history that can hold one of the ``n`` latest rows, by its zone map."""
+    path = scratch_path(spark, "history")
+    sinks.write_zoned_history(metrics(spark, sf_dir), path, max_rows=10 * n)
+    return files.read_latest(spark, path, n)
+
+
 def _batch_job_summary(spark, sf_dir):
     """The batch job over a stored history: its summary row."""
     history = scratch_path(spark, "history")

@@ -2,7 +2,8 @@
 
 * history: Parquet partitioned by ``date``; dynamic partition overwrite so a
   re-run or replay replaces the partitions it touches instead of appending
-  duplicates;
+  duplicates; with a zone map (rows and least and greatest time of each file)
+  beside it on request;
 * dashboard staging: JSON lines (null fields are omitted by the JSON writer,
   so readers use ``DASHBOARD_SCHEMA``);
 * analysis results: Parquet, overwrite;
@@ -11,10 +12,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from volspark.schemas import DASHBOARD_COLUMNS
+from volspark.sources.files import zones_path
 
 
 def write_history(df: DataFrame, path: str, partition_cols=("date",), *,
@@ -29,6 +31,33 @@ def write_history(df: DataFrame, path: str, partition_cols=("date",), *,
        .partitionBy(*partition_cols).parquet(path))
 
 
+def write_zoned_history(df: DataFrame, path: str, zone_col: str = "timestamp", *, max_rows: int = 0,
+                        mode: str = "overwrite") -> None:
+    """S7 with a zone map: files of a date hold stretches of ``zone_col``, listed beside the history.
+
+    Rows are split by ranges of (date, ``zone_col``), a crowded date over several
+    tasks, and written in that order, in files of at most ``max_rows`` rows (0: no
+    bound). Then the dates that were written are read once more, one narrow
+    column, for (file, rows, low, high): ``rows`` counts those with a value. A
+    failure in between leaves zones that do not name the date's files, which
+    ``read_latest`` sees; it then reads whole dates.
+    """
+    written = Observation()
+    (df.observe(written, F.collect_set("date").alias("dates"))
+       .repartitionByRange(F.col("date"), F.col(zone_col)).sortWithinPartitions("date", zone_col)
+       .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows)
+       .partitionBy("date").parquet(path))
+    dates = written.get.get("dates") or []
+    if not dates:
+        return
+    history = df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(
+        *[f"{path}/date={d}" for d in sorted(dates)])
+    zones = (history.select("date", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), zone_col)
+             .groupBy("date", "file").agg(F.count(zone_col).alias("rows"), F.min(zone_col).alias("low"),
+                                          F.max(zone_col).alias("high")))
+    write_history(zones, zones_path(path))
+
+
 def write_dashboard(df: DataFrame, path: str, *, mode: str = "append") -> None:
     """The 13 dashboard columns as JSON lines."""
     df.select(*DASHBOARD_COLUMNS).write.mode(mode).json(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,16 +63,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def zones_path(path: str) -> str:
+    """Where the zone map of a history is (see ``sinks.write_zoned_history``)."""
+    return path.rstrip("/") + "_zones"
+
+
+def file_zones(spark: SparkSession, path: str, dates: list[datetime.date]) -> list[Row] | None:
+    """(date, file, rows, low, high) of every file of these dates; None unless the zone map names exactly those."""
+    where = zones_path(path)
+    if not dates or not path_exists(spark, where):
+        return None
+    zones = read_history(spark, where).where(F.col("date").isin(dates)).collect()     # one row a file of these dates
+    listed = spark.read.option("basePath", path).parquet(*[f"{path}/date={d}" for d in dates]).inputFiles()
+    named = {f"date={z.date}/{z.file}" for z in zones}
+    return zones if named == {"/".join(f.split("/")[-2:]) for f in listed} else None
+
+
+def _newest(zones: list[Row], n: int) -> list[Row]:
+    """The files that can hold one of the ``n`` greatest values, when they hold that many.
+
+    Files whose least value is ``bound`` or more hold ``n`` rows, so the n-th
+    greatest value is no less than that, and neither is any file that matters.
+    """
+    zones, held, bound = [z for z in zones if z.rows], 0, None
+    for zone in sorted(zones, key=lambda z: z.low, reverse=True):
+        held, bound = held + zone.rows, zone.low
+        if held >= n:
+            break
+    return [z for z in zones if z.high >= bound]
+
+
 def read_latest(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The newest date partitions of a history that hold at least ``n`` rows (all when it has fewer).
 
     Widens from the newest date, doubling the number of dates; only the dates
-    returned are read by the caller, whatever the length of the history.
+    returned are read by the caller, whatever the length of the history. Where a
+    zone map covers these dates, no row is counted and only the files that can
+    hold one of the ``n`` latest rows are returned.
     """
     dates, take = stored_dates(spark, path), 1
     while True:
         found = read_history(spark, path, dates[:take][-1] if dates else None)
-        if take >= len(dates) or found.count() >= n:
+        zones = file_zones(spark, path, dates[:take])
+        if zones is not None and sum(z.rows for z in zones) >= n > 0:
+            return spark.read.schema(found.schema).option("basePath", path).parquet(
+                *[f"{path}/date={z.date}/{z.file}" for z in _newest(zones, n)])
+        if take >= len(dates) or zones is None and found.count() >= n:
             return found
         take *= 2
 
