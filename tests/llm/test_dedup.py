@@ -104,11 +104,26 @@ def test_simhash_edges(spark):
     rows = [(5, None, "a"), (4, "", "a"), (3, "   ", "b"), (2, "same text here now", "c"), (1, "Same TEXT here now", "d"),
             (2, "same text here now", "c"), (None, "gone", "e")]
     df = spark.createDataFrame(rows, "doc_id long, text string, component_id string")
-    got = sorted((r.id, r.component_id) for r in simhash.near_duplicates(df).collect())
-    assert got == [(1, 1), (2, 1), (2, 1), (3, 3), (4, 3), (5, 3)]
+    got = sorted((str(r.id), r.component_id) for r in simhash.near_duplicates(df).collect())
+    assert got == [("1", 1), ("2", 1), ("2", 1), ("3", 3), ("4", 3), ("5", 3), ("None", None)]
     assert simhash.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_simhash_rows_without_an_id_link_others(spark):
+    """Two documents 6 bits apart that only a text without an id, 3 bits from both, brings together."""
+    fps = spark.createDataFrame([(3, 0b111000), (None, 0), (None, 0), (7, 0b111), (9, -1)], "id long, fp long")
+    got = simhash.grouped(fps).collect()
+    assert sorted(map(str, ((r.id, r.component_id) for r in got))) == sorted(map(str, [
+        (3, 3), (None, 3), (None, 3), (7, 3), (9, 9)]))
+
+
+def test_simhash_of_a_long_text(spark):
+    text = " ".join(f"word{k % 5003}" for k in range(60_000))
+    df = spark.createDataFrame([(1, text), (2, text + " tail"), (3, text.upper())], "doc_id long, text string")
+    got = {r.id: (r.fp % (1 << 64), r.component_id) for r in simhash.near_duplicates(df).collect()}
+    assert got[1] == (fingerprint(text), 1) and got[2][1] == 1 and got[3] == got[1]
+
+
 def cosine_links(rows):
     ok = [(i, np.array(v, float), lab) for i, v, lab in rows if v is not None and lab is not None
           and all(x is not None and np.isfinite(x) for x in v) and any(v)]

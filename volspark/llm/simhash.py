@@ -17,12 +17,13 @@ Linking, over distinct fingerprints:
 
 A partition value shared by more than ``block`` fingerprints is dealt to
 several join keys (the probe visits each of them), so no task holds one bucket.
-Components are found over the smallest doc_id of each fingerprint.
+Components are found over the fingerprints themselves.
 
 Defined results: null or wordless text has fingerprint zero and links like any
-other; identical texts share a fingerprint; rows with a null id are dropped
-(there is nothing to report them under); repeated ids give repeated rows; an
-empty table gives an empty result; other columns are ignored.
+other; identical texts share a fingerprint; rows without an id are compared and
+link others, and their component is the smallest id they reach (null if none);
+repeated ids give repeated rows; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,7 +80,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return rows.where("id is not null").mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, fp long")
 
 
 def bit_groups(together: np.ndarray, ones: np.ndarray, n: int, parts: int) -> list[list[int]]:
@@ -206,16 +207,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fp, component_id): each document's fingerprint and its group.
 
     ``component_id`` is the smallest id reachable over links of at most
-    ``max_bits`` differing bits, the document's own id when it has none.
+    ``max_bits`` differing bits, itself included.
     """
-    fps = keep(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    return grouped(keep(fingerprints(docs, id_col, text_col, shingle), "fingerprints"), max_bits, parts)
+
+
+def grouped(fps: DataFrame, max_bits: int = 3, parts: int = 4) -> DataFrame:
+    """(id, fp, component_id) of stored fingerprints (id, fp)."""
     # copies meet here: one row per distinct fingerprint, combined before the shuffle
     classes = keep(fps.groupBy("fp").agg(F.min("id").alias("rep")), "fingerprint-classes")
     pairs = keep(links(classes.select("fp"), max_bits, parts), "fingerprint-links")
-    ends = classes.withColumnRenamed("fp", "a").withColumnRenamed("rep", "ra")
-    others = classes.withColumnRenamed("fp", "b").withColumnRenamed("rep", "rb")
-    groups = components(pairs.join(ends, "a").join(others, "b"), "ra", "rb")
-    found = keep(classes.join(groups, classes.rep == groups.id, "left").select(
-        "fp", F.coalesce("component", "rep").alias("component_id")), "fingerprint-groups")
+    groups = keep(components(pairs).withColumnRenamed("id", "fp"), "fingerprint-components")
+    least = groups.join(classes, "fp").groupBy("component").agg(F.min("rep").alias("least"))
+    found = keep(classes.join(groups.join(least, "component"), "fp", "left").select(
+        "fp", F.coalesce("least", "rep").alias("component_id")), "fingerprint-groups")
     # plain scans on both sides: Spark splits the rows of a fingerprint that very many share
     return fps.join(found, "fp").select("id", "fp", "component_id")
