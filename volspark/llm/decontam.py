@@ -18,7 +18,8 @@ with more blocks the documents pass through one index search per block, in the
 same narrow stage. Documents are never shuffled.
 
 Defined results: null text has no words; an item without words has no phrase;
-items may repeat or share phrases (each is reported); no benchmark leaves every
+items may repeat or share phrases (each is reported); items without an id are
+searched like any other and reported together as one null; no benchmark leaves every
 document clean; repeated documents give repeated results; an empty table gives
 an empty result; other columns are ignored.
 """
@@ -36,6 +37,7 @@ WINDOW = 10
 SHARD_CHARS = 4_000_000
 SAMPLE_EVERY = 16
 BLOCK_WORDS = 2_000_000
+NO_ID = -(1 << 63)                  # stands for a missing item id in a scan
 # bytes of a word stay (A-Z in lower case), all others become spaces
 WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7a
                    else b + 32 if 0x41 <= b <= 0x5a else 0x20 for b in range(256))
@@ -247,8 +249,8 @@ def _merge(old: list[int], new: list[int]) -> list[int]:
 def phrase_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text",
                   window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Phrases]:
     """The benchmark's phrases, in blocks of at most about ``block_words`` words."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text"))
-    items = items.where("item is not null and text is not null")
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("long"), F.lit(NO_ID)).alias("item"),
+                             F.col(text_col).alias("text")).where("text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + chars // (6 * block_words)
     for k in range(blocks):
@@ -261,7 +263,7 @@ def found_in(text: Column, blocks: Iterator[Phrases], spark: SparkSession,
     """struct(n_words, spans, items) of a text column; narrow, so that rows need no join to be judged.
 
     ``spans``: word positions start, end (exclusive), start, end, ...;
-    ``items``: ascending ids of the items with an occurring phrase.
+    ``items``: ascending ids of the items with an occurring phrase, ``NO_ID`` for those without one.
     """
     none = F.array().cast("array<long>")
     found = F.struct(F.lit(0).cast("long").alias("n_words"), none.alias("spans"), none.alias("items"))
@@ -310,4 +312,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(id, n_words, n_hit, spans, items) of every document."""
     found = found_in(F.col(text_col), phrase_blocks(benchmark, window=window), docs.sparkSession)
     return (docs.select(F.col(id_col).alias("id"), found.alias("found")).select("id", "found.*")
-            .select("id", "n_words", hit_words(F.col("spans")).alias("n_hit"), "spans", "items"))
+            .select("id", "n_words", hit_words(F.col("spans")).alias("n_hit"), "spans",
+                    F.transform("items", lambda i: F.when(i != NO_ID, i)).alias("items")))
