@@ -13,7 +13,8 @@ corpus; together they are one array of 128 x 128 log ratios, a scalar subquery
 of the scoring pass, which is a projection: no join, no shuffle.
 
 Matches are bracketed by a control character and the text is split at it, so
-positions are running sums of lengths in code points. (That character itself
+positions are running sums of lengths in code points, added up block by block so
+that a text's cost is linear in its matches. (That character itself
 is first replaced by another one; no pattern has either.)
 
 Defined results: null text is an empty one (no spans); texts are scanned whole;
@@ -47,6 +48,8 @@ MIN_ORDINARY = 12
 MIN_RATIO = 0.5
 SMOOTHING = 0.5
 CODES = 128
+BLOCK = 64              # values scanned, or gaps cut, together
+LEVELS = 2              # of blocks: one block of the highest level covers BLOCK ** LEVELS values
 MARK, OTHER = "\x01", "\x02"
 REDACTED = "[secret]"
 
@@ -69,21 +72,44 @@ def _accepted(kind: str, match: Column) -> Column:
     return _assigned(match) if kind == "assign" else F.lit(True)
 
 
+def _blocks(values: Column, size: int) -> Column:
+    """``values``, not empty, as arrays of ``size`` consecutive ones."""
+    last = F.floor((F.size(values) - 1) / F.lit(size)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(values, k * size + 1, F.lit(size)))
+
+
+def _before(values: Column, combine, zero: Column, levels: int = LEVELS) -> Column:
+    """array<int>: ``combine`` over all earlier values, from ``zero``; linear in the number of values.
+
+    Within a block the results grow one by one; the blocks' totals are scanned in
+    the same way, so no array beyond a block's is copied for every value.
+    """
+    def grown(all_: Column, first: Column) -> Column:
+        state = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(all_, state, lambda s, v: F.struct(
+            combine(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def by_block(all_: Column) -> Column:
+        return let(_blocks(all_, BLOCK), lambda blocks: F.flatten(F.zip_with(
+            blocks, _before(F.transform(blocks, lambda b: F.aggregate(b, zero, combine)), combine, zero, levels - 1),
+            grown)))
+
+    if levels == 0:
+        return grown(values, zero)
+    return let(values, lambda v: F.when(F.size(v) <= BLOCK, grown(v, zero)).otherwise(by_block(v)))
+
+
 def _spans(parts: Column, kind: str, accepted) -> Column:
     """array<struct(start, rank, end)> of the accepted matches among ``parts``."""
-    span = "array<struct<start:int,rank:int,end:int>>"
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("k"), F.array().cast(span).alias("found"))
+    def found(p: Column, starts: Column) -> Column:
+        spans = F.transform(p, lambda part, k: F.when((k % 2 == 1) & accepted(part), F.struct(
+            F.get(starts, k).alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
+            (F.get(starts, k) + F.length(part)).alias("end"))))
+        return F.filter(spans, lambda s: s.isNotNull())
 
-    def step(state: Column, part: Column) -> Column:
-        end = state["at"] + F.length(part)
-        one = F.array(F.struct(state["at"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"),
-                               end.alias("end")))
-        match = (state["k"] % 2 == 1) & accepted(part)
-        return F.struct(end.alias("at"), (state["k"] + 1).alias("k"),
-                        F.when(match, F.concat(state["found"], one)).otherwise(state["found"]).alias("found"))
-
-    return let(parts, lambda p: F.when(
-        F.size(p) > 1, F.aggregate(p, start, step, lambda state: state["found"])).otherwise(F.array().cast(span)))
+    return let(parts, lambda p: F.when(F.size(p) > 1, let(
+        _before(F.transform(p, F.length), lambda at, n: at + n, F.lit(0)), lambda starts: found(p, starts)))
+        .otherwise(F.array().cast("array<struct<start:int,rank:int,end:int>>")))
 
 
 def _masked(text: Column, pattern: str, kind: str) -> Column:
@@ -188,17 +214,33 @@ def joined(spans: Column) -> Column:
         ":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(text: Column, spans: Column) -> Column:
-    """``text`` with every span (sorted by start, overlaps merge) replaced by a marker."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _cut(text: Column, first: Column, gaps: Column, levels: int = LEVELS) -> Column:
+    """The pieces of ``text``, which starts at ``first``, at ``gaps``: ascending, disjoint struct(at, start).
+
+    A block of gaps is cut from a stretch of the text that ends with it, so finding
+    a position does not pass the whole text for every gap.
+    """
+    if levels == 0:
+        return F.transform(gaps, lambda g: F.substring(text, g["at"] - first + 1, g["start"] - g["at"]))
+
+    def inside(block: Column) -> Column:
+        begin = F.get(block, F.lit(0))["at"]
+        stretch = F.substring(text, begin - first + 1, F.get(block, F.size(block) - 1)["start"] - begin)
+        return let(stretch, lambda t: _cut(t, begin, block, levels - 1))
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = F.concat(state["out"], F.substring(text, state["at"] + 1, span["start"] - state["at"]),
-                         F.lit(REDACTED))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"),
-                        F.when(span["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"))
+    return F.flatten(F.transform(_blocks(gaps, BLOCK ** levels), inside))
 
-    def finish(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
 
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, finish)).otherwise(text)
+def redact(text: Column, spans: Column) -> Column:
+    """``text`` with every span (sorted by start, overlaps merge) replaced by a marker."""
+    def replaced(all_: Column, before: Column) -> Column:
+        gaps = F.filter(F.transform(all_, lambda s, k: F.struct(F.get(before, k).alias("at"), s["start"].alias("start"))),
+                        lambda g: g["start"] >= g["at"])
+        outside = let(gaps, lambda g: _cut(text, F.lit(0), g))
+        end = F.array_max(F.transform(all_, lambda s: s["end"]))
+        return F.concat(F.array_join(F.transform(outside, lambda piece: F.concat(piece, F.lit(REDACTED))), ""),
+                        F.substring(text, end + 1, F.length(text)))
+
+    return F.when(F.size(spans) > 0, let(spans, lambda all_: let(
+        _before(F.transform(all_, lambda s: s["end"]), lambda a, b: F.greatest(a, b), F.lit(0)),
+        lambda before: replaced(all_, before)))).otherwise(text)
