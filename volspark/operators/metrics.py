@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from volspark.functions import change_pct, log_return, sample_stddev
 from volspark.operators.rolling import (
-    BK, SK, FrameAgg, add_series_bucket, bucket_width, rolling, with_previous,
+    BK, SK, FrameAgg, add_blocks, add_series_bucket, bucket_width, rolling, rolling_by_second,
+    with_previous,
 )
 
 HOUR = 3600
@@ -53,14 +54,17 @@ def _metric_aggs(hours, extra):
 def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
                  seq_col: str | None = "seq", price_col: str = "price",
                  hours=(1, 24), extra: dict | None = None,
-                 bucket_seconds: int | None = None) -> DataFrame:
+                 bucket_seconds: int | None = None, block_rows: int | None = None) -> DataFrame:
     """All metrics, distributed (see ``rolling``).
 
     Every series, keyed or not, takes the same way: work is partitioned by
     (series, bucket), so a hot series spreads over its buckets.
     ``bucket_seconds`` is the width of a bucket (default: the widest that
     divides every frame, at least ``rolling.MIN_BUCKET``); a narrower one splits
-    bursts further at the price of more per-bucket totals.
+    bursts further at the price of more per-bucket totals. With ``block_rows`` a burst
+    of any width, even within one second, is cut into blocks of about as many rows
+    (``rolling.add_blocks``), at the price of more shuffles and of a stored copy of
+    the rows below ``spark.checkpoint.dir``, written when this is called.
 
     ``seq_col`` breaks ties between equal timestamps for the previous price;
     when None, ``struct(datetime, price)`` is used if present (N7).
@@ -86,13 +90,16 @@ def tick_metrics(df: DataFrame, keys=(), *, time_col: str = "timestamp",
         df = df.withColumn(tie, tie_expr)
     lookahead = max(frames) // width - 1
     base = add_series_bucket(df, keys, time_col, width, F.col(tie), lookahead)
+    if block_rows:
+        base, lookahead = add_blocks(base, time_col, tie, block_rows), 0
     prev = with_previous(base, time_col, tie, "price", "_prev", lookahead=lookahead)
     # one select per step: each withColumn would re-analyze the whole plan
     keep = [c for c in prev.columns if c != "_prev"]
     rets = prev.select(*keep, log_return("price", "_prev").alias("log_return"),
                        change_pct("price", "_prev").alias("price_change_pct"))
-    framed = rolling(rets, time_col, _metric_aggs(hours, extra), width,
-                     order_cols=[time_col, tie])
+    metric_aggs = _metric_aggs(hours, extra)
+    framed = (rolling_by_second(rets, time_col, metric_aggs, width) if block_rows
+              else rolling(rets, time_col, metric_aggs, width, order_cols=[time_col, tie]))
     helper = {c for h in hours for c in (f"_nr{h}", f"_sr{h}", f"_qr{h}", f"_np{h}", f"_sp{h}")}
     helper |= {SK, BK}
     metric = {"log_return": F.col("log_return"), "price_change_pct": F.col("price_change_pct"),

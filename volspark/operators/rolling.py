@@ -28,6 +28,12 @@ times) are inside the frame at both ends, as with SQL RANGE frames.
 
 The previous value in (time, seq) order across bucket borders (``lag``) uses
 a carry table: the last value of each non-empty bucket, lagged over buckets.
+
+A burst inside one bucket is cut into blocks of consecutive (time, seq) ranks
+(``add_blocks``). ``lag`` then works block by block with a carry per block, and
+``rolling_by_second`` scans totals: rows give totals of each second of a block,
+these the totals of a second, and only the seconds (at most ``w`` a bucket) go
+through the frames. No step holds a bucket's rows together.
 """
 
 from __future__ import annotations
@@ -39,10 +45,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from volspark.session import keep
+
 SK = "_sk"   # series key: struct of the key columns (null fields group together)
 BK = "_b"    # bucket index
 TG = "_targets"  # non-empty buckets ahead whose frames reach back to this one
 FIRST = "_first"  # first row of its bucket in (time, seq) order
+BLK = "_block"   # block of consecutive ranks within a bucket
 
 
 @dataclass(frozen=True)
@@ -62,6 +71,9 @@ DIRECT_SPAN = 32         # buckets of the longest frame up to which totals are s
 MIN_BUCKET = 60          # seconds; narrower buckets would mean more totals than rows
 UNTIMED = 1 << 40        # first bucket of rows without a time, after every real one
 UNTIMED_BUCKETS = 1024
+BLOCK_SAMPLES = 32       # sampled rows a block, for its borders
+BLOCK_SALTS = 64         # parts of a bucket while its rows look up their block
+MAX_BLOCK_BITS = 24      # blocks of a bucket, as a power of two
 
 
 def bucket_width(seconds: list[int]) -> int:
@@ -93,25 +105,57 @@ def _series(df: DataFrame) -> list[str]:
     return [SK] if SK in df.columns else []
 
 
+def add_blocks(df: DataFrame, time_col: str, seq_col: str, block_rows: int) -> DataFrame:
+    """Add ``_block``: about ``block_rows`` rows of one bucket with consecutive (time, seq).
+
+    The borders are order statistics of a sample taken by a hash of (time, seq), so
+    they are the same in every recomputation. Rows of equal (time, seq) share a block.
+    Rows find their block in a table of the borders of the crowded buckets alone, by a
+    join on (series, bucket, salt): Spark broadcasts that table if it is small, else a
+    crowded bucket is spread over ``BLOCK_SALTS`` tasks.
+    """
+    if block_rows < 1:
+        raise ValueError("block_rows must be positive")
+    part = _series(df) + [BK]
+    every = max(1, block_rows // BLOCK_SAMPLES)
+    step = max(1, block_rows // every)
+    order = F.struct(F.col(time_col).alias("t"), F.col(seq_col).alias("s"))
+    mixed = F.xxhash64(F.col(time_col), F.col(seq_col))
+    sample = df.where(F.pmod(mixed, F.lit(every)) == 0).select(*part, order.alias("_o"))
+    borders = sample.groupBy(*part).agg(F.sort_array(F.collect_list("_o")).alias("_o")).select(
+        *part, F.filter("_o", lambda o, k: (k > 0) & (k % step == 0)).alias("_borders"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(BLOCK_SALTS - 1)).cast("array<long>"))
+    crowded = borders.where(F.size("_borders") > 0).select("*", salts.alias("_salt"))
+    # other bits of the hash than the sample's
+    salt = F.pmod(F.shiftrightunsigned(mixed, 40), F.lit(BLOCK_SALTS)).cast("long")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(MAX_BLOCK_BITS))])
+    # binary search: the number of borders at or before the row
+    block = F.aggregate(steps, F.lit(0), lambda at, n: F.when(
+        F.get(F.col("_borders"), at + n - 1) <= order, at + n).otherwise(at))
+    return (df.select("*", salt.alias("_salt")).join(crowded, part + ["_salt"], "left")
+            .select(*df.columns, F.when(F.col("_borders").isNull(), 0).otherwise(block).alias(BLK)))
+
+
 def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
                   out_col: str, lookahead: int = 0) -> DataFrame:
     """Previous ``value_col`` in (time, seq) order within the series.
 
     ``df`` must carry the series key and bucket columns. Output is
-    hash-partitioned by (series, bucket). With a ``lookahead`` of 1 up to
+    hash-partitioned by (series, bucket), and by block if ``df`` has them. With a ``lookahead`` of 1 up to
     ``DIRECT_SPAN`` buckets each row also gets ``_targets``: the non-empty buckets in
     (b, b + lookahead], taken from the same small per-bucket table; ``rolling``
     then sends totals to them, else it builds the dyadic tree.
     """
     sk = _series(df)
-    part = sk + [BK]
+    place = [BK, BLK] if BLK in df.columns else [BK]
+    part = sk + place
     if lookahead >= DIRECT_SPAN:
         lookahead = 0
     order = F.struct(F.col(time_col), F.col(seq_col))
-    # one row per non-empty bucket: its last value, then the previous bucket's
+    # one row per non-empty bucket (or block): its last value, then the previous one's
     last = (df.groupBy(*part)
               .agg(F.max_by(F.col(value_col), order).alias("_last")))
-    wb = Window.partitionBy(*sk).orderBy(BK)
+    wb = Window.partitionBy(*sk).orderBy(*place)
     extra = []
     if lookahead > 0:
         ahead = F.collect_list(BK).over(wb.rangeBetween(1, lookahead))
@@ -122,9 +166,9 @@ def with_previous(df: DataFrame, time_col: str, seq_col: str, value_col: str,
     w = Window.partitionBy(*part).orderBy(F.col(time_col), F.col(seq_col))
     out = rows.select("*", F.lag(F.col(value_col), 1).over(w).alias("_lag"),
                       (F.row_number().over(w) == 1).alias(FIRST))
-    keep = [c for c in out.columns if c not in ("_carry", "_lag")
+    kept = [c for c in out.columns if c not in ("_carry", "_lag")
             and not (c == FIRST and lookahead <= 0)]
-    return out.select(*keep, F.when(F.col(FIRST), F.col("_carry"))
+    return out.select(*kept, F.when(F.col(FIRST), F.col("_carry"))
                       .otherwise(F.col("_lag")).alias(out_col))
 
 
@@ -337,3 +381,26 @@ def rolling(df: DataFrame, time_col: str, aggs: list[FrameAgg],
             v = F.when(n > 0, v)
         final.append(v.alias(a.name))
     return merged.select(*payload, *part_cols, *final)
+
+
+def rolling_by_second(df: DataFrame, time_col: str, aggs: list[FrameAgg], width: int) -> DataFrame:
+    """``rolling`` for rows with blocks: all rows of a second share their frames.
+
+    Totals per second of each block, combined to totals per second, go through
+    ``rolling``; the results return to the rows by (bucket, block, second), so neither
+    a crowded bucket nor a crowded second meets in one task. Rows without a time get
+    NULL. The rows and the totals are each read more than once, so they are stored first.
+    """
+    sk = _series(df)
+    df = keep(df, "block-rows")
+    second = sk + [BK, time_col]
+    totals = {key: f"_s{i}" for i, key in enumerate(dict.fromkeys((a.kind, a.column) for a in aggs))}
+    pieces = keep(df.where(F.col(time_col).isNotNull()).groupBy(*second, BLK).agg(
+        *[_part_expr(kind, F.col(column)).alias(name) for (kind, column), name in totals.items()]), "block-seconds")
+    seconds = pieces.groupBy(*second).agg(
+        *[_combine_expr(kind, F.col(name)).alias(name) for (kind, _), name in totals.items()])
+    framed = rolling(seconds, time_col, [
+        FrameAgg(a.name, a.kind if a.kind in ("max", "min") else "sum", totals[a.kind, a.column], a.seconds)
+        for a in aggs], width)
+    found = pieces.select(*second, BLK).join(framed.select(*second, *[a.name for a in aggs]), second)
+    return df.join(found, [*second, BLK], "left").drop(BLK)

@@ -121,6 +121,7 @@ def oracle_sql() -> dict[str, str]:
     q["tick_metrics_by_symbol"] = with_metrics(
         METRIC_SELECT.replace("SELECT seq,", "SELECT seq, symbol,") + " FROM m", keyed=True)
     q["tick_metrics_bucketed"] = q["tick_metrics"]
+    q["tick_metrics_blocks"] = q["tick_metrics"]
     q["log_return"] = with_metrics(f"SELECT seq, {R6('log_return')} AS log_return FROM m")
     q["price_change_pct"] = with_metrics(
         f"SELECT seq, {R6('price_change_pct')} AS price_change_pct FROM m")

@@ -81,6 +81,8 @@ def registry() -> dict[str, QueryFn]:
         metrics(s, d, keys=("symbol",)).select("seq", "symbol", *METRIC_COLS[1:]))
     q["tick_metrics_bucketed"] = lambda s, d: report(
         metrics(s, d, bucket_seconds=900).select(*METRIC_COLS))
+    q["tick_metrics_blocks"] = lambda s, d: report(       # blocks of about 8 ticks of an hour
+        metrics(s, d, block_rows=8).select(*METRIC_COLS))
     q["log_return"] = _metric_column("log_return", hours=(1,))
     q["price_change_pct"] = _metric_column("price_change_pct", hours=(1,))
     q["volatility_1h"] = _metric_column("volatility_1h", hours=(1,))
