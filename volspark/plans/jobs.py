@@ -89,7 +89,7 @@ def incremental_analysis(spark: SparkSession, history_path: str, state_path: str
     return out
 
 
-SERIES = ["symbol", "interval"]
+SERIES = sinks.SERIES
 LONGEST_FRAME = 86400           # seconds of candle_metrics
 
 
@@ -105,7 +105,8 @@ def candle_backfill(spark: SparkSession, landed_path: str, out_dir: str, *,
     found against the stored metrics, so a run that was cut off can be repeated.
 
     Returns the paths of ``candles`` and ``metrics`` (both partitioned by symbol
-    and interval) and of the one-row ``audit``.
+    and interval, or by series bucket, see ``sinks.write_candles``) and of the one-row
+    ``audit``.
     """
     ensure_conf(spark)
     out = {name: os.path.join(out_dir, name) for name in ("candles", "metrics", "audit")}
@@ -126,7 +127,7 @@ def _stored_series(spark: SparkSession, path: str, like: DataFrame) -> DataFrame
     """The stored rows of the series that ``like`` has; None before the first run."""
     if not path_exists(spark, path):
         return None
-    stored = spark.read.parquet(path)
+    stored = spark.read.parquet(path).drop(sinks.SERIES_BUCKET)
     stored = stored.withColumns({c: F.col(c).cast("string") for c in SERIES})     # folder names
     return stored.join(like.select(*SERIES).distinct(), SERIES, "left_semi")
 

@@ -252,7 +252,7 @@ def _analysis_roundtrip(spark, sf_dir):
 
 def _candle_write_read(spark, sf_dir):
     path = scratch_path(spark, "candles")
-    sinks.write_candles(_candles(spark, sf_dir), path)
+    sinks.write_candles(keep(_candles(spark, sf_dir), "candles"), path)
     return report(spark.read.parquet(path).select(*CANDLE_COLUMNS))
 
 
@@ -323,10 +323,9 @@ def _incremental(spark, sf_dir):
 
 
 def _landed(spark, ticks_df):
-    """Candle responses of ticks as landed files."""
+    """Candle responses of ticks as landed files, each of many series."""
     path = scratch_path(spark, "landed")
-    (FX.candle_responses(ticks_df).hint("rebalance", F.col("symbol"))
-       .write.partitionBy("symbol", "interval").text(path))
+    FX.candle_responses(ticks_df).write.json(path)
     return path
 
 

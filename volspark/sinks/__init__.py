@@ -7,16 +7,18 @@
 * dashboard staging: JSON lines (null fields are omitted by the JSON writer,
   so readers use ``DASHBOARD_SCHEMA``);
 * analysis results: Parquet, overwrite;
-* candles: snappy Parquet partitioned by (symbol, interval).
+* candles: snappy Parquet partitioned by (symbol, interval), or by a hash of them
+  when they are many.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from volspark.schemas import DASHBOARD_COLUMNS
-from volspark.sources.files import zones_path
+from volspark.session import keep
+from volspark.sources.files import path_exists, sub_folders, zones_path
 
 
 def write_history(df: DataFrame, path: str, partition_cols=("date",), *,
@@ -68,8 +70,48 @@ def write_result(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+SERIES = ["symbol", "interval"]
+MAX_SERIES_FOLDERS = 1000        # series up to which a new table has a folder for each
+SERIES_BUCKETS = 256
+SERIES_BUCKET = "series_bucket"
+
+
+def series_bucket() -> Column:
+    return F.pmod(F.xxhash64(*SERIES), F.lit(SERIES_BUCKETS)).cast("int")
+
+
 def write_candles(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Snappy Parquet, one directory per (symbol, interval)."""
-    (df.hint("rebalance", F.col("symbol"), F.col("interval")).write.mode(mode).option("compression", "snappy")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("symbol", "interval").parquet(path))
+    """Snappy Parquet, one directory per (symbol, interval).
+
+    A table that begins with more than ``MAX_SERIES_FOLDERS`` series has
+    ``SERIES_BUCKETS`` directories instead, by a hash of the series, with the rows in
+    the order of (symbol, interval, timestamp): folders and files then follow the data,
+    not the number of series. A table keeps the form it began with. In both forms
+    overwriting replaces the series that ``df`` has and no others. ``df`` is read more
+    than once, so it should be stored.
+    """
+    spark = df.sparkSession
+    begun = path_exists(spark, path) and sub_folders(spark, path)
+    if begun:
+        many = any(name.startswith(SERIES_BUCKET + "=") for name in begun)
+    else:
+        many = df.select(*SERIES).distinct().limit(MAX_SERIES_FOLDERS + 1).count() > MAX_SERIES_FOLDERS
+    places = [SERIES_BUCKET] if many else SERIES
+    if many:
+        if begun and mode == "overwrite":
+            df = df.unionByName(keep(_bucket_mates(df, path), "bucket-mates"))
+        df = df.withColumn(SERIES_BUCKET, series_bucket())
+    df = df.hint("rebalance", *[F.col(c) for c in places])
+    if many:
+        df = df.sortWithinPartitions(SERIES_BUCKET, *SERIES, "timestamp")
+    (df.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*places).parquet(path))
+
+
+def _bucket_mates(df: DataFrame, path: str) -> DataFrame:
+    """The stored rows that share a bucket with a series of ``df`` and belong to none of them."""
+    series = df.select(*[F.col(c).alias(f"_{c}") for c in SERIES]).distinct()
+    touched = [r[0] for r in df.select(series_bucket()).distinct().collect()]      # SERIES_BUCKETS at most
+    stored = df.sparkSession.read.parquet(path).where(F.col(SERIES_BUCKET).isin(touched)).drop(SERIES_BUCKET)
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in SERIES]
+    return stored.join(series, same, "left_anti")
