@@ -116,3 +116,15 @@ def test_keyed_plan_reads_twice_and_joins_by_bucket(spark):
     assert plan.count("FileScan parquet") <= 2
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line]
     assert joins and all("_b#" in line for line in joins), joins
+
+
+def test_rows_that_compress_well_keep_their_tasks(spark):
+    """Adaptive execution merges tasks by compressed bytes: equal prices would meet in one."""
+    df = spark.range(4000).selectExpr("id * 300 as timestamp", "id as seq", "1.0D as price")
+    from volspark.operators.rolling import TASKS_PER_CORE
+    m = tick_metrics(df)
+    used = m.select(F.spark_partition_id().alias("p"), "seq").groupBy("p").count().collect()
+    hours = 4000 * 300 // 3600
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, 8)
+    assert len(used) > min(hours, tasks) // 2 and max(r["count"] for r in used) < 4000 // 8
+    assert len(tick_metrics(df, spread=False).select(F.spark_partition_id()).distinct().collect()) < len(used)
