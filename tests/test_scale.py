@@ -128,3 +128,25 @@ def test_rows_that_compress_well_keep_their_tasks(spark):
     tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, 8)
     assert len(used) > min(hours, tasks) // 2 and max(r["count"] for r in used) < 4000 // 8
     assert len(tick_metrics(df, spread=False).select(F.spark_partition_id()).distinct().collect()) < len(used)
+
+
+def test_frames_get_one_copy_a_second_and_one_sort(spark, monkeypatch):
+    """Rows of one second share a copy per frame, and only the copies' exchange is sorted again."""
+    from volspark.operators import rolling
+    from volspark.operators.metrics import STANDIN_24H
+    n, seconds = 3000, 60
+    df = spark.range(n).selectExpr(f"id % {seconds} * 1700 as timestamp", "id as seq", "double(id % 13 + 1) as price")
+    dealt, real = [], rolling._dealt
+    monkeypatch.setattr(rolling, "_dealt", lambda d, *a: (dealt.append(d), real(d, *a))[1])
+    m = tick_metrics(df, extra=STANDIN_24H)
+    hours = seconds * 1700 // 3600 + 1
+    assert dealt[-1].count() <= n + 2 * seconds + 23 * hours       # was three rows a tick
+    plan = m._jdf.queryExecution().executedPlan().toString()
+    assert sum("Sort [" in line and "_okey" in line for line in plan.splitlines()) == 1     # was two
+    got = {r.seq: r for r in m.collect()}
+    want = {r.seq: r for r in tick_metrics_window(df, extra=STANDIN_24H).collect()}
+    for k, w in want.items():
+        for c in ("log_return", "volatility_1h", "volatility_24h", "price_ma_1h", "price_ma_24h",
+                  "volume24h", "high24h", "low24h"):
+            a, b = got[k][c], w[c]
+            assert (a is None and b is None) or abs(a - b) < 1e-9 * max(1, abs(b)), (k, c, a, b)
