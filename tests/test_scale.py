@@ -150,3 +150,24 @@ def test_frames_get_one_copy_a_second_and_one_sort(spark, monkeypatch):
                   "volume24h", "high24h", "low24h"):
             a, b = got[k][c], w[c]
             assert (a is None and b is None) or abs(a - b) < 1e-9 * max(1, abs(b)), (k, c, a, b)
+
+
+def test_carry_table_is_aggregated_by_hash(spark):
+    """The last price of each bucket: a scan task holds its buckets, not its rows."""
+    df = spark.range(600).selectExpr("id * 700 as timestamp", "id as seq", "id % 9 as symbol", "double(id % 13 + 1) as price")
+    for keys in ((), ("symbol",)):
+        plan = tick_metrics(df, keys)._jdf.queryExecution().executedPlan().toString()
+        assert "max_by" in plan and "SortAggregate" not in plan
+
+
+def test_order_number_orders_as_the_pair(spark):
+    """Null first, then by time, then by seq, over the whole range of a seq."""
+    from volspark.operators.rolling import order_number
+    ends = [None, -(1 << 63), -1, 0, 1, (1 << 63) - 1]
+    times = [None, -(1 << 61), -3601, -1, 0, 1, 1_700_000_000, 1 << 61]
+    data = [(t, s) for t in times for s in ends]
+    df = spark.createDataFrame(data[::-1], "t long, s long")
+    found = df.select("t", "s", order_number(df, "t", "s").alias("n")).orderBy("n").collect()
+    assert [(r.t, r.s) for r in found] == data and len({r.n for r in found}) == len(data)
+    text = spark.createDataFrame([(1, "b"), (1, "a")], "t long, s string")
+    assert text.orderBy(order_number(text, "t", "s")).first().s == "a"      # other types stay a pair
