@@ -171,3 +171,28 @@ def test_order_number_orders_as_the_pair(spark):
     assert [(r.t, r.s) for r in found] == data and len({r.n for r in found}) == len(data)
     text = spark.createDataFrame([(1, "b"), (1, "a")], "t long, s string")
     assert text.orderBy(order_number(text, "t", "s")).first().s == "a"      # other types stay a pair
+
+
+def test_rows_of_files_are_dealt_twice_beyond_the_bypass_threshold(spark):
+    """More parts than Spark writes without gathering a scan task's rows: a first exchange of that many."""
+    from volspark.operators.rolling import TASKS_PER_CORE
+    df = spark.range(900).selectExpr("id * 700 as timestamp", "id as seq", "id % 9 as symbol", "double(id % 13 + 1) as price")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    most = int(spark.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    try:
+        for parts in (most + 50, most):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            for keys in ((), ("symbol",)):
+                m = tick_metrics(df, keys)
+                tasks = max(parts, TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+                dealt = int(tasks > most)
+                plan = m._jdf.queryExecution().executedPlan().toString()
+                first = [x for x in plan.splitlines() if f", {most})" in x and "_first_b" in x]
+                assert len(first) == dealt and f", {tasks})" in plan, plan
+                if parts == most or not keys:
+                    continue
+                got = {r.seq: r.volatility_24h for r in m.collect()}
+                want = {r.seq: r.volatility_24h for r in tick_metrics_window(df, keys).collect()}
+                assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
