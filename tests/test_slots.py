@@ -9,6 +9,8 @@ import pandas as pd
 import pytest
 
 from volspark.operators.metrics import STANDIN_24H
+from volspark.schemas import stream_tick_schema
+from volspark.sources.files import stream_json_ticks
 from volspark.streaming import stateful as ST
 from test_stateful import Feed, few_partitions, hourly  # noqa: F401
 
@@ -185,3 +187,26 @@ def test_the_number_of_files_follows_the_rows_not_the_partitions(spark):
     dashboard = feed.spark.read.text(os.path.join(feed.base, "dashboard")).select("_metadata.file_path").distinct().count()
     assert files <= 3 * len(feed.sink.counts) and dashboard <= 3 * len(feed.sink.counts)
     assert spark.conf.get(ST.ADAPTIVE) == own
+
+
+class NumberFeed(Feed):
+    """Series are named by numbers."""
+
+    def arrive(self, rows):
+        rows = self.spark.createDataFrame(rows, "timestamp long, price double, seq long, symbol long")
+        rows.coalesce(1).write.mode("append").json(os.path.join(self.root, "in"))
+        stream = stream_json_ticks(self.spark, os.path.join(self.root, "in"), stream_tick_schema({"symbol": "long"}))
+        q = ST.start_stateful(ST.stateful_metrics(stream, ("symbol",), extra=STANDIN_24H), self.sink, self.checkpoint,
+                              available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+
+def test_a_missing_number_as_key_leaves_the_other_series_alone(spark, few_partitions):  # noqa: F811
+    """A null once made all keys of its task fractions, and Spark then kept their state under one key."""
+    feed = NumberFeed(spark)
+    rows = [r for k in [None, *range(12)] for r in hourly(k, 1_700_000_000 + 100_000 * (k or 0), 6)]
+    feed.arrive([r for r in rows if r[2] < 3])
+    feed.arrive([r for r in rows if r[2] >= 3])
+    assert {k for k in feed.metrics()} == {(r[3], r[2]) for r in rows}
+    assert not os.path.exists(os.path.join(feed.base, "quarantine"))
